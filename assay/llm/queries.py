@@ -4,18 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import minhash
+from assay.llm import minhash, mixing, urlrules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(urlrules.RULES, "host string, path string, verdict string")
+    out = urlrules.judge_urls(_table(spark, sf_dir, "pages"), rules)
+    return out.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
     return out.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op9_minhash_near_dedup,)}
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.fair_queue(_table(spark, sf_dir, "documents"))
+    ordered = plan.orderBy("virtual_finish", "hash")
+    return ordered.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op3_url_filters, op9_minhash_near_dedup, op10_source_mixing)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": urlrules.RULES_SQL, "op10_source_mixing": mixing.MIX_SQL}
