@@ -3,7 +3,7 @@
 Two small collections of ``groups`` hash values each (every value drawn from ``half`` minhashes) are
 formed per text; every pair of one value from each collection is a table key. So ``groups ** 2`` tables of
 ``2 * half`` minhashes cost ``2 * groups * half`` minhashes instead of ``2 * half * groups ** 2``. At a
-similarity of 0.8 the defaults miss a pair with probability 0.0015; at 0.85, 0.0001. Candidates are
+similarity of 0.8 the defaults miss a pair with probability 0.0004; at 0.85, 0.00002. Candidates are
 confirmed on the full shingle sets.
 """
 
@@ -13,16 +13,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from assay.llm.textkit import U64, mix, shingles, slices
+from assay.llm.textkit import U64, forest, mix, shingles, slices
 from assay.operators.components import connected_components
 from assay.scratch import Scratch
 
-_SKETCH = 4
-#: Agreeing nibbles of a sketch below which a pair isn't confirmed: at similarity 0.8 a pair has 49 of 60
-#: expected with a deviation of 3.0, so this is 5.5 deviations down.
-_LEAST_NIBBLES = 32 / 60
+#: Longs of a sketch, of 16 nibbles each; every minhash gives a nibble.
+_SKETCH = 5
+#: Agreeing share of a sketch's nibbles below which a pair isn't confirmed: at similarity 0.8 a pair has 58.5
+#: of 72 expected with a deviation of 3.3, so this is 6 deviations down.
+_LEAST_NIBBLES = 38 / 72
+#: Documents of a tile where members of one family are compared with each other.
+_TILE = 256
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -74,15 +78,51 @@ def _agreeing(a: list[Column], b: list[Column], n_hash: int) -> Column:
     return F.lit(n_hash) - total
 
 
-def _close(similarity: float, n_hash: int, a: str, b: str) -> Column:
-    """What a pair at or above ``similarity`` satisfies, by set sizes surely and by sketches almost surely."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+def _close(similarity: float, n_hash: int) -> Column:
+    """What a pair ``ka``, ``kb`` at or above ``similarity`` satisfies, by set sizes surely and by sketches almost surely."""
+    na, nb = F.col("ka.n"), F.col("kb.n")
     sizes = F.least(na, nb) * 100 >= F.greatest(na, nb) * round(100 * similarity)
-    return sizes & (_agreeing([F.col(f"{a}.s{k}") for k in range(_SKETCH)], [F.col(f"{b}.s{k}") for k in range(_SKETCH)], n_hash) >= F.lit(int(_LEAST_NIBBLES * n_hash)))
+    return sizes & (_agreeing([F.col(f"ka.s{k}") for k in range(_SKETCH)], [F.col(f"kb.s{k}") for k in range(_SKETCH)], n_hash) >= F.lit(int(_LEAST_NIBBLES * n_hash)))
+
+
+def _intersect(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links between two tiles of documents of different components, as edges to the smallest id linked within the tiles."""
+    for batch in batches:
+        for row in range(len(batch)):
+            (ids, parts, flat, owner), (ids2, parts2, flat2, owner2) = (_tile(batch.column(c)[row].values) for c in (0, 1))
+            n, n2 = len(ids), len(ids2)
+            values, codes = np.unique(np.concatenate([flat, flat2]), return_inverse=True)
+            mine, theirs = codes[: len(flat)], codes[len(flat) :]
+            by_code = np.argsort(theirs, kind="stable")
+            count = np.bincount(theirs, minlength=len(values))
+            first = np.cumsum(count) - count
+            common = np.zeros(n * n2, np.int64)
+            size, size2 = np.bincount(owner, minlength=n), np.bincount(owner2, minlength=n2)
+            bounds = np.concatenate([[0], np.cumsum(size)])
+            for lo, hi in slices(np.bincount(owner, count[mine], n).astype(int).tolist(), 4_000_000):
+                c = mine[bounds[lo] : bounds[hi]]
+                times = count[c]
+                at = np.repeat(first[c] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                pair = np.repeat(owner[bounds[lo] : bounds[hi]], times) * n2 + owner2[by_code[at]]
+                common += np.bincount(pair, minlength=n * n2)
+            common = common.reshape(n, n2)
+            linked = (common * 100 >= (size[:, None] + size2[None] - common) * round(100 * similarity)) & (parts[:, None] != parts2[None])
+            i, j = np.nonzero(linked)
+            every = np.concatenate([ids, ids2])
+            low = forest(every, i, j + n)
+            at = np.flatnonzero(low != every)
+            yield pa.RecordBatch.from_arrays([pa.array(low[at]), pa.array(every[at])], ["a", "b"])
+
+
+def _tile(docs: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, components, all items and the position of the document that each item belongs to."""
+    ids, parts, items = (docs.field(k) for k in range(3))
+    lengths = np.array(pa.compute.list_value_length(items))
+    return np.array(ids), np.array(parts), np.array(items.flatten()), np.repeat(np.arange(len(ids)), lengths)
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, similarity: float = 0.8, groups: int = 10, half: int = 3, scratch: Scratch | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, similarity: float = 0.8, groups: int = 12, half: int = 3, scratch: Scratch | None = None
 ) -> DataFrame:
     """One row ``(id, n_shingles, component_id, kept)`` per row of ``docs``.
 
@@ -94,12 +134,14 @@ def near_duplicates(
     An empty table gives an empty result; other columns are ignored.
 
     Equal sets collapse to one class first, so thousands of copies cost one signature. In each table every
-    class is compared with the smallest of its bucket; only pairs from buckets that this left in several
-    components are compared with each other, and of those only pairs whose sketches agree are confirmed.
-    No bucket is gathered in memory and none is capped.
+    class is compared with the smallest of its bucket; pairs whose sketches agree well enough are confirmed.
+    Pairs that agree, confirmed or not, join classes into families. Where a family is left with more than one
+    component, all its members outside the largest are compared with all others of the family, in tiles of
+    bounded size whose sets are intersected in memory and which emit links only. No bucket or family is
+    gathered whole and none is capped.
     """
     if not 2 <= 2 * groups * half <= 16 * _SKETCH:
-        raise ValueError("2 * groups * half must be at most 64")
+        raise ValueError("2 * groups * half must be at most 80")
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "minhash")
     n_hash = 2 * groups * half
@@ -112,28 +154,37 @@ def near_duplicates(
     known = classes.select("id", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(_SKETCH)])
 
     keys = classes.select("id", F.posexplode("left").alias("i", "x"), "right").select("id", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
-    w = Window.partitionBy("key")
-    buckets = keys.select("key", "id", F.min("id").over(w).alias("lead"), F.max("id").over(w).alias("last"), F.count("*").over(w).alias("members")).where("lead != last").drop("last")
-    buckets = scratch.save(buckets, "buckets")
-
-    stars = buckets.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    lead = keys.select("id", F.min("id").over(Window.partitionBy("key")).alias("lead")).where("id != lead")
+    stars = lead.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     ka, kb = known.alias("ka"), known.alias("kb")
-    close = stars.join(ka, stars.a == F.col("ka.id")).join(kb, stars.b == F.col("kb.id")).where(_close(similarity, n_hash, "ka", "kb")).select("a", "b")
-    tested = scratch.save(close, "stars")
-    links = scratch.save(_confirm(rows, tested, width, similarity, scratch), "links")
+    close = stars.join(ka, stars.a == F.col("ka.id")).join(kb, stars.b == F.col("kb.id")).where(_close(similarity, n_hash)).select("a", "b")
+    close = scratch.save(close, "stars")
+
+    ids = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = rows.join(ids, "id", "left_semi").mapInArrow(lambda it: _sets(it, width), "id long, items array<long>")
+    sets = scratch.save(sets.groupBy("id").agg(F.max("items").alias("items")), "sets", compression="lz4")
+    a, b = sets.select(F.col("id").alias("a"), F.col("items").alias("x")), sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
+    both = F.size(F.array_intersect("x", "y")).cast("long")
+    links = close.join(a, "a").join(b, "b").where(both * 100 >= (F.size("x") + F.size("y") - both) * round(100 * similarity)).select("a", "b")
+    links = scratch.save(links, "links")
 
     found = connected_components(links, scratch)
-    wide = buckets.where("members > 2").select("key", "id")
-    placed = wide.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    split = scratch.save(placed.join(mixed, "key", "left_semi").join(known, "id"), "split")
-    p, q = split.alias("p"), split.alias("q")
-    across = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.id") < F.col("q.id")) & (F.col("p.component") != F.col("q.component")) & _close(similarity, n_hash, "p", "q"))
-    more = across.select(F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = scratch.save(more, "across")
-    scratch.drop(split, buckets)
-    if not more.isEmpty():
-        extra = scratch.save(_confirm(rows, more, width, similarity, scratch), "links2")
+    families = connected_components(close, scratch).withColumnRenamed("component", "family")
+    members = families.join(found, "id", "left").select("id", "family", F.coalesce("component", "id").alias("component"))
+    members = scratch.save(members, "members")
+    parts = members.groupBy("family", "component").count()
+    split = parts.groupBy("family").agg(F.count("*").alias("parts"), F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n")).where("parts > 1")
+    split = split.select("family", F.col("main.component").alias("main"), F.col("main.count").alias("n_main"), F.col("n").alias("n_all"))
+    inside = F.col("component") == F.col("main")
+    tiles = F.ceil(F.when(inside, F.col("n_main")).otherwise(F.col("n_all") - F.col("n_main")) / _TILE)
+    dealt = members.join(split, "family").select("id", "family", "component", inside.alias("inside"), F.pmod(F.xxhash64("id"), tiles).alias("tile"))
+    tiled = dealt.join(sets, "id").groupBy("family", "inside", "tile").agg(F.collect_list(F.struct("id", "component", "items")).alias("docs"))
+    tiled = scratch.save(tiled, "tiles", compression="lz4")
+    p, q = tiled.where("not inside").alias("p"), tiled.alias("q")
+    work = p.join(q, (F.col("p.family") == F.col("q.family")) & (F.col("q.inside") | (F.col("p.tile") <= F.col("q.tile")))).select(F.col("p.docs").alias("x"), F.col("q.docs").alias("y"))
+    extra = work.mapInArrow(lambda it: _intersect(it, similarity), "a long, b long")
+    extra = scratch.save(extra.distinct(), "links2")
+    if not extra.isEmpty():
         found = connected_components(links.unionByName(extra), scratch)
 
     by_class = classes.select("c1", "c2", "n", F.col("id").alias("rep")).join(found.withColumnRenamed("id", "rep"), "rep", "left")
@@ -141,16 +192,3 @@ def near_duplicates(
     out = sig.select("id", "n", "c1", "c2").join(by_class, ["c1", "c2", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
-
-
-def _confirm(rows: DataFrame, pairs: DataFrame, width: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets reach the similarity; sets are made anew for the texts in pairs only."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = rows.join(ids, "id", "left_semi")
-    sets = texts.mapInArrow(lambda it: _sets(it, width), "id long, items array<long>")
-    sets = sets.groupBy("id").agg(F.max("items").alias("items"))
-    sets = scratch.save(sets, "sets", compression="lz4")
-    a, b = sets.select(F.col("id").alias("a"), F.col("items").alias("x")), sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y")).cast("long")
-    union = F.size("x") + F.size("y") - both
-    return pairs.join(a, "a").join(b, "b").where(both * 100 >= union * round(100 * similarity)).select("a", "b")

@@ -90,3 +90,18 @@ def slices(lengths: list[int], most: int = 1_000_000):
         total += n
     if lo < len(lengths):
         yield lo, len(lengths)
+
+
+def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of ``ids`` the smallest id it reaches over the links (i[k], j[k]) of positions."""
+    order = np.argsort(ids, kind="stable")
+    low = np.empty(len(ids), np.int64)
+    low[order] = np.arange(len(ids))
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = np.minimum(new, new[order[new]])
+        if (new == low).all():
+            return ids[order[low]]
+        low = new

@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from assay.llm.textkit import forest
 from assay.operators.components import connected_components
 from assay.scratch import Scratch
 
@@ -111,21 +112,9 @@ def _compare(batches: Iterator[pa.RecordBatch], axes: dict[int, np.ndarray], lea
             v = j if one else j + n
             if not one:
                 np.add.at(links, v, sa[i])
-            low = np.arange(len(ids))
-            order = np.argsort(ids, kind="stable")
-            rank = np.empty(len(ids), np.int64)
-            rank[order] = low
-            low = rank.copy()
-            while True:
-                new = low.copy()
-                np.minimum.at(new, i, low[v])
-                np.minimum.at(new, v, low[i])
-                new = np.minimum(new, new[order[new]])
-                if (new == low).all():
-                    break
-                low = new
+            low = forest(ids, i, v)
             at = np.flatnonzero(links)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(links[at]), pa.array(ids[order[low[at]]])], ["rep", "links", "low"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(links[at]), pa.array(low[at])], ["rep", "links", "low"])
 
 
 def near_duplicate_vectors(
