@@ -4,19 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import minhash, mixing, urlrules
+from assay.llm import bitpack, media, minhash, mixing, packing, urlrules, vectors
+from assay.scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The default vocabulary file; every operator takes another path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(urlrules.RULES, "host string, path string, verdict string")
     out = urlrules.judge_urls(_table(spark, sf_dir, "pages"), rules)
     return out.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+    return out.withColumnRenamed("id", "vec_id")
+
+
+def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.encode_media(_table(spark, sf_dir, "documents"), bytes_col="text")
+    return media.describe_media(stored).withColumnRenamed("id", "doc_id")
+
+
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "tokens").path("blocks")
+    blocks = bitpack.write_tokens(_table(spark, sf_dir, "documents"), vocabulary(), path)
+    return bitpack.read_tokens(blocks, keep_ids=False).drop("ids")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
     return out.withColumnRenamed("id", "doc_id")
@@ -28,6 +56,6 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filters, op9_minhash_near_dedup, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_url_filters, op4_embedding_near_dedup, op5_media_columns, op6_token_output, op9_minhash_near_dedup, op10_source_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op3_url_filters": urlrules.RULES_SQL, "op10_source_mixing": mixing.MIX_SQL}
