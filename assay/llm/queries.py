@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import bitpack, media, minhash, mixing, packing, urlrules, vectors
+from assay.llm import bitpack, langid, media, minhash, mixing, packing, quality, secrets, urlrules, vectors
 from assay.scratch import Scratch
 
 
@@ -19,6 +19,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
@@ -45,6 +50,16 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_tokens(blocks, keep_ids=False).drop("ids")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
     return out.withColumnRenamed("id", "doc_id")
@@ -56,6 +71,6 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_url_filters, op4_embedding_near_dedup, op5_media_columns, op6_token_output, op9_minhash_near_dedup, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_url_filters, op4_embedding_near_dedup, op5_media_columns, op6_token_output, op7_secret_scans, op8_quality_classifier, op9_minhash_near_dedup, op10_source_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op3_url_filters": urlrules.RULES_SQL, "op10_source_mixing": mixing.MIX_SQL}
