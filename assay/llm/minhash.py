@@ -161,7 +161,8 @@ def near_duplicates(
     close = scratch.save(close, "stars")
 
     ids = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = rows.join(ids, "id", "left_semi").mapInArrow(lambda it: _sets(it, width), "id long, items array<long>")
+    # a merge join at every size: the ids grow with the corpus, so they are no side to broadcast
+    sets = rows.join(ids.hint("merge"), "id", "left_semi").mapInArrow(lambda it: _sets(it, width), "id long, items array<long>")
     sets = scratch.save(sets.groupBy("id").agg(F.max("items").alias("items")), "sets", compression="lz4")
     a, b = sets.select(F.col("id").alias("a"), F.col("items").alias("x")), sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y")).cast("long")
