@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from assay.plans import evidence
+
+QUERIES: dict = {**evidence.QUERIES}
+ORACLE_SQL: dict[str, str] = {**evidence.ORACLE_SQL}
