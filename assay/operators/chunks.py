@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -50,21 +51,24 @@ def salience(text: Column, kind: Column, lexicon: Lexicon = Lexicon()) -> Column
     score = score * F.when(words < 12, 0.55).when(words < 25, 0.85).otherwise(1.0)
     return F.when(kind.isin(*GATED), F.lit(0.05)).otherwise(F.round(F.least(F.lit(1.0), score), 3))
 
-def _cut(key: tuple, cues: pd.DataFrame, target: int, most: int, pause: float, pause_words: int, speaker_words: int) -> pd.DataFrame:
-    """Chunk numbers for the cues of one run, in order; the decision before a cue reads only what is in the open chunk."""
-    cues = cues.sort_values("cue_no", kind="stable")
-    number, words, out = 0, 0, []
-    last_end = last_speaker = None
-    for start, end, speaker, n in zip(cues["t_start"], cues["t_end"], cues["speaker"], cues["n_words"]):
-        if out:
-            gap = start - last_end if pd.notna(start) and pd.notna(last_end) else 0.0
-            turn = pd.notna(speaker) and pd.notna(last_speaker) and speaker != last_speaker
-            if (turn and words >= speaker_words) or (gap >= pause and words >= pause_words) or words >= min(target, most):
-                number, words = number + 1, 0
-        out.append(number)
-        words += n
-        last_end, last_speaker = end, speaker
-    return pd.DataFrame({"source_id": cues["source_id"], "run": cues["run"], "cue_no": cues["cue_no"], "part": out})
+def _cut(parts: Iterator[pd.DataFrame], target: int, most: int, pause: float, pause_words: int, speaker_words: int) -> Iterator[pd.DataFrame]:
+    """Chunk numbers for cues in order of source, run and cue; the decision before a cue reads only what is in the open chunk."""
+    run, number, words, last_end, last_speaker = None, 0, 0, None, None
+    for cues in parts:
+        out = []
+        for source, r, start, end, speaker, n in zip(cues["source_id"], cues["run"], cues["t_start"], cues["t_end"], cues["speaker"], cues["n_words"]):
+            if (source, r) != run:
+                run, number, words = (source, r), 0, 0
+            else:
+                gap = start - last_end if start == start and last_end == last_end else 0.0  # NaN: untimed
+                turn = speaker is not None and last_speaker is not None and speaker != last_speaker
+                if (turn and words >= speaker_words) or (gap >= pause and words >= pause_words) or words >= min(target, most):
+                    number, words = number + 1, 0
+            out.append(number)
+            words += n
+            last_end, last_speaker = end, speaker
+        yield pd.DataFrame({"source_id": cues["source_id"], "run": cues["run"], "cue_no": cues["cue_no"], "part": out})
+
 
 def segment(cues: DataFrame, lexicon: Lexicon = Lexicon(), *, target_words: int = 280, max_words: int = 600, hard_gap: float = HARD_GAP, pause: float = 2.5, pause_words: int = 25, speaker_words: int = 200, carry: float = 0.7) -> DataFrame:
     """Chunks of ordered cues ``(source_id, cue_no, t_start, t_end, speaker, text)``.
@@ -77,9 +81,9 @@ def segment(cues: DataFrame, lexicon: Lexicon = Lexicon(), *, target_words: int
     gap = F.col("t_start") - F.lag("t_end").over(w)
     c = cues.withColumn("n_words", count_words(F.col("text"))).withColumn("jump", F.coalesce((gap >= hard_gap).cast("int"), F.lit(0)))
     c = c.withColumn("run", F.sum("jump").over(w))
-    slim = c.select("source_id", "run", "cue_no", "t_start", "t_end", "speaker", "n_words")
-    schema = slim.select("source_id", "run", "cue_no").schema.add("part", "int")
-    cut = slim.groupBy("source_id", "run").applyInPandas(lambda k, d: _cut(k, d, target_words, max_words, pause, pause_words, speaker_words), schema)
+    slim = c.select("source_id", "run", "cue_no", "t_start", "t_end", "speaker", "n_words").repartition("source_id", "run").sortWithinPartitions("source_id", "run", "cue_no")
+    schema = slim.select("source_id", "run", "cue_no").schema.add("part", "integer")
+    cut = slim.mapInPandas(lambda parts: _cut(parts, target_words, max_words, pause, pause_words, speaker_words), schema)
     d = c.join(cut, ["source_id", "run", "cue_no"]).groupBy("source_id", "run", "part").agg(F.array_sort(F.collect_list(F.struct("cue_no", "text", "t_start", "t_end", "speaker"))).alias("cues"))
     raw = F.trim(F.array_join(F.transform("cues", lambda x: x["text"]), " "))
     speakers = F.array_sort(F.array_distinct(F.filter(F.transform("cues", lambda x: x["speaker"]), lambda s: F.coalesce(s, F.lit("")) != "")))

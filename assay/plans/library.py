@@ -260,10 +260,10 @@ def gap_runs(spark, sf_dir):
 
 
 @query(
-    """WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events), w AS (SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY t RANGE BETWEEN 172800 PRECEDING AND CURRENT ROW) AS recent FROM e) SELECT event_id, user_id, recent FROM w WHERE recent >= 15"""
+    """WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events), w AS (SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY t RANGE BETWEEN 172800 PRECEDING AND CURRENT ROW) AS recent FROM e) SELECT event_id, user_id, recent FROM w WHERE recent >= 8"""
 )
 def bursts(spark, sf_dir):
-    return ops.bursts(table(spark, sf_dir, "events"), "user_id", "ts", 172800, 15).select("event_id", "user_id", "recent")
+    return ops.bursts(table(spark, sf_dir, "events"), "user_id", "ts", 172800, 8).select("event_id", "user_id", "recent")
 
 
 @query(

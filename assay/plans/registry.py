@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assay.plans import dedupe, evidence, graph, library
+from assay.plans import dedupe, evidence, graph, library, streams, text
 
-QUERIES: dict = {**evidence.QUERIES, **dedupe.QUERIES, **graph.QUERIES, **library.QUERIES}
-ORACLE_SQL: dict[str, str] = {**evidence.ORACLE_SQL, **dedupe.ORACLE_SQL, **graph.ORACLE_SQL, **library.ORACLE_SQL}
+QUERIES: dict = {**evidence.QUERIES, **dedupe.QUERIES, **graph.QUERIES, **library.QUERIES, **text.QUERIES, **streams.QUERIES}
+ORACLE_SQL: dict[str, str] = {**evidence.ORACLE_SQL, **dedupe.ORACLE_SQL, **graph.ORACLE_SQL, **library.ORACLE_SQL, **text.ORACLE_SQL, **streams.ORACLE_SQL}
