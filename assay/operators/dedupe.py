@@ -122,10 +122,10 @@ def resolve_tombstones(concepts: DataFrame, scratch: Scratch, id_col: str = "id"
         scratch.drop(p)
         p = q.select("id", F.col("next").alias("final_id"))
         if not moved:
-            return p
+            break
         n += 1
-    ends = p.select(F.col("id").alias("final_id"), F.col("final_id").alias("of_final"))
-    return p.join(ends, "final_id", "left").select("id", F.when(F.col("of_final").isNull() | (F.col("of_final") == F.col("final_id")), F.col("final_id")).alias("final_id"))
+    ends = concepts.where(F.col(into).isNull()).select(F.col(id_col).alias("final_id"), F.lit(True).alias("is_end"))
+    return p.join(ends, "final_id", "left").select("id", F.when(F.col("is_end"), F.col("final_id")).alias("final_id"))
 
 
 def position_weights(claims: DataFrame, as_of: str) -> DataFrame:

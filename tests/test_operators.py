@@ -25,11 +25,11 @@ def test_corroboration_grows_and_saturates(spark):
     assert values[0] == values[1] == 0 and values == sorted(values) and values[4] == pytest.approx(0.950, abs=1e-3) and values[-1] < 1
 
 
-def star(spark, claims, groups):
+def star(spark, claims, groups, specific=True):
     c = spark.createDataFrame([(i, i, "k", t, s, 0.0, False, 1.0) for i, (t, s) in enumerate(claims)], "source_id int, line int, concept_id string, evidence_tier string, stance string, hedge_level double, is_reported_from_other boolean, extraction_certainty double")
     s = spark.createDataFrame([(i, i, date(2025, 1, 1), "organic", 1.0) for i in range(len(claims))], "source_id int, creator_id int, published_at date, commercial_context string, asr_confidence double")
     k = spark.createDataFrame([(i, gr, 0.5) for i, gr in enumerate(groups)], "creator_id int, independence_group string, reliability double")
-    p = spark.createDataFrame([("k", "ADH", 0, date(2020, 1, 1), True, True, True, True, False)], "concept_id string, domain string, risk_tier int, first_seen date, has_parameters boolean, has_conditions boolean, has_mechanism boolean, has_implementation_steps boolean, unresolved_contradiction boolean")
+    p = spark.createDataFrame([("k", "ADH", 0, date(2020, 1, 1), *[specific] * 4, False)], "concept_id string, domain string, risk_tier int, first_seen date, has_parameters boolean, has_conditions boolean, has_mechanism boolean, has_implementation_steps boolean, unresolved_contradiction boolean")
     return ev.promotion(ev.confidence(ev.evidence(c, s, k), p, "2026-08-10"), "2026-08-10").first()
 
 
@@ -45,7 +45,7 @@ def test_missing_groups_are_lineages_of_their_own(spark):
 
 
 def test_hearsay_stays_low_and_strong_sources_count(spark):
-    assert star(spark, [("hearsay", "supports")] * 50, ["a", "b"] * 25).confidence < 0.55
+    assert star(spark, [("hearsay", "supports")] * 50, ["a", "b"] * 25, False).confidence < 0.55
     strong, weak = star(spark, [("peer_reviewed", "supports")] * 3, ["a", "b", "c"]), star(spark, [("anecdote", "supports")] * 30, ["a", "b", "c"] * 10)
     assert strong.confidence > weak.confidence and strong.state == "published"
 
