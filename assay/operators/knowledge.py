@@ -200,26 +200,5 @@ def curriculum_summary(cards: DataFrame) -> DataFrame:
     return cards.groupBy("module").agg(F.count_if(~F.col("contested")).alias("cards"), F.min(F.when(~F.col("contested"), F.col("confidence"))).alias("lowest"), F.count_if("contested").alias("left_out")).withColumn("gap", F.col("cards") < 3)
 
 
-def diameter_mm(text: Column) -> Column:
-    """".07", "07" and "0.07" (with or without mm) as 0.07; null for anything else."""
-    t = F.regexp_extract(F.lower(F.trim(text)), r"^(0?\.?\d{2})\s*(?:mm)?$", 1)
-    digits = F.regexp_extract(t, r"(\d{2})$", 1)
-    return F.when(t != "", F.concat(F.lit("0."), digits).cast("double"))
-
-
-def celsius(value: Column, unit: Column) -> Column:
-    return F.when(unit == "°F", (value - 32) * 5 / 9).otherwise(value)
-
-
-def clock(seconds: Column) -> Column:
-    """mm:ss, or dashes without a time."""
-    s = seconds.cast("int")
-    return F.when(seconds.isNull(), "--:--").otherwise(F.format_string("%02d:%02d", F.floor(s / 60).cast("int"), s % 60))
-
-
-def straight_quotes(text: Column) -> Column:
-    return F.translate(text, "‘’“”–—", "''\"\"--")
-
-
 def feature_floor(feature: Column) -> Column:
     return lookup(feature, vocab.FEATURE_FLOOR, 1.0)

@@ -4,24 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-
-def content_hash(text: Column) -> Column:
-    return F.sha2(F.trim(F.regexp_replace(text, r"[ \t\n\r\f\x0B]+", " ")), 256)
-
-
-def content_id(prefix: str, *parts: Column) -> Column:
-    """A short id of its parts: the same parts give the same id wherever and whenever they are hashed."""
-    return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(F.concat_ws("\u001f", *[p.cast("string") for p in parts]), 256), 1, 12))
-
-
-def slugify(text: Column, most: int = 60, stopwords: tuple[str, ...] = ("a", "an", "and", "the", "of", "for", "in", "on", "to", "with", "your", "is", "are")) -> Column:
-    """Lower case, ASCII, hyphens; stop words go where more than two words are there; null where nothing is left."""
-    folded = F.translate(F.lower(text), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
-    t = F.filter(F.split(F.regexp_replace(folded, "[^\\x00-\\x7F]", ""), "[^a-z0-9]+"), lambda w: w != "")
-    kept = F.filter(t, lambda w: ~w.isin(*stopwords))
-    chosen = F.when((F.size(t) > 2) & (F.size(kept) > 0), kept).otherwise(t)
-    slug = F.regexp_replace(F.substring(F.array_join(chosen, "-"), 1, most), "^-+|-+$", "")
-    return F.when(slug != "", slug)
+from assay.functions.columns import content_id
 
 
 def dedup_sources(sources: DataFrame) -> DataFrame:
@@ -47,7 +30,7 @@ def price_usage(usage: DataFrame, prices: DataFrame, read: float = 0.1, write: f
     models = usage.select("model").distinct()
     fit = models.join(F.broadcast(prices), F.lower(F.trim("model")).startswith(F.col("prefix")), "left")
     best = fit.groupBy("model").agg(F.max(F.struct(F.length("prefix").alias("n"), "price_in", "price_out")).alias("m"))
-    best = best.join(F.broadcast(top)).select("model", F.coalesce("m.price_in", "top_in").alias("price_in"), F.coalesce("m.price_out", "top_out").alias("price_out"))
+    best = best.withColumn("one", F.lit(1)).join(F.broadcast(top.withColumn("one", F.lit(1))), "one").select("model", F.coalesce("m.price_in", "top_in").alias("price_in"), F.coalesce("m.price_out", "top_out").alias("price_out"))
     cost = (F.col("input_tokens") * F.col("price_in") + F.col("cache_read_tokens") * F.col("price_in") * read + F.col("cache_write_tokens") * F.col("price_in") * write + F.col("output_tokens") * F.col("price_out")) / 1_000_000
     return usage.join(best, "model").withColumn("cost_usd", cost)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from assay import vocab
+from assay.functions import columns as fc
 from assay.operators import evidence as ev, ops, retrieve as rt
 from assay.plans.evidence import _EVIDENCE, AS_OF, case, cards
 from assay.sources.star import star, star_sql, table
@@ -142,7 +143,7 @@ def final_rank(spark, sf_dir):
     SELECT content_hash, min(doc_id) AS source_id, count(*) AS copies FROM h GROUP BY content_hash"""
 )
 def duplicate_sources(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"), ops.content_hash(F.col("text")).alias("content_hash"), F.col("doc_id").alias("registered"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"), fc.content_hash(F.col("text")).alias("content_hash"), F.col("doc_id").alias("registered"))
     return ops.dedup_sources(d).select("content_hash", "source_id", "copies")
 
 
@@ -161,13 +162,13 @@ def quarantined_sources(spark, sf_dir):
 )
 def pending_work(spark, sf_dir):
     w = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS input_id")
-    done = w.where("input_id % 3 = 0").select(ops.content_id("art", F.lit("S2-v1"), F.col("input_id"), F.lit("cfg")).alias("artifact_id"))
+    done = w.where("input_id % 3 = 0").select(fc.content_id("art", F.lit("S2-v1"), F.col("input_id"), F.lit("cfg")).alias("artifact_id"))
     return ops.pending(w, done, stage_version="S2-v1", config="cfg").select("artifact_id", "input_id")
 
 
 @query("SELECT doc_id AS object_id FROM documents WHERE doc_id % 5 = 0 OR doc_id % 7 = 0")
 def stale_embeddings(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("object_id"), F.lit("docs").alias("collection"), F.lit("m2").alias("model_version"), ops.content_hash(F.col("text")).alias("text_hash"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("object_id"), F.lit("docs").alias("collection"), F.lit("m2").alias("model_version"), fc.content_hash(F.col("text")).alias("text_hash"))
     stored = d.withColumns({"model_version": F.when(F.col("object_id") % 7 == 0, "m1").otherwise(F.col("model_version")), "text_hash": F.when(F.col("object_id") % 5 == 0, "old").otherwise(F.col("text_hash"))})
     return ops.stale_embeddings(d, stored).select("object_id")
 
@@ -328,7 +329,7 @@ def review_escalation(spark, sf_dir):
 )
 def content_ids(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", ops.content_id("doc", F.col("source"), F.col("doc_id")).alias("content_id"), ops.content_hash(F.col("text")).alias("content_hash"))
+    return d.select("doc_id", fc.content_id("doc", F.col("source"), F.col("doc_id")).alias("content_id"), fc.content_hash(F.col("text")).alias("content_hash"))
 
 
 @query(

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from assay.functions import columns as fc
 from assay.operators import knowledge as kn
 
 SHEET = """# Audit
@@ -45,10 +46,16 @@ def test_evidence_is_partitioned_by_source(spark, tmp_path):
 
 @pytest.mark.parametrize("text,mm", [(".07", 0.07), ("07", 0.07), ("0.07 mm", 0.07), ("0.15mm", 0.15), ("7", None), ("thick", None)])
 def test_diameter(spark, text, mm):
-    assert spark.createDataFrame([(text,)], "t string").select(kn.diameter_mm(F.col("t"))).first()[0] == mm
+    assert spark.createDataFrame([(text,)], "t string").select(fc.diameter_mm(F.col("t"))).first()[0] == mm
 
 
 def test_small_columns(spark):
     d = spark.createDataFrame([(75.4, 212.0, "°F", "“a” ‘b’"), (None, 20.0, "°C", "x")], "s double, v double, u string, t string")
-    rows = d.select(kn.clock(F.col("s")), kn.celsius(F.col("v"), F.col("u")), kn.straight_quotes(F.col("t"))).collect()
+    rows = d.select(fc.clock(F.col("s")), fc.celsius(F.col("v"), F.col("u")), fc.straight_quotes(F.col("t"))).collect()
     assert [tuple(r) for r in rows] == [("01:15", 100.0, "\"a\" 'b'"), ("--:--", 20.0, "x")]
+
+
+def test_ids(spark):
+    d = spark.createDataFrame([("x", "y", "Ångström ﬁne of ½ the Day")], "a string, b string, t string")
+    r = d.select(fc.pair_id("ctr", F.col("a"), F.col("b")).alias("p"), fc.pair_id("ctr", F.col("b"), F.col("a")).alias("q"), fc.content_id("c", F.col("a"), F.col("b")).alias("c"), fc.slugify(F.col("t")).alias("s")).first()
+    assert r.p == r.q and r.p.startswith("ctr_") and len(r.c) == 14 and r.s == "angstrom-fine-12-day"

@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from assay.functions import columns as fc
 from assay.operators import dedupe as dd, evidence as ev, graph as g, ops, retrieve as rt
 from assay.operators.components import connected_components
 from assay.scratch import Scratch, shared_dir
@@ -135,7 +136,7 @@ def test_prices(spark):
 
 @pytest.mark.parametrize("text,slug", [("The Café of Humidity & Glue!", "cafe-humidity-glue"), ("on the", "on-the"), ("!!!", None), ("x" * 80, "x" * 60)])
 def test_slug(spark, text, slug):
-    assert one(spark, ops.slugify(F.col("t")), t=text) == slug
+    assert one(spark, fc.slugify(F.col("t")), t=text) == slug
 
 
 def test_shared_folder_is_the_one_named(spark):
