@@ -151,3 +151,30 @@ def first_paths(pairs: DataFrame, edges: DataFrame, depth: int = 4) -> DataFrame
     d = paths.join(pairs.select(F.col("a").alias("start"), F.col("b").alias("node")), ["start", "node"])
     w = Window.partitionBy("start", "node").orderBy("hops", "path")
     return d.withColumn("n", F.row_number().over(w)).where("n = 1").select(F.col("start").alias("a"), F.col("node").alias("b"), "hops", "path")
+
+
+def betweenness(edges: DataFrame, pivots: DataFrame, scratch: Scratch, most: int = 20) -> DataFrame:
+    """Rows ``(id, score)``: how many shortest paths from the pivots ``(pivot)`` run through a node, each path's share counted; up to ``most`` hops.
+
+    With all nodes as pivots it is exact; with a sample it is an estimate, to be scaled by the share of pivots.
+    Paths are counted level by level outwards and their shares gathered level by level back.
+    """
+    e = scratch.save(edges.select(F.col("subject_id").alias("v"), F.col("object_id").alias("w")).where("v != w").distinct(), "edges")
+    level = scratch.save(pivots.select("pivot", F.col("pivot").alias("id"), F.lit(1.0).alias("paths")), "level0")
+    levels, seen = [level], level.select("pivot", "id")
+    while len(levels) <= most:
+        step = level.join(e, level["id"] == e["v"]).groupBy("pivot", F.col("w").alias("id")).agg(F.sum("paths").alias("paths"))
+        level = scratch.save(step.join(seen, ["pivot", "id"], "left_anti"), f"level{len(levels)}")
+        if level.isEmpty():
+            break
+        levels.append(level)
+        seen = seen.unionByName(level.select("pivot", "id"))
+    share = levels[-1].select("pivot", "id", "paths", F.lit(0.0).alias("share"))
+    found = share
+    for below in reversed(levels[:-1]):
+        up = below.join(e, below["id"] == e["v"]).select("pivot", F.col("v").alias("low"), F.col("paths").alias("low_paths"), F.col("w").alias("id"))
+        got = up.join(share, ["pivot", "id"]).groupBy("pivot", "low").agg(F.sum(F.col("low_paths") / F.col("paths") * (1 + F.col("share"))).alias("s"))
+        share = below.join(got.withColumnRenamed("low", "id"), ["pivot", "id"], "left").select("pivot", "id", "paths", F.coalesce("s", F.lit(0.0)).alias("share"))
+        share = scratch.save(share, "share")
+        found = found.unionByName(share)
+    return found.where("pivot != id").groupBy("id").agg(F.sum("share").alias("score")).where("score > 0")

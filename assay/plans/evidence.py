@@ -50,7 +50,7 @@ joined AS (
          count(DISTINCT creator_id) AS creators, count(DISTINCT gkey) AS groups
   FROM joined GROUP BY concept_id
 ), scored AS (
-  SELECT e.*, p.domain, p.title, p.risk_tier, p.first_seen, p.unresolved_contradiction,
+  SELECT e.*, p.domain, p.title, p.category, p.risk_tier, p.first_seen, p.unresolved_contradiction,
          0.6e0 * w_max + 0.4e0 * w_mean AS evidence_strength, r_mean AS source_quality,
          CASE WHEN w_for + w_against = 0 THEN 0.5e0 ELSE ((w_for - w_against) / (w_for + w_against) + 1) / 2 END AS consensus,
          1 - exp(-groups / 3e0) AS corroboration,
@@ -281,3 +281,11 @@ def audit_score(spark, sf_dir):
 def source_reliability(spark, sf_dir):
     k = star(spark, sf_dir, "creators").selectExpr("creator_id", "reliability AS expertise", "creator_id % 10 / 10e0 AS track_record", "creator_id % 4 / 4e0 AS citation")
     return ev.source_reliability(star(spark, sf_dir, "sources"), k).select("source_id", _r("reliability"))
+
+
+@query(_EVIDENCE + "SELECT concept_id, title FROM cards WHERE domain = 'ADH' AND state = 'published' AND risk_tier <= 1 AND confidence >= 0.6 AND newest >= DATE '2000-01-01' AND category IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#12')")
+def card_list(spark, sf_dir):
+    """Cards by domain, status, risk, confidence, category and date together."""
+    c = F.col
+    d = cards(spark, sf_dir).where((c("domain") == "ADH") & (c("state") == "published") & (c("risk_tier") <= 1) & (c("confidence") >= 0.6) & (c("newest") >= "2000-01-01") & c("category").isin("Brand#1", "Brand#2", "Brand#3", "Brand#12"))
+    return d.select("concept_id", "title")

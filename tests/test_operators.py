@@ -142,3 +142,27 @@ def test_slug(spark, text, slug):
 def test_shared_folder_is_the_one_named(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (named.rstrip("/") if named else shared_dir(spark))
+
+
+def test_betweenness_against_brute_force(spark):
+    rng = random.Random(9)
+    edges = {(rng.randrange(12), rng.randrange(12)) for _ in range(30)} | {(1, 1)}
+    nodes, out = range(12), {}
+    after = {v: [w for a, w in edges if a == v and w != v] for v in nodes}
+    for s in nodes:  # every shortest path, listed
+        paths, front, seen = {s: [[s]]}, [s], {s}
+        while front:
+            nxt = {}
+            for v in front:
+                for w in after[v]:
+                    if w not in seen:
+                        nxt.setdefault(w, []).extend(p + [w] for p in paths[v])
+            paths |= nxt
+            front, seen = list(nxt), seen | set(nxt)
+        for t, ps in paths.items():
+            for p in ps:
+                for v in p[1:-1]:
+                    out[v] = out.get(v, 0) + 1 / len(ps)
+    e = spark.createDataFrame(list(edges), "subject_id long, object_id long")
+    got = {r.id: r.score for r in g.betweenness(e, spark.range(12).withColumnRenamed("id", "pivot"), Scratch(spark, "t")).collect()}
+    assert got == {k: pytest.approx(v) for k, v in out.items()}
