@@ -3,38 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from assay import vocab
+
 HARD_GAP = 25.0
 GATED = ("promo", "intro", "outro")
+#: Either case, and letters of every script count as letters.
+_ANY = "(?iU)"
+
 
 @dataclass(frozen=True)
 class Lexicon:
     """The patterns (of Java) that tell promotion, small talk, explanation and the domain; another field brings its own."""
 
-    promo: str = r"(?i)\b(?:sponsor|sponsored by|discount code|use code|link in bio|giveaway|subscribe|coupon|affiliate|sign up|waitlist|register now|link below|shop now|promo)\b"
-    admin: str = r"(?i)\b(?:welcome back|today'?s episode|before we (?:start|begin)|thanks for (?:watching|listening)|see you next)\b"
-    technical: str = r"(?i)\b(?:because|so that|which is why|that'?s why|the reason|causes?|caused|results? in|leads? to|due to|depends? on|happens when)\b"
-    domain: str = r"(?i)\b(?:adhesive|glue|humidity|retention|bond|primer|client|patch test)\b"
-    numeric: str = r"(?i)\b\d+(?:\.\d+)?\s*(?:%|(?:mm|percent|degrees?|seconds?|mins?|minutes?|hours?|weeks?|days?|months?)\b)"
-    cause: str = r"(?i)\b(?:because|so that|which is why|that'?s why|the reason)\b"
-    advice: str = r"(?i)\b(?:should|never|always|make sure|avoid|need to|have to)\b"
-    experience: str = r"(?i)\b(?:i had a|i've had|i see|i've seen|she was|he was|they were|my client|my student|happened to|ended up|turned out)\b"
-    fillers: str = field(default=r"(?i)\b(?:um+|uh+|erm+|mm+hmm)\b[,\s]*")
+    promo: str = _ANY + vocab.PROMO
+    admin: str = _ANY + vocab.ADMIN
+    technical: str = _ANY + vocab.TECHNICAL
+    domain: str = _ANY + vocab.DOMAIN
+    numeric: str = _ANY + vocab.NUMERIC
+    cause: str = _ANY + vocab.CAUSE
+    advice: str = _ANY + vocab.ADVICE
+    experience: str = _ANY + vocab.EXPERIENCE
+    fillers: str = _ANY + vocab.FILLERS
+
 
 def clean_text(raw: Column, lexicon: Lexicon = Lexicon()) -> Column:
     """Fillers and stutters dropped, spaces collapsed, the first letter a capital; hedges stay."""
     t = F.regexp_replace(raw, lexicon.fillers, "")
-    t = F.regexp_replace(t, r"(?i)\b(\w+)(\s+\1\b)+", "$1")
+    t = F.regexp_replace(t, r"(?iU)\b(\w+)(\s+\1\b)+", "$1")
     t = F.trim(F.regexp_replace(t, r"\s+", " "))
     return F.concat(F.upper(F.substring(t, 1, 1)), F.substr(t, F.lit(2)))
 
+
 def count_words(text: Column) -> Column:
     return F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
 
+
 def segment_type(text: Column, lexicon: Lexicon = Lexicon(), *, short: int = 150, density: float = 1.2, explains: int = 3) -> Column:
     """promo, intro or explanation, by how dense the signs are: any sign in a short text, enough per hundred words in a long one."""
     hits = lambda p: F.regexp_count(text, F.lit(p))
@@ -43,6 +51,7 @@ def segment_type(text: Column, lexicon: Lexicon = Lexicon(), *, short: int = 150
     plain = hits(lexicon.technical) + F.when(text.rlike(lexicon.numeric), 2).otherwise(0) < explains
     return F.when(dense(hits(lexicon.promo)) & plain, "promo").when(dense(hits(lexicon.admin)) & (hits(lexicon.promo) == 0) & plain, "intro").otherwise("explanation")
 
+
 def salience(text: Column, kind: Column, lexicon: Lexicon = Lexicon()) -> Column:
     """How likely a chunk carries knowledge: domain words, numbers, causes, advice and experience; short chunks damped."""
     has = lambda p, v: F.when(text.rlike(p), v).otherwise(0.0)
@@ -51,6 +60,7 @@ def salience(text: Column, kind: Column, lexicon: Lexicon = Lexicon()) -> Column
     score = score * F.when(words < 12, 0.55).when(words < 25, 0.85).otherwise(1.0)
     return F.when(kind.isin(*GATED), F.lit(0.05)).otherwise(F.round(F.least(F.lit(1.0), score), 3))
 
+
 def _cut(parts: Iterator[pd.DataFrame], target: int, most: int, pause: float, pause_words: int, speaker_words: int) -> Iterator[pd.DataFrame]:
     """Chunk numbers for cues in order of source, run and cue; the decision before a cue reads only what is in the open chunk."""
     run, number, words, last_end, last_speaker = None, 0, 0, None, None
@@ -90,6 +100,7 @@ def segment(cues: DataFrame, lexicon: Lexicon = Lexicon(), *, target_words: int
     d = d.select("source_id", F.col("cues")[0]["cue_no"].alias("first_cue"), raw.alias("raw_text"), F.col("cues")[0]["t_start"].alias("t_start"), F.element_at("cues", -1)["t_end"].alias("t_end"), speakers.alias("speakers"))
     return finish(d.where("raw_text != ''"), lexicon, hard_gap, carry)
 
+
 def finish(d: DataFrame, lexicon: Lexicon = Lexicon(), hard_gap: float = HARD_GAP, carry: float = 0.7) -> DataFrame:
     """Numbers, spans, kinds and salience of chunks ``(source_id, first_cue, raw_text, t_start, t_end, speakers)``.
 
@@ -111,5 +122,6 @@ def finish(d: DataFrame, lexicon: Lexicon = Lexicon(), hard_gap: float = HARD_GA
         lifted.alias("salience"), "segment_type", F.col("char_start").cast("int").alias("char_start"), (F.col("char_start") + F.length("raw_text")).cast("int").alias("char_end"),
     )
 
+
 def salience_gate(chunks: DataFrame, least: float = 0.30) -> DataFrame:
     return chunks.where(F.col("salience") >= least)
