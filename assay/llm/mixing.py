@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from assay.scratch import Scratch
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hex digits of the shuffle hash that deal a source's documents into 16 ** 3 buckets, so that no task holds a whole source.
 _DIGITS = 3
@@ -43,7 +45,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), bud
 
 
 def fair_queue(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[float, ...] = (5, 2, 1), budget: float = 1.5, most: int = 2, seed: str = "mix"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[float, ...] = (5, 2, 1), budget: float = 1.5, most: int = 2, seed: str = "mix", scratch: Scratch | None = None
 ) -> DataFrame:
     """One row ``(id, source, hash, size, source_size, target, virtual_finish, copies, taken)`` per document.
 
@@ -63,6 +65,7 @@ def fair_queue(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), shuffle_key(F.col(id_col), seed).alias("hash"), word_count(F.col(text_col)).alias("size"))
     rows = rows.withColumn("bucket", F.substring("hash", 1, _DIGITS))
+    rows = (scratch or Scratch(docs.sparkSession, "mixing")).save(rows, "sizes")  # texts are read once
     deals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("size"))
     before = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     targets = source_targets(deals, weights, budget, most)
@@ -81,17 +84,26 @@ def fair_queue(
     return placed.select("id", "source", "hash", "size", "source_size", "target", finish.alias("virtual_finish"), "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", *, seed: str = "mix", **options) -> DataFrame:
+#: Sources up to which their cuts (a hundred bytes each) travel to every task; beyond, they are joined by a shuffle.
+_MOST_SOURCES = 100_000
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", *, seed: str = "mix", scratch: Scratch | None = None, **options) -> DataFrame:
     """The documents of the mix, each as many times as it is in it, with the columns of ``docs``.
 
     A source's cut is one point of its shuffled order, so whole rows need no shuffle: the cuts, one row per
-    source, are joined to them. Documents of a source that has no words are left out.
+    source, are counted and, where they are few, sent to the tasks that read the rows. Documents of a source
+    that has no words are left out.
     """
-    plan = fair_queue(docs, id_col, source_col=source_col, seed=seed, **options)
+    scratch = scratch or Scratch(docs.sparkSession, "mixing")
+    plan = scratch.save(fair_queue(docs, id_col, source_col=source_col, seed=seed, scratch=scratch, **options), "plan")
     top = plan.groupBy("source").agg(F.max("copies").alias("__top"), F.min("copies").alias("__low"))
     p, t = plan.alias("p"), top.alias("t")
     cut = p.join(t, F.col("p.source").eqNullSafe(F.col("t.source"))).where("p.copies = t.__top").groupBy("p.source").agg(F.max("p.hash").alias("__cut"), F.first("t.__top").alias("__top"), F.first("t.__low").alias("__low"))
     cut = cut.select(F.col("source").alias("__source"), "__cut", "__top", "__low")
+    cut = scratch.save(cut, "cuts")
+    if cut.count() <= _MOST_SOURCES:
+        cut = F.broadcast(cut)
     d = docs.join(cut, F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
     times = F.when(shuffle_key(F.col(id_col), seed) <= F.col("__cut"), F.col("__top")).otherwise(F.col("__low"))
     d = d.withColumn("__times", times).where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
