@@ -13,6 +13,9 @@ from assay.llm.tokens import encoder
 
 _BLOCKS = "shard int, block int, first_id long, last_id long, local_start long, n_ids long, bits int, doc_ids array<long>, counts array<long>, payload binary"
 
+#: Shards up to which their starts (16 bytes each) travel to every task; beyond, they are joined by a shuffle.
+_MOST_SHARDS = 1_000_000
+
 
 def bits_for(vocab_size: int) -> int:
     """The fewest bits that hold every id below ``vocab_size``."""
@@ -103,11 +106,15 @@ def _read(batches: Iterator[pa.RecordBatch], keep_ids: bool) -> Iterator[pa.Reco
 def read_tokens(blocks: DataFrame, *, keep_ids: bool = True) -> DataFrame:
     """Rows ``(doc_id, start, n_tokens, ids_crc32, ids)`` of written blocks; ``start`` counts the ids of all documents before.
 
-    The shards' starts come from one sum per shard.
+    The shards' starts come from one sum per shard; they are counted and, where they are few, sent to the tasks
+    that read the blocks.
     """
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     base = F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = blocks.join(shards.select("shard", base.alias("base")), "shard").withColumn("start", F.col("base") + F.col("local_start"))
+    starts = shards.select("shard", base.alias("base"))
+    if shards.count() <= _MOST_SHARDS:
+        starts = F.broadcast(starts)
+    placed = blocks.join(starts, "shard").withColumn("start", F.col("base") + F.col("local_start"))
     placed = placed.select("doc_ids", "counts", "payload", "bits", "start")
     return placed.mapInArrow(lambda it: _read(it, keep_ids), "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
