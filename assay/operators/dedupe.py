@@ -173,3 +173,12 @@ def merge_parameters(parameters: DataFrame) -> DataFrame:
     """One row per (name, unit, entity); differing values are disputed, never averaged."""
     d = parameters.groupBy("name", "unit", "entity_id").agg(F.count_distinct("value").alias("values"), F.min("value").alias("lowest"), F.max("value").alias("highest"), F.count("*").alias("mentions"))
     return d.withColumn("disputed", F.col("values") > 1)
+
+
+def centroids(vectors: DataFrame) -> DataFrame:
+    """Mean vector, claims and distinct groups per concept of rows ``(concept_id, vector, gkey)``; vectors of one length."""
+    places = vectors.select("concept_id", F.posexplode("vector").alias("pos", "x"))
+    mean = places.groupBy("concept_id", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    mean = mean.groupBy("concept_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias("centroid"))
+    counts = vectors.groupBy("concept_id", "gkey").agg(F.count("*").alias("n")).groupBy("concept_id").agg(F.sum("n").alias("claims"), F.count("*").alias("groups"))
+    return mean.join(counts, "concept_id")

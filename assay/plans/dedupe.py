@@ -192,3 +192,26 @@ def shared_source_pairs(spark, sf_dir):
     """Concepts that two sources and more have in common, by sources that aren't too common themselves."""
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("id")).agg(F.collect_set(F.col("l_orderkey").cast("string")).alias("keys"))
     return dd.block_pairs(rows, F.col("keys"), "source", 50, shared=2)
+
+
+@query(
+    """WITH p AS (SELECT label AS concept_id, generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding) AS x FROM embeddings), c AS (SELECT label AS concept_id, count(*) AS claims, count(DISTINCT vec_id % 7) AS groups FROM embeddings GROUP BY label)
+    SELECT concept_id, CAST(pos AS INT) AS pos, round(avg(CAST(x AS DOUBLE)) + 1e-9, 6) AS x, any_value(claims) AS claims, any_value(groups) AS groups FROM p JOIN c USING (concept_id) GROUP BY concept_id, pos"""
+)
+def concept_centroids(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings").selectExpr("label AS concept_id", "embedding AS vector", "vec_id % 7 AS gkey")
+    d = dd.centroids(v).select("concept_id", F.posexplode("centroid").alias("pos", "x"), "claims", "groups")
+    return d.withColumn("x", F.round(F.col("x") + 1e-9, 6))
+
+
+@query(
+    r"""WITH t AS (SELECT doc_id AS id, source AS creator, list_filter(string_split_regex(lower(text), '[ \t\n\r\f\x0B]+'), lambda x: x <> '') AS w FROM documents),
+    g AS (SELECT id, creator, list_distinct(list_transform(range(1, len(w) - 3), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] || ' ' || w[k + 3] || ' ' || w[k + 4])) AS grams FROM t WHERE len(w) >= 5),
+    k AS (SELECT id, unnest(grams) AS key FROM g), f AS (SELECT key FROM k GROUP BY key HAVING count(*) BETWEEN 2 AND 20),
+    c AS (SELECT DISTINCT a.id AS a_id, b.id AS b_id FROM k a JOIN f USING (key) JOIN k b ON a.key = b.key AND a.id < b.id)
+    SELECT a_id, b_id, round(len(list_intersect(x.grams, y.grams)) / len(list_distinct(list_concat(x.grams, y.grams))) + 1e-9, 6) AS overlap FROM c JOIN g x ON x.id = a_id JOIN g y ON y.id = b_id WHERE x.creator <> y.creator AND len(list_intersect(x.grams, y.grams)) / len(list_distinct(list_concat(x.grams, y.grams))) > 0.6"""
+)
+def echo_pairs(spark, sf_dir):
+    """Documents of different sources that say nearly the same."""
+    d = table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "source AS creator", "text")
+    return dd.echo_pairs(d, width=5, most_common=20).select("a_id", "b_id", F.round(F.col("overlap") + 1e-9, 6).alias("overlap"))

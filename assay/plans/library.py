@@ -340,3 +340,51 @@ def card_export(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("card_id"), F.col("p_type").alias("domain"), F.col("p_size").cast("string").alias("size"))
     sizes = p.groupBy("domain").agg(F.when(F.count("*") > 350, "overflow").otherwise("ok").alias("shelf"))
     return p.join(sizes, "domain").select("card_id", F.concat_ws(",", F.concat(F.lit("domain/"), "domain"), F.concat(F.lit("size/"), "size")).alias("tags"), "shelf")
+
+
+@query(
+    f"""WITH {star_sql("claims")}, m AS (SELECT speaker_id AS entity_id, count(*) AS mentions FROM claims GROUP BY speaker_id HAVING count(*) >= 10) SELECT entity_id, mentions FROM m WHERE entity_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0)"""
+)
+def entity_gaps(spark, sf_dir):
+    """Entities that many claims mention and no card covers."""
+    m = star(spark, sf_dir, "claims").groupBy(F.col("speaker_id").alias("entity_id")).agg(F.count("*").alias("mentions")).where("mentions >= 10")
+    return m.join(table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").selectExpr("s_suppkey AS entity_id"), "entity_id", "left_anti")
+
+
+@query(
+    """WITH a AS (SELECT o_orderpriority AS v FROM orders WHERE o_orderkey % 2 = 0), b AS (SELECT CASE WHEN o_orderkey % 101 = 0 THEN 'X' ELSE o_orderpriority END AS v FROM orders WHERE o_orderkey % 2 = 0),
+    l AS (SELECT * FROM a EXCEPT ALL SELECT * FROM b), r AS (SELECT * FROM b EXCEPT ALL SELECT * FROM a) SELECT v, 'left' AS side, count(*) AS n FROM l GROUP BY v UNION ALL SELECT v, 'right', count(*) FROM r GROUP BY v"""
+)
+def state_difference(spark, sf_dir):
+    """Rows by which a recomputed state differs from the stored one, with how often."""
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0")
+    d = ops.set_difference(o.selectExpr("o_orderpriority AS v"), o.selectExpr("CASE WHEN o_orderkey % 101 = 0 THEN 'X' ELSE o_orderpriority END AS v"))
+    return d.groupBy("v", "side").agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH r AS (SELECT p_type AS query, CASE WHEN p_type < 'M' THEN 'diagnostic' ELSE 'procedural' END AS qtype, p_partkey AS id, p_size / 50e0 AS score FROM part WHERE p_partkey % 9 = 0), e AS (SELECT p_partkey AS s, p_partkey // 2 AS o, CASE p_size % 4 WHEN 0 THEN 'indicates' WHEN 1 THEN 'requires' WHEN 2 THEN 'precedes' ELSE 'likes' END AS predicate FROM part),
+    q(qtype, predicate) AS (VALUES ('diagnostic', 'indicates'), ('procedural', 'requires'), ('procedural', 'precedes'), ('procedural', 'part_of'))
+    SELECT query, e.o AS id, round(max(score * 0.7e0) + 1e-9, 6) AS score FROM r JOIN q USING (qtype) JOIN e ON e.s = r.id AND e.predicate = q.predicate WHERE NOT EXISTS (SELECT 1 FROM r x WHERE x.query = r.query AND x.id = e.o) GROUP BY query, e.o"""
+)
+def graph_expansion(spark, sf_dir):
+    from assay.operators import graph as g
+
+    p = table(spark, sf_dir, "part")
+    r = p.where("p_partkey % 9 = 0").selectExpr("p_type AS query", "CASE WHEN p_type < 'M' THEN 'diagnostic' ELSE 'procedural' END AS qtype", "p_partkey AS id", "p_size / 50e0 AS score")
+    e = p.selectExpr("p_partkey AS subject_id", "p_partkey div 2 AS object_id", "CASE p_size % 4 WHEN 0 THEN 'indicates' WHEN 1 THEN 'requires' WHEN 2 THEN 'precedes' ELSE 'likes' END AS predicate")
+    used = spark.createDataFrame([("diagnostic", "indicates"), ("procedural", "requires"), ("procedural", "precedes"), ("procedural", "part_of")], "qtype string, predicate string")
+    return g.expand(r, e, used).select("query", "id", F.round(F.col("score") + 1e-9, 6).alias("score"))
+
+
+@query(
+    """WITH f AS (SELECT source, CASE WHEN n_chars < 300 THEN 'quote_too_short' END AS a, CASE WHEN lang <> 'en' THEN 'scope_invalid' END AS b FROM documents), x AS (SELECT source AS source_id, unnest([a, b]) AS code FROM f), y AS (SELECT source_id, code FROM x WHERE code IS NOT NULL)
+    SELECT source_id, code, CASE code WHEN 'quote_too_short' THEN 'discard' ELSE 'flag' END AS severity, count(*) AS n FROM y GROUP BY source_id, code UNION ALL SELECT NULL, code, CASE code WHEN 'quote_too_short' THEN 'discard' ELSE 'flag' END, count(*) FROM y GROUP BY code"""
+)
+def extraction_stats(spark, sf_dir):
+    """Findings by source and code, with totals."""
+    from assay.operators.validate import extraction_stats as stats
+
+    one = lambda when, code, severity: F.when(when, F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.lit("").alias("detail")))
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("source_id"), F.array_compact(F.array(one(F.col("n_chars") < 300, "quote_too_short", "discard"), one(F.col("lang") != "en", "scope_invalid", "flag"))).alias("findings"))
+    return stats(d).select("source_id", "code", "severity", "n")

@@ -78,3 +78,19 @@ def each_batch(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkp
     q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
+
+
+def transcripts_to_chunks(table: str, segment: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A sink for arriving transcript files ``(source_id, suffix, content)``: parsed, segmented and added once, by source and sequence.
+
+    The same functions as in batch run on each batch; a source that was stored before adds nothing.
+    """
+    from assay.sources.transcripts import parse_transcripts
+
+    add = append_once(table, "chunk_id")
+
+    def write(batch: DataFrame, number: int) -> None:
+        cues, _ = parse_transcripts(batch.dropDuplicates(["source_id"]))
+        add(segment(cues).withColumn("chunk_id", F.concat_ws("#", "source_id", "sequence")), number)
+
+    return write

@@ -24,3 +24,20 @@ def test_append_once_and_recompute(spark, tmp_path):
         assert got == {"k1": (2, 2), "k2": (1, 1)}
     finally:
         spark.sql("DROP TABLE IF EXISTS stream_claims")
+
+
+def test_arriving_transcripts_become_chunks_once(spark, tmp_path):
+    from assay.operators.chunks import segment
+
+    src, schema = tmp_path / "in", "source_id string, suffix string, content string"
+    spark.sql("DROP TABLE IF EXISTS stream_chunks")
+    rows = [("a", "txt", "One paragraph.\n\nAnother one."), ("b", "vtt", "WEBVTT\n\n00:00:01.0 --> 00:00:02.0\nhello")]
+    sink = flows.transcripts_to_chunks("stream_chunks", segment)
+    try:
+        for part in (rows, rows[:1]):
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(src))
+            flows.each_batch(flows.arrivals(spark, str(src), schema), sink, str(tmp_path / "ck"))
+        got = spark.table("stream_chunks").orderBy("chunk_id").collect()
+        assert [(r.source_id, r.raw_text) for r in got] == [("a", "One paragraph. Another one."), ("b", "hello")]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS stream_chunks")
