@@ -156,9 +156,15 @@ def echo_pairs(texts: DataFrame, *, width: int = 3, most_common: int = 200, over
     """
     words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
     n = F.size("words") - (width - 1)
-    grams = F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.array_join(F.slice("words", k, width), " "))))
-    d = texts.withColumn("words", words).select("id", "creator", grams.alias("grams")).where("grams is not null")
-    pairs = block_pairs(d, F.col("grams"), "shingle", most_common).select("a_id", "b_id")
+    grams = F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.xxhash64(F.array_join(F.slice("words", k, width), " ")))))
+    scratch = Scratch(texts.sparkSession, "echo")
+    d = scratch.save(texts.withColumn("words", words).select("id", "creator", grams.alias("grams")).where("grams is not null"), "grams")
+    k = d.select("id", F.explode("grams").alias("key"))
+    fit = k.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n").between(2, most_common)).select("key")
+    k = scratch.save(k.join(fit, "key").join(d.select("id", "creator", F.size("grams").alias("n")), "id"), "keys")
+    x, y = k.alias("x"), k.alias("y")
+    fair = (F.least("x.n", "y.n") > F.greatest("x.n", "y.n") * overlap) & (F.col("x.creator") != F.col("y.creator"))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & fair).select(F.col("x.id").alias("a_id"), F.col("y.id").alias("b_id")).distinct()
     side = lambda s: d.select(F.col("id").alias(f"{s}_id"), F.col("creator").alias(f"{s}_creator"), F.col("grams").alias(f"{s}_grams"))
     j = jaccard(F.col("a_grams"), F.col("b_grams"))
     return pairs.join(side("a"), "a_id").join(side("b"), "b_id").where("a_creator <> b_creator").withColumn("overlap", j).where(F.col("overlap") > overlap).select("a_id", "b_id", "overlap")
