@@ -114,6 +114,64 @@ def _intersect(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator
             yield pa.RecordBatch.from_arrays([pa.array(low[at]), pa.array(every[at])], ["a", "b"])
 
 
+def _near(batches: Iterator[pa.RecordBatch], similarity: float, n_hash: int) -> Iterator[pa.RecordBatch]:
+    """Close pairs of two tiles of bucket mates, one of them at least not close to the bucket's lead: of every member the smallest it is close to, and what joins all that closeness joins."""
+    for batch in batches:
+        for row in range(len(batch)):
+            (ids, n, rest, sketch), (ids2, n2, rest2, sketch2) = (_mates(batch.column(c)[row].values) for c in (0, 1))
+            apart = np.zeros((len(ids), len(ids2)), np.int64)
+            for k in range(_SKETCH):
+                d = sketch[:, k, None] ^ sketch2[None, :, k]
+                d |= d >> U64(1)
+                d |= d >> U64(2)
+                apart += np.bitwise_count(d & U64(0x1111111111111111))
+            sizes = np.minimum(n[:, None], n2[None]) * 100 >= np.maximum(n[:, None], n2[None]) * round(100 * similarity)
+            near = sizes & (n_hash - apart >= int(_LEAST_NIBBLES * n_hash)) & (rest[:, None] | rest2[None]) & (ids[:, None] != ids2[None])
+            i, j = np.nonzero(near)
+            if not len(i):
+                continue
+            every, at = np.unique(np.concatenate([ids, ids2]), return_inverse=True)
+            x, y = at[: len(ids)][i], at[len(ids) :][j]
+            first = np.arange(len(every))
+            np.minimum.at(first, x, y)
+            np.minimum.at(first, y, x)
+            low = np.searchsorted(every, forest(every, x, y))
+            edges = np.unique(np.concatenate([np.stack([e, np.arange(len(every))], axis=1) for e in (first, low)]), axis=0)
+            edges = edges[edges[:, 0] != edges[:, 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(every[edges[:, 0]]), pa.array(every[edges[:, 1]])], ["a", "b"])
+
+
+def _mates(docs: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, set sizes, whether apart from the lead, and sketches."""
+    sketch = np.stack([np.array(docs.field(3 + k)) for k in range(_SKETCH)], axis=1).view(U64)
+    return np.array(docs.field(0)), np.array(docs.field(1)), docs.field(2).to_numpy(zero_copy_only=False), sketch
+
+
+def _mixed_buckets(mates: DataFrame, far: DataFrame, known: DataFrame, similarity: float, n_hash: int, scratch: Scratch) -> DataFrame:
+    """Edges ``(a, b)`` that hold together all close pairs of bucket mates of which one at least is ``far`` from the bucket's lead.
+
+    Only members of ``mates(key, id, lead)`` that aren't the lead are there. Buckets of equal members are compared once. Members
+    go by set size into bands, so that only equal and adjacent bands can hold pairs, and bands into tiles of bounded size.
+    """
+    rest = F.col("far").isNotNull()
+    flagged = mates.join(far.withColumn("far", F.lit(True)), ["lead", "id"], "left").select("key", "id", rest.alias("rest"))
+    h = F.xxhash64("id", "rest")
+    buckets = flagged.groupBy("key").agg(F.count("*").alias("m"), F.count_if("rest").alias("m_rest"), F.bit_xor(h).alias("x1"), F.bit_xor(F.xxhash64(h, F.lit(1))).alias("x2"))
+    buckets = buckets.where("m > 1 and m_rest > 0").groupBy("m", "x1", "x2").agg(F.min("key").alias("key"))
+    band = F.floor(F.log(F.col("n")) / F.lit(max(0.01, 1.001 * float(np.log(1 / similarity))))).alias("band")
+    held = flagged.join(buckets.select("key"), "key").join(known, "id").withColumn("band", band)
+    held = scratch.save(held, "mixed", compression="lz4")
+    tiles = held.groupBy("key", "band", "rest").agg(F.ceil(F.count("*") / _TILE).alias("tiles"))
+    docs = F.collect_list(F.struct("id", "n", "rest", *[f"s{k}" for k in range(_SKETCH)]))
+    tiled = held.join(tiles, ["key", "band", "rest"]).groupBy("key", "band", "rest", F.pmod(F.xxhash64("id"), "tiles").alias("tile")).agg(docs.alias("docs"))
+    tiled = scratch.save(tiled, "mixed_tiles", compression="lz4")
+    scratch.drop(held)
+    p, q = tiled.where("rest").alias("p"), tiled.alias("q")
+    once = F.expr("not q.rest or p.band < q.band or (p.band = q.band and p.tile <= q.tile)")
+    work = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.abs(F.col("p.band") - F.col("q.band")) <= 1) & once).select(F.col("p.docs").alias("x"), F.col("q.docs").alias("y"))
+    return work.mapInArrow(lambda it: _near(it, similarity, n_hash), "a long, b long").distinct()
+
+
 def _tile(docs: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids, components, all items and the position of the document that each item belongs to."""
     ids, parts, items = (docs.field(k) for k in range(3))
@@ -134,7 +192,8 @@ def near_duplicates(
     An empty table gives an empty result; other columns are ignored.
 
     Equal sets collapse to one class first, so thousands of copies cost one signature. In each table every
-    class is compared with the smallest of its bucket; pairs whose sketches agree well enough are confirmed.
+    class is compared with the smallest of its bucket, and those not close to it with all others of the bucket,
+    in tiles of bounded size; pairs whose sketches agree well enough are confirmed.
     Pairs that agree, confirmed or not, join classes into families. Where a family is left with more than one
     component, all its members outside the largest are compared with all others of the family, in tiles of
     bounded size whose sets are intersected in memory and which emit links only. No bucket or family is
@@ -154,11 +213,18 @@ def near_duplicates(
     known = classes.select("id", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(_SKETCH)])
 
     keys = classes.select("id", F.posexplode("left").alias("i", "x"), "right").select("id", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
-    lead = keys.select("id", F.min("id").over(Window.partitionBy("key")).alias("lead")).where("id != lead")
-    stars = lead.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    lead = keys.select("key", "id", F.min("id").over(Window.partitionBy("key")).alias("lead")).where("id != lead")
+    mates = scratch.save(lead, "mates", compression="lz4")
+    stars = mates.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     ka, kb = known.alias("ka"), known.alias("kb")
-    close = stars.join(ka, stars.a == F.col("ka.id")).join(kb, stars.b == F.col("kb.id")).where(_close(similarity, n_hash)).select("a", "b")
-    close = scratch.save(close, "stars")
+    judged = stars.join(ka, stars.a == F.col("ka.id")).join(kb, stars.b == F.col("kb.id")).select("a", "b", _close(similarity, n_hash).alias("close"))
+    judged = scratch.save(judged, "stars")
+    close = judged.where("close").select("a", "b")
+    far = judged.where("not close").select(F.col("a").alias("lead"), F.col("b").alias("id"))
+    if not far.isEmpty():
+        mixed = _mixed_buckets(mates, far, known, similarity, n_hash, scratch)
+        close = scratch.save(close.unionByName(mixed).distinct(), "close")
+    scratch.drop(mates)
 
     ids = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # a merge join at every size: the ids grow with the corpus, so they are no side to broadcast

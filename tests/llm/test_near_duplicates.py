@@ -78,6 +78,25 @@ def test_tiles_agree_with_whole_families(spark, monkeypatch):
     test_minhash_against_brute_force(spark, 2, 2)
 
 
+@pytest.mark.parametrize("tile", [256, 7])
+def test_near_copies_that_longer_documents_with_smaller_ids_embed(spark, monkeypatch, tile):
+    """Every common bucket is led by a document far longer than the two copies in it."""
+    monkeypatch.setattr(minhash, "_TILE", tile)
+    rng = random.Random(3)
+    word = lambda: f"u{rng.randrange(10**6)}"
+    a = [word() for _ in range(150)]
+    b = list(a)
+    for k in (20, 45, 70, 95, 120, 140, 10):
+        b[k] = word()
+    rows = [(k, " ".join((a if k % 2 else b) + [word() for _ in range(60)])) for k in range(200)] + [(1000, " ".join(a)), (1001, " ".join(b))]
+    sets = {i: shingle_set(t, 2) for i, t in rows}
+    linked = [(x, y) for x, y in itertools.combinations(sets, 2) if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])]
+    assert linked == [(1000, 1001)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.component_id for r in minhash.near_duplicates(d, width=2).collect()}
+    assert got == components(sets, linked)
+
+
 def test_minhash_edges(spark):
     empty = minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string"))
     assert empty.count() == 0
