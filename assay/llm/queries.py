@@ -40,7 +40,8 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = media.encode_media(_table(spark, sf_dir, "documents"), bytes_col="text")
+    coded = media.encode_media(_table(spark, sf_dir, "documents"), bytes_col="text")
+    stored = Scratch(spark, "media").save(coded, "media", compression="none")
     return media.describe_media(stored).withColumnRenamed("id", "doc_id")
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assay.llm import bitpack, flac, media, packing, tokens
+from assay.llm import bitpack, flac, media, packing, queries, tokens
 from assay.llm.queries import vocabulary
 
 TEXTS = [
@@ -245,6 +245,16 @@ def test_flac_notices_damage():
         flac.encode([b"abc"])
 
 
+def test_media_query_reads_what_it_stored(spark):
+    """The digests come from files that hold the streams, of every row, not from bytes on their way."""
+    sf = "/root/testdata/sf0.001"
+    out = queries.op5_media_columns(spark, sf)
+    files = out.inputFiles()
+    assert files and all("/media-" in f for f in files)
+    stored = {r.id: hashlib.sha256(r.media).hexdigest() for r in spark.read.parquet(*files).collect()}
+    assert stored == {r.doc_id: r.media_sha256 for r in out.collect()} and len(stored) == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
 def test_media_column(spark):
     rows = [(1, "héllo", "a"), (2, None, "b"), (2, "", "c"), (None, "x" * 3000, "d"), (3, "héllo", "e")]
     d = spark.createDataFrame(rows, "doc_id long, text string, media string")
