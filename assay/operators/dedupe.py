@@ -66,16 +66,23 @@ def score_pairs(pairs: DataFrame, features: DataFrame) -> DataFrame:
     return d.select("a_id", "b_id", score.alias("score"), step(score, vocab.ROUTES, vocab.LOWEST_ROUTE).alias("verdict"))
 
 
-def block_pairs(rows: DataFrame, keys: Column, generator: str, most: int, shared: int = 1) -> DataFrame:
+#: Members of a block that are paired with each other at one place.
+_BLOCK_TILE = 1000
+
+
+def block_pairs(rows: DataFrame, keys: Column, generator: str, most: int | None = None, shared: int = 1) -> DataFrame:
     """Ordered pairs of ids that share ``shared`` keys and more; ``rows`` has id, ``keys`` is an array of block keys.
 
-    Keys with more than ``most`` members say too little and aren't used; ``block_report`` counts what that leaves out.
+    Every block gives all its pairs, a large one by pairs of salted tiles. Where ``most`` is set, keys with more members
+    aren't used; ``block_report`` counts what that leaves out.
     """
     k = rows.select("id", F.explode(F.array_distinct(keys)).alias("key")).where(F.col("key").isNotNull() & (F.col("key") != ""))
-    fit = k.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n").between(2, most)).select("key")
-    k = k.join(fit, "key")
-    a, b = k.select("key", F.col("id").alias("a_id")), k.select("key", F.col("id").alias("b_id"))
-    pairs = a.join(b, "key").where("a_id < b_id").groupBy("a_id", "b_id").count()
+    fit = k.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    fit = fit if most is None else fit.where(F.col("n") <= most)
+    k = k.join(fit.select("key", F.ceil(F.col("n") / _BLOCK_TILE).alias("tiles")), "key").withColumn("tile", F.pmod(F.xxhash64("id"), "tiles"))
+    k = k.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select("key", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "id")
+    a, b = k.withColumnsRenamed({"id": "a_id", "tile": "a_tile"}), k.withColumnsRenamed({"id": "b_id", "tile": "b_tile"})
+    pairs = a.join(b, ["key", "lo", "hi"]).where("a_id < b_id and (lo = hi or a_tile <> b_tile)").groupBy("a_id", "b_id").count()
     return pairs.where(F.col("count") >= shared).select("a_id", "b_id", F.lit(generator).alias("generator"))
 
 

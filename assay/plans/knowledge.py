@@ -233,7 +233,7 @@ def curriculum_summary(spark, sf_dir):
 def trigram_pairs(spark, sf_dir):
     """Titles with equal trigram sets; any overlap is a parameter."""
     t = table(spark, sf_dir, "part").where("p_size = 1").selectExpr("p_partkey AS id", "p_name AS title").withColumn("g", dd.trigrams(F.col("title")))
-    p = dd.block_pairs(t, F.col("g"), "trigram", 100_000).select("a_id", "b_id")
+    p = dd.block_pairs(t, F.col("g"), "trigram").select("a_id", "b_id")
     side = lambda s: t.select(F.col("id").alias(f"{s}_id"), F.col("g").alias(f"{s}_g"))
     return p.join(side("a"), "a_id").join(side("b"), "b_id").where(dd.jaccard(F.col("a_g"), F.col("b_g")) >= 1.0).select("a_id", "b_id")
 

@@ -166,3 +166,23 @@ def test_betweenness_against_brute_force(spark):
     e = spark.createDataFrame(list(edges), "subject_id long, object_id long")
     got = {r.id: r.score for r in g.betweenness(e, spark.range(12).withColumnRenamed("id", "pivot"), Scratch(spark, "t")).collect()}
     assert got == {k: pytest.approx(v) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("shared", [1, 2])
+def test_large_blocks_give_all_their_pairs(spark, monkeypatch, shared):
+    monkeypatch.setattr(dd, "_BLOCK_TILE", 7)
+    rng = random.Random(8)
+    keys = {k: sorted({"hot", *(rng.choice("abcd") for _ in range(2))} - ({"hot"} if k % 3 == 0 else set())) for k in range(60)}
+    d = spark.createDataFrame(list(keys.items()), "id long, keys array<string>")
+    want = {(a, b) for a in keys for b in keys if a < b and len(set(keys[a]) & set(keys[b])) >= shared}
+    got = [(r.a_id, r.b_id) for r in dd.block_pairs(d, F.col("keys"), "g", shared=shared).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_blocking_query_keeps_a_leaf_of_more_than_a_thousand(spark, tmp_path):
+    from assay.plans import dedupe as plans
+
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    many = spark.range(1002).crossJoin(part.limit(1)).withColumn("p_partkey", F.col("id").cast(part.schema["p_partkey"].dataType)).select(part.columns)
+    many.write.parquet(f"{tmp_path}/part.parquet")
+    assert plans.blocking_pairs(spark, str(tmp_path)).count() == 1002 * 1001 // 2
