@@ -8,13 +8,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from assay.llm import flac
 from assay.llm.textkit import slices
 
 #: Payload bytes coded at a time; a longer payload is coded by itself.
 _AT_ONCE = 1 << 21
+#: Samples of a PCM block.
+_PCM = 1 << 14
 
 
 def pad(data: bytes) -> bytes:
@@ -40,13 +42,31 @@ def encode_media(rows: DataFrame, id_col: str = "doc_id", bytes_col: str = "payl
     return source.mapInArrow(_encode, "id long, n_bytes long, media binary")
 
 
-def features(pcm: np.ndarray) -> str:
-    """Whole-number features of a stream's samples: count, mean, energy, zero crossings, peak, and mean step, per thousand where fractions."""
-    x = pcm.astype(np.int64)
-    n = max(1, len(x))
-    crossings = int(((x[1:] < 0) != (x[:-1] < 0)).sum())
-    step = int(np.abs(np.diff(x)).sum())
-    return f"samples={len(x)};mean={int(x.sum()) * 1000 // n};energy={int((x * x).sum()) // n};crossings={crossings};peak={int(np.abs(x).max(initial=0))};step={step * 1000 // n}"
+def pcm_parts(samples: np.ndarray, size: int = _PCM) -> list[tuple[int, np.ndarray]]:
+    """A stream's samples as blocks of ``size``, each with the offset of its first sample."""
+    return [(lo, samples[lo : lo + size]) for lo in range(0, len(samples), size)]
+
+
+def pcm_at(parts: list[tuple[int, np.ndarray]], offset: int, count: int) -> np.ndarray:
+    """``count`` samples from ``offset`` on, from the blocks that hold them."""
+    size = len(parts[0][1])
+    held = parts[offset // size : -(-(offset + count) // size)]
+    return np.concatenate([p for _, p in held])[offset - held[0][0] :][:count]
+
+
+def features(parts: list[tuple[int, np.ndarray]]) -> str:
+    """Whole-number features of a stream's PCM blocks: count, mean, energy, zero crossings, peak, and mean step, per thousand where fractions."""
+    n = total = energy = crossings = peak = step = 0
+    last: list[int] = []
+    for _, block in parts:
+        x = np.concatenate([np.array(last, np.int64), block.astype(np.int64)])
+        crossings += int(((x[1:] < 0) != (x[:-1] < 0)).sum())
+        step += int(np.abs(np.diff(x)).sum())
+        x = x[len(last) :]
+        n, total, energy, peak = n + len(x), total + int(x.sum()), energy + int((x * x).sum()), max(peak, int(np.abs(x).max(initial=0)))
+        last = [int(x[-1])]
+    m = max(1, n)
+    return f"samples={n};mean={total * 1000 // m};energy={energy // m};crossings={crossings};peak={peak};step={step * 1000 // m}"
 
 
 def _streams(batches: Iterator[pa.RecordBatch]):
@@ -57,40 +77,74 @@ def _streams(batches: Iterator[pa.RecordBatch]):
             yield batch.slice(lo, hi - lo), media[lo:hi], flac.decode(media[lo:hi])
 
 
+def _payload(pcm: np.ndarray) -> bytes:
+    return (pcm.view(np.uint8) ^ 0x80).tobytes()
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, media, samples in _streams(batches):
-        data = [(s.view(np.uint8) ^ 0x80).tobytes() for s in samples]
+        blocks = [pcm_parts(s) for s in samples]
+        lengths = [sum(len(p) for _, p in b) for b in blocks]
+        digests = [hashlib.sha256() for _ in blocks]
+        for digest, b in zip(digests, blocks):
+            for _, pcm in b:
+                digest.update(_payload(pcm))
         cols = [
             *part.select(["id", "n_bytes"]).columns,
-            pa.array([len(d) for d in data], pa.int64()),
-            pa.array([hashlib.sha256(d).hexdigest() for d in data]),
-            pa.array([zlib.crc32(d[-32:]) for d in data], pa.int64()),
+            pa.array(lengths, pa.int64()),
+            pa.array([d.hexdigest() for d in digests]),
+            pa.array([zlib.crc32(_payload(pcm_at(b, n - 32, 32))) for b, n in zip(blocks, lengths)], pa.int64()),
             pa.array([len(m) for m in media], pa.int64()),
             pa.array([hashlib.sha256(m).hexdigest() for m in media]),
-            pa.array([features(s) for s in samples]),
+            pa.array([features(b) for b in blocks]),
         ]
         yield pa.RecordBatch.from_arrays(cols, ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
 
 def describe_media(media: DataFrame) -> DataFrame:
-    """Decodes every stream of ``encode_media`` and returns digests of payload and stream and the features.
+    """Decodes every stream of ``encode_media`` into PCM blocks and returns digests of payload and stream and the features of the blocks.
 
     A stream with a wrong header, frame checksum, sample count or MD5 raises an error that names what is wrong.
+    Samples that look like a frame header do no harm, and streams of any length are read whole. Repeated rows
+    and null ids keep their rows; an empty table gives an empty result; other columns are ignored.
     """
     return media.select("id", "n_bytes", "media").mapInArrow(_describe, "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for part, _, samples in _streams(batches):
-        ids, at, pcm = [], [], []
-        for key, s in zip(part.column("id").to_pylist(), samples):
-            for lo in range(0, len(s), size):
-                ids.append(key)
-                at.append(lo)
-                pcm.append(s[lo : lo + size].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array([len(p) for p in pcm], pa.int32()), pa.array(pcm, pa.binary())], ["id", "sample_offset", "n_samples", "pcm"])
-
-
-def pcm_blocks(media: DataFrame, samples_per_block: int = 1 << 14) -> DataFrame:
-    """Rows ``(id, sample_offset, n_samples, pcm)``: decoded signed 8-bit samples in blocks, to be written and sought by offset."""
-    return media.select("id", "media").mapInArrow(lambda it: _blocks(it, samples_per_block), "id long, sample_offset long, n_samples int, pcm binary")
+        rows = [(key, lo, pcm) for key, s in zip(part.column("id").to_pylist(), samples) for lo, pcm in pcm_parts(s, size)]
+        yield _pcm_rows(rows)
+
+
+def _pcm_rows(rows: list[tuple[int | None, int, np.ndarray]]) -> pa.RecordBatch:
+    ids, at, pcm = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array([len(p) for p in pcm], pa.int32()), pa.array([p.tobytes() for p in pcm], pa.binary())], ["id", "sample_offset", "n_samples", "pcm"])
+
+
+_PCM_ROWS = "id long, sample_offset long, n_samples int, pcm binary"
+
+
+def pcm_blocks(media: DataFrame, samples_per_block: int = _PCM) -> DataFrame:
+    """Rows ``(id, sample_offset, n_samples, pcm)``: decoded signed 8-bit samples in blocks, to be written and sought by offset.
+
+    Every stream gives its blocks, repeated rows and null ids too; an empty table gives an empty result.
+    """
+    return media.select("id", "media").mapInArrow(lambda it: _blocks(it, samples_per_block), _PCM_ROWS)
+
+
+def _sought(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, offsets, media = (batch.column(k).to_pylist() for k in range(3))
+        for lo, hi in slices([len(m) for m in media], _AT_ONCE):
+            got = flac.read_samples(media[lo:hi], offsets[lo:hi], [count] * (hi - lo))
+            yield _pcm_rows(list(zip(ids[lo:hi], offsets[lo:hi], got)))
+
+
+def samples_at(media: DataFrame, offset: Column | int, count: int) -> DataFrame:
+    """Rows ``(id, sample_offset, n_samples, pcm)``: ``count`` samples of each stream from ``offset`` (null: 0) on, fewer where it ends.
+
+    Random access: the streams' seek tables lead to the frames that are decoded, and no other is.
+    """
+    offset = offset if isinstance(offset, Column) else F.lit(offset)
+    return media.select("id", F.greatest(F.lit(0), F.coalesce(offset.cast("long"), F.lit(0))).alias("at"), "media").mapInArrow(lambda it: _sought(it, count), _PCM_ROWS)

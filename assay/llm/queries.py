@@ -41,7 +41,7 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = media.encode_media(_table(spark, sf_dir, "documents"), bytes_col="text")
-    stored = Scratch(spark, "media").save(coded, "media", compression="none")
+    stored = Scratch(spark, "media").save(coded, "media", compression="zstd")
     return media.describe_media(stored).withColumnRenamed("id", "doc_id")
 
 
