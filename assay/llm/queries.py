@@ -68,7 +68,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.fair_queue(_table(spark, sf_dir, "documents"))
-    ordered = plan.orderBy("virtual_finish", "hash")
+    ordered = plan.orderBy("virtual_time", "hash")
     return ordered.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 

@@ -107,14 +107,54 @@ def test_mix_repeats_what_the_plan_says(spark):
         taken[r.source] += r.taken
         target[r.source] = r.target
     assert all(abs(taken[s] - t) <= 20 for s, t in target.items())
-    copies = collections.Counter(r.doc_id for r in mixing.mix(d).collect())
-    assert all(copies[r.id] == r.copies for r in plan if r["size"] and r.id not in (7, None))
+    copies, planned = collections.Counter(r.doc_id for r in mixing.mix(d).collect()), collections.Counter()
+    for r in plan:
+        planned[r.id] += r.copies
+    assert copies == +planned
     assert mixing.mix(d).columns == d.columns
     again = {(r.id, r.virtual_finish) for r in mixing.fair_queue(d.repartition(2)).collect()}
     assert again == {(r.id, r.virtual_finish) for r in plan}
     assert mixing.fair_queue(d.limit(0)).count() == 0 and mixing.mix(d.limit(0)).count() == 0
 
 
+def test_mix_of_rows_without_ids_and_of_repeats(spark):
+    """Equal rows lie across the cuts of both sources, and clashing names do no harm."""
+    rows = [(None, "ten words " * 5, "a", k) for k in range(100)] + [(None, f"other {k} words", "a", k) for k in range(100)] + [(5, "same row here", "b", 1)] * 400 + [(k, "w " * 30, "c", k) for k in range(30)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, part int").repartition(7).withColumnsRenamed({"part": "hash"}).selectExpr("*", "1 AS row", "2 AS times")
+    plan = mixing.fair_queue(d).collect()
+    got, planned = collections.Counter(r.source for r in mixing.mix(d).collect()), collections.Counter()
+    words, target = collections.Counter(), {}
+    for r in plan:
+        planned[r.source] += r.copies
+        words[r.source] += r.taken
+        target[r.source] = r.target
+    assert got == planned and len(plan) == len(rows)
+    assert all(abs(words[s] - t) <= 30 for s, t in target.items()) and abs(sum(words.values()) - 1.5 * sum(r["size"] for r in plan)) <= 30
+    assert mixing.mix(d).columns == d.columns
+
+
+def test_the_order_of_virtual_times_is_cut_at_the_budget(spark):
+    """Whoever is in comes before whoever is out, over all sources, and one document more would pass the budget."""
+    rng = random.Random(9)
+    rows = [(k, "w " * rng.choice([1, 3, 50, 700]), rng.choice("abc")) for k in range(900)]
+    plan = mixing.fair_queue(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    entries = sorted(((r.upto + t * r.source_size - r.size / 2) / r.target, t < r.copies, r.size) for r in (_Queued(r) for r in plan) for t in range(2))
+    words = 0
+    for time, held, size in entries:
+        words += size
+        assert held == (words - size / 2 <= 1.5 * sum(r["size"] for r in plan))
+
+
+class _Queued:
+    def __init__(self, r):
+        self.upto, self.size, self.source_size, self.target, self.copies = round(r.virtual_finish * r.target), r["size"], r.source_size, r.target, r.copies
+
+
+def test_one_row_that_most_rows_repeat_spreads(spark):
+    d = spark.createDataFrame([(None, None, None)] * 3000 + [(k, "a b", "s") for k in range(50)], "doc_id long, text string, source string").repartition(8)
+    assert mixing.fair_queue(d).count() == 3050 and mixing.mix(d).count() == sum(r.copies for r in mixing.fair_queue(d).collect())
+
+
 def test_mixing_runs_no_python(spark):
     plan = queries.QUERIES["op10_source_mixing"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
