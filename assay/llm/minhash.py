@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from assay.llm.textkit import U64, forest, mix, shingles, slices
 from assay.operators.components import connected_components
@@ -27,6 +27,8 @@ _SKETCH = 5
 _LEAST_NIBBLES = 38 / 72
 #: Documents of a tile where members of one family are compared with each other.
 _TILE = 256
+#: Shingles of such a tile on average, so that tiles of long documents hold fewer of them.
+_TILE_ITEMS = 1 << 20
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -197,7 +199,8 @@ def near_duplicates(
     Pairs that agree, confirmed or not, join classes into families. Where a family is left with more than one
     component, all its members outside the largest are compared with all others of the family, in tiles of
     bounded size whose sets are intersected in memory and which emit links only. No bucket or family is
-    gathered whole and none is capped.
+    gathered whole and none is capped. Pairs are confirmed between sets at most a quarter apart in size, so what
+    travels for a class is in proportion to its set and the leads that it meets.
     """
     if not 2 <= 2 * groups * half <= 16 * _SKETCH:
         raise ValueError("2 * groups * half must be at most 80")
@@ -213,8 +216,9 @@ def near_duplicates(
     known = classes.select("id", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(_SKETCH)])
 
     keys = classes.select("id", F.posexplode("left").alias("i", "x"), "right").select("id", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
-    lead = keys.select("key", "id", F.min("id").over(Window.partitionBy("key")).alias("lead")).where("id != lead")
-    mates = scratch.save(lead, "mates", compression="lz4")
+    # the minimum combines before the shuffle, and the join splits what is skewed: no task holds a whole bucket
+    leads = keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead != last").select("key", "lead")
+    mates = scratch.save(keys.join(leads, "key").where("id != lead").select("key", "id", "lead"), "mates", compression="lz4")
     stars = mates.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     ka, kb = known.alias("ka"), known.alias("kb")
     judged = stars.join(ka, stars.a == F.col("ka.id")).join(kb, stars.b == F.col("kb.id")).select("a", "b", _close(similarity, n_hash).alias("close"))
@@ -237,13 +241,14 @@ def near_duplicates(
 
     found = connected_components(links, scratch)
     families = connected_components(close, scratch).withColumnRenamed("component", "family")
-    members = families.join(found, "id", "left").select("id", "family", F.coalesce("component", "id").alias("component"))
+    members = families.join(found, "id", "left").join(known.select("id", "n"), "id").select("id", "family", F.coalesce("component", "id").alias("component"), "n")
     members = scratch.save(members, "members")
-    parts = members.groupBy("family", "component").count()
-    split = parts.groupBy("family").agg(F.count("*").alias("parts"), F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n")).where("parts > 1")
-    split = split.select("family", F.col("main.component").alias("main"), F.col("main.count").alias("n_main"), F.col("n").alias("n_all"))
+    parts = members.groupBy("family", "component").agg(F.count("*").alias("count"), F.sum("n").alias("items"))
+    split = parts.groupBy("family").agg(F.count("*").alias("parts"), F.max(F.struct("count", "component", "items")).alias("main"), F.sum("count").alias("n"), F.sum("items").alias("items")).where("parts > 1")
+    split = split.select("family", F.col("main.component").alias("main"), F.col("main.count").alias("n_main"), F.col("main.items").alias("items_main"), F.col("n").alias("n_all"), F.col("items").alias("items_all"))
     inside = F.col("component") == F.col("main")
-    tiles = F.ceil(F.when(inside, F.col("n_main")).otherwise(F.col("n_all") - F.col("n_main")) / _TILE)
+    share = lambda c: F.when(inside, F.col(f"{c}_main")).otherwise(F.col(f"{c}_all") - F.col(f"{c}_main"))
+    tiles = F.greatest(F.ceil(share("n") / _TILE), F.ceil(share("items") / _TILE_ITEMS))
     dealt = members.join(split, "family").select("id", "family", "component", inside.alias("inside"), F.pmod(F.xxhash64("id"), tiles).alias("tile"))
     tiled = dealt.join(sets, "id").groupBy("family", "inside", "tile").agg(F.collect_list(F.struct("id", "component", "items")).alias("docs"))
     tiled = scratch.save(tiled, "tiles", compression="lz4")

@@ -97,6 +97,15 @@ def test_near_copies_that_longer_documents_with_smaller_ids_embed(spark, monkeyp
     assert got == components(sets, linked)
 
 
+def test_one_bucket_with_most_rows(spark):
+    """Distinct copies of one text, all in one bucket of nearly every table, beside others."""
+    rng = random.Random(8)
+    base = [f"h{k}" for k in range(300)]
+    rows = [(k, " ".join([*base[:k], f"own{k}", *base[k:]]) if k < 300 else " ".join(rng.choice(base) for _ in range(40))) for k in range(400)]
+    got = {r.id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), width=2).collect()}
+    assert {got[k] for k in range(300)} == {0} and all(got[k] == k for k in range(300, 400))
+
+
 def test_minhash_edges(spark):
     empty = minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string"))
     assert empty.count() == 0
@@ -146,6 +155,21 @@ def test_vectors_against_brute_force(spark, tile):
         assert (got[k].n_links, got[k].component_id, got[k].kept) == (degree[k], low[k], low[k] == k), k
 
 
+def test_vectors_in_many_stripes_and_lengths(spark):
+    """One label with most rows over several stripes, in doubles, and more lengths than get axes."""
+    rng = np.random.default_rng(5)
+    rows, centres = [], rng.normal(size=(6, 8))
+    for k in range(260):
+        rows.append((k, (centres[k % 6] + rng.normal(size=8) * rng.choice([0.05, 0.2, 0.6])).tolist(), "hot"))
+    for k in range(260, 320):
+        rows.append((k, rng.normal(size=k % 12 + 1).round(0).tolist(), "few"))
+    got = {r.id: r for r in vectors.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(5), tile=4).collect()}
+    _, linked = brute_vectors(rows)
+    low = components(range(len(rows)), linked)
+    degree = np.bincount(np.array(linked).ravel(), minlength=len(rows))
+    assert all((got[k].n_links, got[k].component_id) == (degree[k], low[k]) for k in range(len(rows)))
+
+
 def test_vectors_edges(spark):
     assert vectors.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
     d = spark.createDataFrame([(None, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1)], "vec_id long, embedding array<float>, label int")
