@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assay.llm.textkit import U64, mix, slices
 
@@ -162,31 +162,43 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
 
 
+def _judge(texts: list[str | None], spoken: pa.Array, model: Model | None) -> tuple[np.ndarray, np.ndarray]:
+    lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+    at = np.flatnonzero(np.array(spoken.to_pylist(), bool))
+    for lo in range(0, len(at), 256):
+        part = at[lo : lo + 256]
+        if model:
+            lang[part], score[part] = model.predict(grams([texts[k] for k in part]))
+    return lang, score
+
+
 def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, spoken = batch.column("text").to_pylist(), np.array(batch.column("spoken").to_pylist(), bool)
-        lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
-        at = np.flatnonzero(spoken)
-        for lo in range(0, len(at), 256):
-            part = at[lo : lo + 256]
-            if model:
-                lang[part], score[part] = model.predict(grams([texts[k] for k in part]))
+        lang, score = _judge(batch.column("text").to_pylist(), batch.column("spoken"), model)
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("out"), pa.array(lang.tolist(), pa.string()), pa.array(score)], ["id", "held_out", "lang_pred", "score"])
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, sample_per_language: int = 500, folds: int = 5) -> Model | None:
-    """A model learned from texts with a non-null label whose id isn't held out, from about ``sample_per_language`` of each language at most.
+def fit(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, sample_per_language: int = 500, most_languages: int = 100, most_texts: int = 20_000, folds: int = 5
+) -> Model | None:
+    """A model learned from distinct texts with a non-null label whose id isn't held out.
 
-    The sample is drawn by a hash of the text, so it is the same whatever the partitions; its features (8 KB a
-    text) are the only thing the driver gathers. Null where nothing can be learned from.
+    At most ``sample_per_language`` texts of each language and ``most_texts`` in all, of the ``most_languages`` commonest labels: those that
+    come first by a hash of the text, so the sample is the same whatever the partitions and however often a text is
+    repeated. Its features (8 KB a text) are the only thing the driver gathers. Null where nothing can be learned from.
     """
-    known = docs.where(F.col(lang_col).isNotNull() & has_letters(F.col(text_col)) & ~held_out(F.col(id_col), folds) & F.col(id_col).isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
+    text, lang = F.col(text_col).cast("string"), F.col(lang_col).cast("string")
+    known = docs.where(lang.isNotNull() & has_letters(text) & ~held_out(F.col(id_col), folds) & F.col(id_col).isNotNull()).select(lang.alias("lang"), text.alias("text"), F.xxhash64(text).alias("spot"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("spot", 0.02).alias("texts"))
+    counts = {r[0]: max(1, r[2]) for r in counts.orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
     if not counts:
         return None
-    keep = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, sample_per_language / n))])
-    spot = F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.where(spot < keep[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    each = max(1, min(sample_per_language, most_texts // len(counts)))
+    # half as many again, so that the first ``each`` are among them; copies of a text join before the shuffle
+    keep = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 1.5 * (each + 20) / n))])
+    likely = known.where(F.pmod("spot", F.lit(1 << 30)) / float(1 << 30) < keep[F.col("lang")]).groupBy("lang", "spot").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("spot", F.lit(1 << 30)), "spot")
+    sample = likely.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).select("lang", "text")
     got = sample.mapInArrow(_features, "lang string, x binary").collect()
     if not got:
         return None
@@ -205,3 +217,21 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     rows = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col), folds).alias("out"), F.col(text_col).cast("string").alias("text"), has_letters(F.col(text_col)).alias("spoken"))
     schema = rows.select("id").schema.add("held_out", "boolean").add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(lambda it: _predict(it, model), schema)
+
+
+def _keep(batches: Iterator[pa.RecordBatch], model: Model | None, place: int, least: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lang, score = _judge(batch.column("row").field(place).to_pylist(), batch.column("spoken"), model)
+        kept = batch.filter(pa.array((lang != "und") & (score >= least)))
+        yield kept.select(["row"])
+
+
+def recognised(docs: DataFrame, model: Model | None, text_col: str = "text", *, least: float = 0.2) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` and more, with all their columns.
+
+    Rows travel to Python once. Texts that are null, empty or without letters go, as does every row without a model; repeated
+    rows and null ids stay; columns may have any names; an empty table gives an empty result.
+    """
+    rows = docs.select(F.struct("*").alias("row"), has_letters(F.col(text_col).cast("string")).alias("spoken"))
+    place = docs.columns.index(text_col)
+    return rows.mapInArrow(lambda it: _keep(it, model, place, least), rows.select("row").schema).select("row.*")
