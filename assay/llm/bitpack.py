@@ -29,7 +29,7 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
     return np.packbits(((ids[:, None].astype(np.uint32) >> np.arange(bits, dtype=np.uint32)) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def unpack(payload: bytes, bits: int, start: int, count: int) -> np.ndarray:
+def unpack(payload: bytes | pa.Buffer, bits: int, start: int, count: int) -> np.ndarray:
     """``count`` ids from the ``start``-th on; only their own bytes are read."""
     lo = start * bits
     part = np.frombuffer(payload, np.uint8)[lo // 8 : -(-(lo + count * bits) // 8)]
@@ -77,13 +77,15 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     never split), with the ids in ``payload`` at the fewest bits the vocabulary needs, the documents' ids and
     counts in order, and the block's place in its shard. First and last id of each block are plain columns, so a reader finds a
     document by pushed-down filters and unpacks only its slice. Null text is empty; null ids come first;
-    rows of one id follow each other in order of a hash of their text. Spark's committer writes the files, so a lost executor's tasks are done again.
+    rows of one id follow each other in order of a hash of their text; other columns are ignored; an empty table
+    writes no blocks. Spark's committer writes the files, so a lost executor's tasks are done again.
     """
     spark = docs.sparkSession
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    tie = F.xxhash64("text")
-    ordered = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("spot"))
+    # by the text's hash where an id repeats, and by place among equal rows, which any number of shards may share
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("spot")]
+    ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ordered = ordered.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     blocks = ordered.mapInArrow(lambda it: _write(it, tokenizer_path, end_id, block_ids), _BLOCKS)
     blocks.write.option("compression", "uncompressed").parquet(path)
@@ -107,7 +109,8 @@ def read_tokens(blocks: DataFrame, *, keep_ids: bool = True) -> DataFrame:
     """Rows ``(doc_id, start, n_tokens, ids_crc32, ids)`` of written blocks; ``start`` counts the ids of all documents before.
 
     The shards' starts come from one sum per shard; they are counted and, where they are few, sent to the tasks
-    that read the blocks.
+    that read the blocks. Documents of null ids come first, repeated rows each have their own place, empty texts hold the end id
+    alone, and no blocks give no rows.
     """
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     base = F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -119,8 +122,25 @@ def read_tokens(blocks: DataFrame, *, keep_ids: bool = True) -> DataFrame:
     return placed.mapInArrow(lambda it: _read(it, keep_ids), "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
+def _find(batches: Iterator[pa.RecordBatch], doc_id: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts, parts = [], []
+        for row in range(len(batch)):
+            get = lambda c: batch.column(c)[row]
+            every = np.array(get("counts").values, np.int64)
+            at = np.cumsum(every) - every
+            mine = np.flatnonzero(np.array(get("doc_ids").values.fill_null(doc_id - 1)) == doc_id)
+            for k in mine:
+                counts.append(int(every[k]))
+                parts.append(unpack(get("payload").as_buffer(), get("bits").as_py(), int(at[k]), int(every[k])).astype("<u4").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(parts), pa.int64()), pa.array(counts, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(parts if keep_ids else [None] * len(parts), pa.binary())], ["doc_id", "n_tokens", "ids_crc32", "ids"])
+
+
 def lookup(blocks: DataFrame, doc_id: int, *, keep_ids: bool = True) -> DataFrame:
-    """The rows of one document by random access: only blocks whose range holds the id are read."""
-    one = blocks.where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).withColumn("start", F.col("local_start"))
-    found = one.select("doc_ids", "counts", "payload", "bits", "start").mapInArrow(lambda it: _read(it, keep_ids), "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
-    return found.where(F.col("doc_id") == doc_id).drop("start")
+    """Rows ``(doc_id, n_tokens, ids_crc32, ids)`` of one document by random access.
+
+    Only blocks whose range holds the id are read, and of their payloads only the document's slice is unpacked. An id that
+    isn't there gives no row, one that repeats a row each time; null ids can't be looked up.
+    """
+    one = blocks.where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).select("doc_ids", "counts", "payload", "bits")
+    return one.mapInArrow(lambda it: _find(it, doc_id, keep_ids), "doc_id long, n_tokens long, ids_crc32 long, ids binary")

@@ -89,12 +89,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     A rule's reversed-host key opens an interval of keys; intervals are nested or disjoint. Urls are dealt into
     key ranges of about ``rows_per_bucket`` rows (the bounds come from a sample and decide only the balance),
     a rule goes to every range that its interval meets, and one sweep over each sorted range keeps the active
-    rules on a stack. A key ends with the path and a hash of the id, so a hot host, or one url repeated, is
+    rules on a stack. A key ends with the path and a hash of the row's place, so a hot host, one url, or one row repeated, is
     dealt over several ranges.
     """
     u = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     u = u.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))})
-    u = u.withColumn("key", F.concat(host_key(F.col("host")), F.lit("/"), F.col("path"), F.lit("\u0001"), F.hex(F.xxhash64("id", "url"))))
+    u = u.withColumn("key", F.concat(host_key(F.col("host")), F.lit("/"), F.col("path"), F.lit("\u0001"), F.hex(F.xxhash64("id", "url", F.monotonically_increasing_id()))))
     total = u.count()
     n = max(1, min(10_000, max(-(-total // rows_per_bucket), min(64, total // 50))))
     bounds: list[str] = []
