@@ -68,9 +68,9 @@ def test_url_rules_against_brute_force(spark, per):
     hosts = ["net", "a.net", "b.a.net", "xnet", "example.com", "EXAMPLE.com", "org", "é.org", "a.net:80", "", "u@a.net"]
     paths = ["", "/", "/en/", "/en/x", "/enx", "/de/1?x=/en/", "/a//b#/en/", "?q", "#f"]
     urls = [f"{s}://{h}{p}" for s in ("http", "HTTPS") for h in hosts for p in paths] + [None, "", "no scheme", "http:/x", "a://b://c/d", "x\n://net/\n"]
-    urls += ["http://a.net/en/hot"] * 200
+    urls += ["http://a.net/en/hot"] * 200 + [None] * 50
     rules = [("net", "/", "block"), ("a.net", "/en/", "allow"), ("a.net", "/", "block"), ("b.a.net", "/en", "allow"), ("b.a.net", "/en", "block"), ("org", "", "block"), ("", "/a", "block"), ("com", "/d", "allow"), (None, "/", "block")]
-    rows = list(enumerate(rng.sample(urls, len(urls)))) + [(None, "http://net/")]
+    rows = list(enumerate(rng.sample(urls, len(urls)))) + [(None, "http://net/")] * 60 + [(None, None)] * 60
     d = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, rule string").repartition(3)
     got = urlrules.judge_urls(d, spark.createDataFrame(rules, "host string, path string, verdict string"), rows_per_bucket=per).collect()
     known = [r for r in rules if None not in r]
@@ -202,6 +202,41 @@ def test_pipeline_against_brute_force(spark):
     assert hashlib is not None and [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "secret_scan", "source_mixing", "packing"]
 
 
+def test_every_stage_takes_odd_tables(spark, tmp_path):
+    """Empty tables, nulls in every column, repeated rows, a text of megabytes, extra columns with names that the stages use."""
+    words = [f"word{k} of the text" for k in range(60_000)]
+    rows = [(1, None, None, None, None), (None, None, None, None, None), (2, "", "en", "s", 0), (3, " ".join(words), "en", "s", 5), (4, "the plain words of a text", "en", None, 3), (None, "the plain words of a text", "en", None, 3)] * 2
+    names = ["id", "row", "hash", "copies", "count", "times", "source_size", "label", "part", "n_top", "key", "x.y"]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(3).selectExpr("*", *[f"'v' AS `{n}`" for n in names])
+    for table in (d, d.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, table, SF)
+            got = out.collect()
+            assert name == "packing" or out.columns == table.columns
+            if table is not d:
+                assert not got
+            elif name == "language_id":
+                assert sorted((r.doc_id or 0) for r in got) == [0, 0, 3, 3, 4, 4]
+            elif name == "near_dedup":
+                assert sorted((r.doc_id or 0) for r in got) == [0, 0, 0, 0, 1, 2, 3, 4]
+            elif name == "secret_scan":
+                assert len(got) == 12 and {r.text for r in got} == {r[1] for r in rows}
+            elif name == "source_mixing":
+                assert max(collections.Counter(r.doc_id for r in got).values()) <= 4 * 2
+            else:
+                assert len({(r.doc_id, r.piece) for r in got}) >= 5
+                check_sequences([(r.sequence_id, r.offset, r.length) for r in got], 4096)
+    empty = str(tmp_path)
+    spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{empty}/documents.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_one_id_with_two_texts_is_settled_by_value(spark):
+    rows = [(1, f"text number {k} has its own words {k * 7} {k * 11}", k) for k in range(20)] + [(2, "alone here", 0)]
+    once = [sorted(map(tuple, corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(p), SF).collect())) for p in (1, 7)]
+    assert once[0] == once[1] and len(once[0]) == 2
+
+
 def test_pipeline_keeps_rows_without_ids_and_drops_repeats(spark):
     t = "one two three four five six seven eight nine ten eleven twelve"
     d = spark.createDataFrame([(1, t), (1, t), (2, t), (None, t), (3, None)], "doc_id long, text string")

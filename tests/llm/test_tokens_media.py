@@ -72,11 +72,31 @@ def test_token_files(spark, tmp_path):
     for r in ordered:
         if r.doc_id in ids:
             assert np.frombuffer(r.ids, "<u4").tolist() == ids[r.doc_id] + [2]
-    assert len(bitpack.lookup(blocks, 14).collect()) == 1 and bitpack.lookup(blocks, 15).count() == 0
+    want = collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32, bytes(r.ids)) for r in got if r.doc_id is not None)
+    found = [bitpack.lookup(blocks, i).collect() for i in {r.doc_id for r in got if r.doc_id is not None}]
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32, bytes(r.ids)) for f in found for r in f) == want
+    assert bitpack.lookup(blocks, 15).count() == 0
     none = bitpack.write_tokens(d.limit(0), vocabulary(), f"file://{tmp_path}/e", shards=2)
     assert bitpack.read_tokens(none).count() == 0
 
 
+def test_token_files_of_a_vocabulary_that_fills_no_bytes(spark, tmp_path):
+    """Ids of 17 bits, most rows alike: every document comes back, by reading on and by looking up, and equal rows share out over shards."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(k, f"some text {k} " * (k % 9)) for k in range(60)] + [(None, None)] * 400
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    blocks = bitpack.write_tokens(d, path, f"file://{tmp_path}/w", end_id=90_000, shards=8, block_ids=200)
+    assert {r.bits for r in blocks.select("bits").collect()} == {17}
+    assert blocks.where("first_id is null").select("shard").distinct().count() > 1
+    e = tokens.Encoder(path)
+    want = {k: np.frombuffer(e.encode([t])[0], "<u4").tolist() + [90_000] for k, t in rows if k is not None}
+    got = bitpack.read_tokens(blocks).collect()
+    assert len(got) == len(rows) and all(np.frombuffer(r.ids, "<u4").tolist() == want.get(r.doc_id, [90_000]) for r in got)
+    assert all(np.frombuffer(bitpack.lookup(blocks, k).first().ids, "<u4").tolist() == want[k] for k in (0, 7, 59))
+
+
 def test_packing_documents(spark):
     rows, d = documents(spark)
     out = packing.pack_documents(d, vocabulary(), capacity=1024, grain=8).collect()
