@@ -13,31 +13,60 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is recognised."""
-    seen = langid.identify(docs.withColumn("__row", F.struct(*docs.columns)), langid.fit(docs), id_col="__row")
-    return seen.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("id.*")
+    """Keeps the documents whose language is recognised.
+
+    Texts that are null, empty or without letters go; without any label to learn from all go. Whole texts are read,
+    repeated rows and null ids stay, columns may have any names, and an empty table gives an empty one.
+    """
+    return langid.recognised(docs, langid.fit(docs), least=LEAST_LANGUAGE_SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id, once; rows without an id stay."""
-    kept = minhash.near_duplicates(docs, width=5).where("kept").select(F.col("id").alias("__id")).distinct()
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id").cast("long") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """Keeps of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id, once.
+
+    Rows without an id stay, as do null, empty and blank texts. Of rows that share an id the one with the smallest hash
+    of all its values stays, so a tie is settled alike in every run. Whole texts are compared; an empty table gives an empty one.
+    """
+    kept = minhash.near_duplicates(docs, width=5).where("kept and id is not null").select("id").distinct()
+    here = F.col("doc_id").cast("long")
+    rows = docs.select(F.struct("*").alias("row"), here.alias("id"))
+    named = rows.where("id is not null").join(kept, "id", "left_semi")
+    value = F.xxhash64(F.to_json("row"))
+    repeated = docs.where(here.isNotNull()).groupBy(here.alias("id")).count().where("count > 1").select("id")
+    repeated = Scratch(spark, "repeated").save(repeated, "ids")
+    if not repeated.isEmpty():
+        # only rows whose ids repeat are shuffled again; the minimum combines before that
+        single = named.join(repeated, "id", "left_anti")
+        once = named.join(repeated, "id", "left_semi").groupBy("id").agg(F.min_by("row", value).alias("row"))
+        named = single.select("row").unionByName(once.select("row"))
+    return named.select("row").unionByName(rows.where("id is null").select("row")).select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps every document, with its secrets masked; the length column follows where there is one."""
+    """Keeps every document, with its secrets masked; the length column follows where there is one.
+
+    Null texts stay null, and repeated rows, null ids and texts without findings stay as they are; whole texts are
+    scanned, columns may have any names, and an empty table gives an empty one.
+    """
     out = secrets.mask_secrets(docs, secrets.fit(docs))
     return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, those in it twice as two rows."""
+    """The documents of the mix, those in it twice as two rows.
+
+    Null and empty texts have no words and follow their neighbours in the queue; a null source is a source, and one without any words
+    goes; equal rows and null ids are told apart by count. Columns may have any names; an empty table gives an empty one.
+    """
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and place."""
+    """Every piece of every document with its sequence and place.
+
+    Null and empty texts are one piece of the end id; only texts longer than a sequence are cut; repeated rows and null
+    ids are packed like any other; other columns are ignored, and an empty table gives no piece.
+    """
     return packing.pack_documents(docs, vocabulary(), keep_ids=False)
 
 
