@@ -34,7 +34,7 @@ class Lexicon:
 def clean_text(raw: Column, lexicon: Lexicon = Lexicon()) -> Column:
     """Fillers and stutters dropped, spaces collapsed, the first letter a capital; hedges stay."""
     t = F.regexp_replace(raw, lexicon.fillers, "")
-    t = F.regexp_replace(t, r"(?iU)\b(\w+)(\s+\1\b)+", "$1")
+    t = F.regexp_replace(t, "(?iU)" + vocab.STUTTER, "$1")
     t = F.trim(F.regexp_replace(t, r"\s+", " "))
     return F.concat(F.upper(F.substring(t, 1, 1)), F.substr(t, F.lit(2)))
 

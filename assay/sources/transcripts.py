@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from assay import vocab
+
 SUFFIXES = ("vtt", "srt", "json", "txt", "md")
 _CUE = "source_id string, cue_no int, t_start double, t_end double, speaker string, text string"
-#: A timing line, and a turn label in the two shapes that exports use.
-_TIMING = r"(\d{1,2}):(\d{2}):(\d{2})[.,](\d{1,3})[^\n]*?-->[^\n]*?(\d{1,2}):(\d{2}):(\d{2})[.,](\d{1,3})"
-_BOLD = r"\*\*\s*([^*:\n]{1,40}?)\s*:\s*\*\*\s*"
-_PLAIN = r"(?:^|\n)[ \t]*([A-Z][\w .'-]{0,30}):[ \t]+"
 _LEAST_LABELS = 3
 #: Stands for a label's place while a text is cut at its labels; texts never hold it.
 _MARK, _END = "\u0001", "\u0002"
@@ -29,7 +27,7 @@ def with_manifest(files: DataFrame, manifest: DataFrame, today: str) -> DataFram
 
 
 def _seconds(text: Column, group: int) -> Column:
-    part = lambda k: F.regexp_extract(text, _TIMING, group + k)
+    part = lambda k: F.regexp_extract(text, vocab.TIMING, group + k)
     return part(0).cast("double") * 3600 + part(1).cast("double") * 60 + part(2).cast("double") + F.rpad(part(3), 3, "0").cast("double") / 1000
 
 
@@ -51,13 +49,13 @@ def parse_timed(files: DataFrame) -> DataFrame:
     The speaker is read before tags go, as a voice tag names it.
     """
     content = F.regexp_replace(F.col("content"), r"\r\n?", "\n")
-    blocks = files.select("source_id", F.posexplode(F.split(content, r"\n\s*\n")).alias("pos", "block")).where(F.col("block").rlike(_TIMING))
+    blocks = files.select("source_id", F.posexplode(F.split(content, r"\n\s*\n")).alias("pos", "block")).where(F.col("block").rlike(vocab.TIMING))
     after = F.regexp_replace("block", r"(?s)^.*?-->[^\n]*", "")
     lines = F.filter(F.split(after, "\n"), lambda x: F.trim(x) != "")
     d = blocks.select("source_id", "pos", _seconds(F.col("block"), 1).alias("t_start"), _seconds(F.col("block"), 5).alias("t_end"), F.trim(F.array_join(lines, " ")).alias("raw"))
-    label = r"^(?:<v\s+([^>]+)>|([A-Z][\w .'-]{0,30}):\s)"
+    label = vocab.CAPTION_LABEL
     name = F.trim(F.concat(F.regexp_extract("raw", label, 1), F.regexp_extract("raw", label, 2)))
-    text = F.trim(F.regexp_replace(F.regexp_replace("raw", label, ""), r"</?[cvibu][^>]*>", ""))
+    text = F.trim(F.regexp_replace(F.regexp_replace("raw", label, ""), vocab.CAPTION_TAG, ""))
     d = d.select("source_id", "pos", "t_start", "t_end", F.when(name != "", name).alias("speaker"), text.alias("text")).where("text != ''")
     return _numbered(d).select("source_id", "cue_no", "t_start", "t_end", "speaker", "text")
 
@@ -86,8 +84,8 @@ def parse_plain(files: DataFrame) -> DataFrame:
 
     What comes before the first label is kept as a cue without speaker; a turn keeps its label in the text.
     """
-    bold, plain = (F.regexp_count("content", F.lit(p)) >= _LEAST_LABELS for p in (_BOLD, _PLAIN))
-    marked = F.when(bold, F.regexp_replace("content", _BOLD, f"{_MARK}$1{_END}")).when(plain, F.regexp_replace("content", _PLAIN, f"{_MARK}$1{_END}"))
+    bold, plain = (F.regexp_count("content", F.lit(p)) >= _LEAST_LABELS for p in (vocab.BOLD_LABEL, vocab.PLAIN_LABEL))
+    marked = F.when(bold, F.regexp_replace("content", vocab.BOLD_LABEL, f"{_MARK}$1{_END}")).when(plain, F.regexp_replace("content", vocab.PLAIN_LABEL, f"{_MARK}$1{_END}"))
     parts = F.when(marked.isNotNull(), F.split(marked, _MARK)).otherwise(F.split(F.trim("content"), r"\n\s*\n"))
     d = files.select("source_id", F.posexplode(parts).alias("pos", "part"))
     speaker = F.when(F.col("part").contains(_END), F.trim(F.substring_index("part", _END, 1)))
