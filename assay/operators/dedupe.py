@@ -156,25 +156,63 @@ def position_weights(claims: DataFrame, as_of: str) -> DataFrame:
     return d.select("concept_id", "n_a", "n_b", "weight_a", "weight_b", handling.alias("ai_handling"))
 
 
-def echo_pairs(texts: DataFrame, *, width: int = 3, most_common: int = 200, overlap: float = 0.6) -> DataFrame:
-    """Pairs of texts ``(id, creator, text)`` of different creators whose shingles overlap by more than ``overlap`` of the union.
+def echo_classes(texts: DataFrame, scratch: Scratch, *, width: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Members ``(id, creator, class_id)`` and classes ``(id, n, lo, hi, grams)`` of texts ``(id, creator, text)`` with equal sets of shingles.
 
-    Shingles in more than ``most_common`` texts only serve the exact check, not to find candidates.
+    A class has the smallest id of its members, and the first and last of their creators. Texts of fewer than ``width`` words
+    are in none.
     """
     words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
     n = F.size("words") - (width - 1)
-    grams = F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.xxhash64(F.array_join(F.slice("words", k, width), " ")))))
-    scratch = Scratch(texts.sparkSession, "echo")
-    d = scratch.save(texts.withColumn("words", words).select("id", "creator", grams.alias("grams")).where("grams is not null"), "grams")
-    k = d.select("id", F.explode("grams").alias("key"))
-    fit = k.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n").between(2, most_common)).select("key")
-    k = scratch.save(k.join(fit, "key").join(d.select("id", "creator", F.size("grams").alias("n")), "id"), "keys")
-    x, y = k.alias("x"), k.alias("y")
-    fair = (F.least("x.n", "y.n") > F.greatest("x.n", "y.n") * overlap) & (F.col("x.creator") != F.col("y.creator"))
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & fair).select(F.col("x.id").alias("a_id"), F.col("y.id").alias("b_id")).distinct()
-    side = lambda s: d.select(F.col("id").alias(f"{s}_id"), F.col("creator").alias(f"{s}_creator"), F.col("grams").alias(f"{s}_grams"))
-    j = jaccard(F.col("a_grams"), F.col("b_grams"))
-    return pairs.join(side("a"), "a_id").join(side("b"), "b_id").where("a_creator <> b_creator").withColumn("overlap", j).where(F.col("overlap") > overlap).select("a_id", "b_id", "overlap")
+    grams = F.when(n > 0, F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.xxhash64(F.array_join(F.slice("words", k, width), " "))))))
+    d = texts.withColumn("words", words).select("id", "creator", grams.alias("grams")).where("grams is not null")
+    d = scratch.save(d.withColumns({"n": F.size("grams"), "c1": F.xxhash64("grams"), "c2": F.xxhash64(F.lit(1), "grams")}), "grams")
+    classes = d.groupBy("c1", "c2", "n").agg(F.min("id").alias("class_id"), F.min("creator").alias("lo"), F.max("creator").alias("hi"))
+    classes = scratch.save(classes, "classes")
+    members = d.select("id", "creator", "c1", "c2", "n").join(classes.select("c1", "c2", "n", "class_id"), ["c1", "c2", "n"]).select("id", "creator", "class_id")
+    sets = d.select("id", "n", "grams").join(classes.select(F.col("class_id").alias("id"), "lo", "hi"), "id")
+    return members, scratch.save(sets, "sets")
+
+
+def similar_sets(sets: DataFrame, scratch: Scratch, least: float, *, above: bool = False, carried: tuple[str, ...] = (), meet: Column | None = None) -> DataFrame:
+    """Pairs ``(a_id, b_id, overlap)`` of sets ``(id, items)`` whose common items are ``least`` of all theirs and more; more only with ``above``.
+
+    Exact, and no item is too common. Two such sets share an item among the rarest of each, as many as it may lack and
+    one more; items of one set only fill those places first, so most sets have no candidates. ``meet`` may ask more of a pair
+    by the columns ``carried``, as ``x.name`` and ``y.name``. Empty sets pair with none.
+    """
+    d = sets.withColumn("n", F.size("items"))
+    k = d.select("id", F.explode("items").alias("key"))
+    shared = k.groupBy("key").agg(F.count("*").alias("f")).where("f > 1")
+    rare = k.join(shared, "key").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "key"))).alias("rare"))
+    need = F.floor(F.col("n") * least) + 1 if above else F.ceil(F.col("n") * least)
+    places = F.col("n") - need + 1 - (F.col("n") - F.size("rare"))
+    prefix = d.select("id", "n", *carried).join(rare, "id").where(places > 0)
+    prefix = prefix.select("id", "n", *carried, F.explode(F.slice("rare", F.lit(1), places.cast("int"))).alias("r")).select("id", "n", *carried, "r.key")
+    prefix = scratch.save(prefix, "prefix")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n") * least
+    fair = (small > large if above else small >= large) & (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
+    pairs = x.join(y, fair if meet is None else fair & meet).select(F.col("x.id").alias("a_id"), F.col("y.id").alias("b_id")).distinct()
+    side = lambda s: sets.select(F.col("id").alias(f"{s}_id"), F.col("items").alias(f"{s}_items"))
+    close = F.col("overlap") > least if above else F.col("overlap") >= least
+    return pairs.join(side("a"), "a_id").join(side("b"), "b_id").withColumn("overlap", jaccard(F.col("a_items"), F.col("b_items"))).where(close).select("a_id", "b_id", "overlap")
+
+
+def echo_pairs(classes: DataFrame, scratch: Scratch, *, overlap: float = 0.6) -> DataFrame:
+    """Pairs ``(a_id, b_id, overlap)`` of classes whose shingles overlap by more than ``overlap`` of the union and that have members of different creators."""
+    apart = (F.col("x.lo") != F.col("x.hi")) | (F.col("y.lo") != F.col("y.hi")) | (F.col("x.lo") != F.col("y.lo"))
+    known = F.col("x.lo").isNotNull() & F.col("y.lo").isNotNull()
+    return similar_sets(classes.withColumnRenamed("grams", "items"), scratch, overlap, above=True, carried=("lo", "hi"), meet=known & apart)
+
+
+def echo_members(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Every pair of texts ``(a_id, b_id, overlap)`` of different creators in one class or in two linked ones; for groups that are known to be small."""
+    own = members.select(F.col("class_id").alias("x"), F.col("class_id").alias("y"), F.lit(1.0).alias("overlap")).distinct()
+    links = own.unionByName(pairs.select(F.col("a_id").alias("x"), F.col("b_id").alias("y"), "overlap"))
+    side = lambda s, c: members.select(F.col("class_id").alias(c), F.col("id").alias(f"{s}_id"), F.col("creator").alias(f"{s}_creator"))
+    d = links.join(side("a", "x"), "x").join(side("b", "y"), "y").where("a_creator <> b_creator and (x <> y or a_id < b_id)")
+    return d.select(F.least("a_id", "b_id").alias("a_id"), F.greatest("a_id", "b_id").alias("b_id"), "overlap")
 
 
 def merge_relations(relations: DataFrame) -> DataFrame:

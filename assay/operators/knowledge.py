@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from assay import vocab
 from assay.operators.components import connected_components
 from assay.operators.evidence import lookup
-from assay.operators.retrieve import nearest
+from assay.operators.retrieve import nearest, within
 from assay.scratch import Scratch
 
 VERDICTS = ("correct", "type_wrong", "tier_wrong", "scope_wrong", "not_a_claim", "fabricated")
@@ -84,7 +84,7 @@ def recommend(contexts: DataFrame, ranges: DataFrame, edges: DataFrame) -> DataF
 
     ``contexts(context_id, value, condition)``, ``ranges(entity_id, lo, hi)``, ``edges(entity_id, predicate, target, strength, confidence)``.
     """
-    fit = contexts.join(ranges, (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))).select("context_id", "condition", "entity_id")
+    fit = within(contexts, ranges).select("context_id", "condition", "entity_id")
     bad = edges.where("predicate = 'contraindicated_with'").select("entity_id", F.col("target").alias("condition"))
     fit = fit.join(bad, ["entity_id", "condition"], "left_anti")
     good = edges.where("predicate = 'suitable_for'")

@@ -59,11 +59,21 @@ def stratified(rows: DataFrame, strata: list[str], key: str, quota: int) -> Data
     return rows.withColumn("n", F.row_number().over(w)).where(F.col("n") <= quota).drop("n")
 
 
-def average_ranks(rows: DataFrame, value: str) -> DataFrame:
-    """Adds rank with ties at their mean place, from counts per value rather than from one ordered task over all rows."""
-    counts = rows.groupBy(value).agg(F.count("*").alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(counts.select(value, (before + (F.col("__n") + 1) / 2).alias(f"{value}_rank")), value)
+def average_ranks(rows: DataFrame, value: str, ranges: int = 64) -> DataFrame:
+    """Adds rank with ties at their mean place, for numbers; rows without a value go.
+
+    Counts per value are summed up in two levels, over ranges of values (the bounds, approximate quantiles, decide only the balance) and
+    within each, so no task orders all values.
+    """
+    counts = rows.groupBy(value).agg(F.count("*").alias("__n")).where(F.col(value).isNotNull())
+    bounds = counts.agg(F.percentile_approx(F.col(value).cast("double"), [k / ranges for k in range(1, ranges)], 10_000)).first()[0] or []
+    bounds = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]).cast("array<double>")
+    counts = counts.withColumn("__part", F.size(F.filter(bounds, lambda b: b < F.col(value).cast("double"))))
+    parts = counts.groupBy("__part").agg(F.sum("__n").alias("__sum"))
+    start = F.coalesce(F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.coalesce(F.sum("__n").over(Window.partitionBy("__part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = counts.join(F.broadcast(parts.select("__part", start.alias("__start"))), "__part")  # one row per range
+    return rows.join(placed.select(value, (F.col("__start") + inside + (F.col("__n") + 1) / 2).alias(f"{value}_rank")), value)
 
 
 def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -79,8 +89,12 @@ def drift(scores: DataFrame, alert: float = 0.05) -> DataFrame:
 
 def as_of(versions: DataFrame, pins: DataFrame, key: str = "card_id") -> DataFrame:
     """For each pin ``(pin_id, card_id, pinned_at)`` the newest version ``(card_id, version, version_time)`` not later than it."""
-    d = pins.join(versions, key).where(F.col("version_time") <= F.col("pinned_at"))
-    return d.groupBy("pin_id", key).agg(F.max(F.struct("version_time", "version")).alias("m")).select("pin_id", key, "m.version", "m.version_time")
+    v = versions.select(key, F.col("version_time").alias("__at"), F.lit(None).cast(pins.schema["pin_id"].dataType).alias("pin_id"), F.struct("version_time", "version").alias("__v"))
+    p = pins.select(key, F.col("pinned_at").alias("__at"), "pin_id", F.lit(None).cast(v.schema["__v"].dataType).alias("__v"))
+    # versions and pins in one order of time, a version before the pins of its moment; each pin takes the last version before it
+    w = Window.partitionBy(key).orderBy("__at", F.col("pin_id").isNotNull(), "__v.version").rowsBetween(Window.unboundedPreceding, 0)
+    d = v.unionByName(p).withColumn("m", F.last("__v", ignorenulls=True).over(w)).where("pin_id is not null and m is not null")
+    return d.select("pin_id", key, "m.version", "m.version_time")
 
 
 def gap_runs(events: DataFrame, key: str, time: str, seconds: float) -> DataFrame:

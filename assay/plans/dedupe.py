@@ -77,15 +77,14 @@ _SCORE_SQL = f"""WITH {_CAND_SQL}, s AS (
       + CASE WHEN len(a.contexts) > 0 AND len(b.contexts) > 0 AND len(list_intersect(a.contexts, b.contexts)) = 0 THEN 0.25e0 ELSE 0e0 END AS cost
   FROM cand JOIN f a ON a.id = a_id JOIN f b ON b.id = b_id
 ), t AS (SELECT a_id, b_id, greatest(0, (0.4e0 * sim + 0.15e0 * title + 0.15e0 * entities * ne + 0.1e0 * predicate * np + 0.1e0 * taxonomy + 0.1e0 * parameters) / (0.4e0 + 0.15e0 + 0.15e0 * ne + 0.1e0 * np + 0.1e0 + 0.1e0) - cost) AS score FROM s)
-SELECT a_id, b_id, round(score + 1e-9, 6) AS score, {steps("round(score + 1e-9, 6)", vocab.ROUTES, vocab.LOWEST_ROUTE)} AS verdict FROM t"""
+SELECT a_id, b_id, round(score + 1e-9, 6) AS score, {steps("score", vocab.ROUTES, vocab.LOWEST_ROUTE)} AS verdict FROM t"""
 
 
 @query(_SCORE_SQL)
 def pair_scores(spark, sf_dir):
     pairs = _candidates(spark, sf_dir).withColumn("embedding_similarity", F.expr(_SIM))
     d = dd.score_pairs(pairs, _features(spark, sf_dir))
-    s = F.round(F.col("score") + 1e-9, 6)
-    return d.select("a_id", "b_id", s.alias("score"), ev.step(s, vocab.ROUTES, vocab.LOWEST_ROUTE).alias("verdict"))
+    return d.select("a_id", "b_id", F.round(F.col("score") + 1e-9, 6).alias("score"), "verdict")
 
 
 @query(
@@ -204,14 +203,30 @@ def concept_centroids(spark, sf_dir):
     return d.withColumn("x", F.round(F.col("x") + 1e-9, 6))
 
 
+_ECHO_SQL = r"""t AS (SELECT doc_id AS id, source AS creator, list_filter(string_split_regex(lower(text), '[ \t\n\r\f\x0B]+'), lambda x: x <> '') AS w FROM documents),
+    g AS (SELECT id, creator, list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] || ' ' || w[k + 3] || ' ' || w[k + 4]))) AS grams FROM t WHERE len(w) >= 5),
+    cl AS (SELECT grams, min(id) AS id, min(creator) AS lo, max(creator) AS hi FROM g GROUP BY grams)"""
+
+
+def _echo(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "source AS creator", "text")
+    scratch = Scratch(spark, "echo")
+    return *dd.echo_classes(d, scratch, width=5), scratch
+
+
 @query(
-    r"""WITH t AS (SELECT doc_id AS id, source AS creator, list_filter(string_split_regex(lower(text), '[ \t\n\r\f\x0B]+'), lambda x: x <> '') AS w FROM documents),
-    g AS (SELECT id, creator, list_distinct(list_transform(range(1, len(w) - 3), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] || ' ' || w[k + 3] || ' ' || w[k + 4])) AS grams FROM t WHERE len(w) >= 5),
-    k AS (SELECT id, unnest(grams) AS key FROM g), f AS (SELECT key FROM k GROUP BY key HAVING count(*) BETWEEN 2 AND 20),
-    c AS (SELECT DISTINCT a.id AS a_id, b.id AS b_id FROM k a JOIN f USING (key) JOIN k b ON a.key = b.key AND a.id < b.id)
-    SELECT a_id, b_id, round(len(list_intersect(x.grams, y.grams)) / len(list_distinct(list_concat(x.grams, y.grams))) + 1e-9, 6) AS overlap FROM c JOIN g x ON x.id = a_id JOIN g y ON y.id = b_id WHERE x.creator <> y.creator AND len(list_intersect(x.grams, y.grams)) / len(list_distinct(list_concat(x.grams, y.grams))) > 0.6"""
+    rf"""WITH {_ECHO_SQL}, k AS (SELECT id, unnest(grams) AS key FROM cl), c AS (SELECT DISTINCT a.id AS a_id, b.id AS b_id FROM k a JOIN k b ON a.key = b.key AND a.id < b.id)
+    SELECT a_id, b_id, round(len(list_intersect(x.grams, y.grams)) / len(list_distinct(list_concat(x.grams, y.grams))) + 1e-9, 6) AS overlap FROM c JOIN cl x ON x.id = a_id JOIN cl y ON y.id = b_id
+    WHERE (x.lo <> x.hi OR y.lo <> y.hi OR x.lo <> y.lo) AND len(list_intersect(x.grams, y.grams)) / len(list_distinct(list_concat(x.grams, y.grams))) > 0.6"""
 )
 def echo_pairs(spark, sf_dir):
-    """Documents of different sources that say nearly the same."""
-    d = table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "source AS creator", "text")
-    return dd.echo_pairs(d, width=5, most_common=20).select("a_id", "b_id", F.round(F.col("overlap") + 1e-9, 6).alias("overlap"))
+    """Different texts of different sources that say nearly the same, each for all its copies (``echo_groups``)."""
+    _, classes, scratch = _echo(spark, sf_dir)
+    return dd.echo_pairs(classes, scratch).select("a_id", "b_id", F.round(F.col("overlap") + 1e-9, 6).alias("overlap"))
+
+
+@query(rf"WITH {_ECHO_SQL} SELECT g.id, cl.id AS class_id, cl.lo <> cl.hi AS echoed FROM g JOIN cl ON g.grams = cl.grams")
+def echo_groups(spark, sf_dir):
+    """The group of equal texts that each document belongs to, and whether several sources have it."""
+    members, classes, _ = _echo(spark, sf_dir)
+    return members.join(classes.select(F.col("id").alias("class_id"), (F.col("lo") != F.col("hi")).alias("echoed")), "class_id").select("id", "class_id", "echoed")

@@ -26,15 +26,15 @@ _COS = lambda a, b: f"list_cosine_similarity(CAST({a}.embedding AS DOUBLE[]), CA
 
 
 @query(
-    f"""WITH m AS (SELECT vec_id AS id, vec_id % 50 AS k, embedding FROM embeddings WHERE vec_id % 10 = 3), e AS (SELECT vec_id AS entity_id, vec_id % 50 + 8 AS k, embedding FROM embeddings WHERE vec_id % 10 = 5),
+    f"""WITH m AS (SELECT vec_id AS id, vec_id % 50 AS k, embedding FROM embeddings WHERE vec_id % 20 = 0), e AS (SELECT vec_id AS entity_id, vec_id % 50 + 8 AS k, embedding FROM embeddings WHERE vec_id % 20 <> 0),
     a AS (SELECT k, min(entity_id) AS entity_id FROM e GROUP BY k), n AS (SELECT m.id, arg_max(e.entity_id, ({_COS("m", "e")}, -e.entity_id)) AS near_id, max({_COS("m", "e")}) AS c FROM m, e GROUP BY m.id)
     SELECT m.id, CASE WHEN a.entity_id IS NOT NULL THEN a.entity_id WHEN c >= 0.3 THEN near_id END AS entity_id, CASE WHEN a.entity_id IS NOT NULL THEN 'alias' WHEN c >= 0.3 THEN 'vector' ELSE 'unlinked' END AS method FROM m LEFT JOIN a USING (k) JOIN n USING (id)"""
 )
 def entity_linking(spark, sf_dir):
     """By alias, else by vector (the floor is a parameter; these vectors are rarely as close as 0.88)."""
     e = table(spark, sf_dir, "embeddings")
-    m = e.where("vec_id % 10 = 3").selectExpr("vec_id AS id", "concat('A', vec_id % 50) AS alias", "embedding AS vector")
-    n = e.where("vec_id % 10 = 5").selectExpr("vec_id AS entity_id", "concat('a', vec_id % 50 + 8, ' ') AS alias", "embedding AS vector")
+    m = e.where("vec_id % 20 = 0").selectExpr("vec_id AS id", "concat('A', vec_id % 50) AS alias", "embedding AS vector")
+    n = e.where("vec_id % 20 <> 0").selectExpr("vec_id AS entity_id", "concat('a', vec_id % 50 + 8, ' ') AS alias", "embedding AS vector")
     return kn.link_mentions(m, n, 0.3)
 
 
@@ -82,15 +82,15 @@ def opposing_positions(spark, sf_dir):
 
 
 @query(
-    """WITH c AS (SELECT c_custkey AS context_id, abs(c_acctbal) / 250e0 AS value, c_nationkey AS cond FROM customer WHERE c_custkey % 5 = 0), r AS (SELECT p_partkey AS entity_id, p_size - 3e0 AS lo, p_size + 3e0 AS hi FROM part WHERE p_partkey % 10 = 0),
+    """WITH c AS (SELECT c_custkey AS context_id, abs(c_acctbal) / 250e0 AS value, c_nationkey AS cond FROM customer WHERE c_custkey % 20 = 0), r AS (SELECT p_partkey AS entity_id, p_size - 3e0 AS lo, p_size + 3e0 AS hi FROM part),
     e AS (SELECT p_partkey AS entity_id, p_size % 25 AS target, 0.5e0 AS w FROM part UNION ALL SELECT p_partkey, p_size % 7, p_size / 100e0 FROM part), x AS (SELECT p_partkey AS entity_id, (p_partkey // 10) % 25 AS cond FROM part),
     f AS (SELECT context_id, entity_id FROM c JOIN r ON value >= lo AND value <= hi WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.entity_id = r.entity_id AND x.cond = c.cond))
     SELECT context_id, entity_id, round(sum(w) + 1e-9, 6) AS score, row_number() OVER (PARTITION BY context_id ORDER BY round(sum(w), 9) DESC, entity_id) AS place FROM f JOIN e USING (entity_id) GROUP BY context_id, entity_id"""
 )
 def recommendations(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_custkey % 5 = 0").selectExpr("c_custkey AS context_id", "abs(c_acctbal) / 250e0 AS value", "CAST(c_nationkey AS BIGINT) AS condition")
+    c = table(spark, sf_dir, "customer").where("c_custkey % 20 = 0").selectExpr("c_custkey AS context_id", "abs(c_acctbal) / 250e0 AS value", "CAST(c_nationkey AS BIGINT) AS condition")
     p = table(spark, sf_dir, "part")
-    r = p.where("p_partkey % 10 = 0").selectExpr("p_partkey AS entity_id", "p_size - 3e0 AS lo", "p_size + 3e0 AS hi")
+    r = p.selectExpr("p_partkey AS entity_id", "p_size - 3e0 AS lo", "p_size + 3e0 AS hi")
     edge = lambda pred, target, s: p.selectExpr("p_partkey AS entity_id", f"'{pred}' AS predicate", f"CAST({target} AS BIGINT) AS target", f"{s} AS strength", "1e0 AS confidence")
     e = edge("suitable_for", "p_size % 25", "0.5e0").unionByName(edge("suitable_for", "p_size % 7", "p_size / 100e0")).unionByName(edge("contraindicated_with", "(p_partkey div 10) % 25", "1e0"))
     return kn.recommend(c, r, e).select("context_id", "entity_id", F.round(F.col("score") + 1e-9, 6).alias("score"), "place")
@@ -228,14 +228,15 @@ def curriculum_summary(spark, sf_dir):
 
 
 @query(
-    """WITH t AS (SELECT p_partkey AS id, p_name AS title FROM part WHERE p_size = 1), x AS (SELECT a.id AS a_id, b.id AS b_id FROM t a JOIN t b ON a.id < b.id AND a.title = b.title) SELECT a_id, b_id FROM x"""
+    r"""WITH t AS (SELECT min(p_partkey) AS id, p_name || ' ' || p_brand AS title FROM part GROUP BY title),
+    g AS (SELECT id, list_distinct(flatten(list_transform(list_filter(string_split_regex(lower(title), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda k: substr('  ' || w || ' ', k, 3))))) AS g FROM t),
+    x AS (SELECT a.id AS a_id, b.id AS b_id, len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) AS similarity FROM g a JOIN g b ON a.id < b.id) SELECT a_id, b_id, round(similarity + 1e-9, 6) AS similarity FROM x WHERE similarity >= 0.5"""
 )
 def trigram_pairs(spark, sf_dir):
-    """Titles with equal trigram sets; any overlap is a parameter."""
-    t = table(spark, sf_dir, "part").where("p_size = 1").selectExpr("p_partkey AS id", "p_name AS title").withColumn("g", dd.trigrams(F.col("title")))
-    p = dd.block_pairs(t, F.col("g"), "trigram").select("a_id", "b_id")
-    side = lambda s: t.select(F.col("id").alias(f"{s}_id"), F.col("g").alias(f"{s}_g"))
-    return p.join(side("a"), "a_id").join(side("b"), "b_id").where(dd.jaccard(F.col("a_g"), F.col("b_g")) >= 1.0).select("a_id", "b_id")
+    """Different titles whose trigrams are half the same and more, each by the first part that has it."""
+    t = table(spark, sf_dir, "part").groupBy(F.expr("concat(p_name, ' ', p_brand)").alias("title")).agg(F.min("p_partkey").alias("id"))
+    pairs = dd.similar_sets(t.select("id", dd.trigrams(F.col("title")).alias("items")), Scratch(spark, "trigrams"), 0.5)
+    return pairs.select("a_id", "b_id", F.round(F.col("overlap") + 1e-9, 6).alias("similarity"))
 
 
 @query(
