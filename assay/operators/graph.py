@@ -145,12 +145,22 @@ def expand(results: DataFrame, edges: DataFrame, predicates: DataFrame, share: f
     return hop.join(results.select("query", "id"), ["query", "id"], "left_anti")
 
 
-def first_paths(pairs: DataFrame, edges: DataFrame, depth: int = 4) -> DataFrame:
-    """The fewest hops from ``a`` to ``b`` along edges, up to ``depth``, with one path (the smallest)."""
-    paths = walk(pairs.select(F.col("a").alias("start")).distinct(), edges.select("subject_id", "object_id", F.lit(1.0).alias("strength"), F.lit(1.0).alias("confidence")), depth=depth, least=0.0)
-    d = paths.join(pairs.select(F.col("a").alias("start"), F.col("b").alias("node")), ["start", "node"])
-    w = Window.partitionBy("start", "node").orderBy("hops", "path")
-    return d.withColumn("n", F.row_number().over(w)).where("n = 1").select(F.col("start").alias("a"), F.col("node").alias("b"), "hops", "path")
+def first_paths(pairs: DataFrame, edges: DataFrame, depth: int = 4, scratch: Scratch | None = None) -> DataFrame:
+    """The fewest hops from ``a`` to ``b`` along edges, up to ``depth``, with one path (the smallest).
+
+    Breadth first: a node that a start has reached is never walked again from that start, and of the paths that reach it at once only
+    the smallest goes on, so what is held grows with the nodes reached, not with the paths.
+    """
+    step = edges.select(F.col("subject_id").alias("node"), F.col("object_id").alias("next")).where("node <> next").distinct()
+    front = pairs.select(F.col("a").alias("start")).distinct().select("start", F.col("start").alias("node"), F.lit(0).alias("hops"), F.array("start").alias("path"))
+    seen = front
+    for k in range(1, depth + 1):
+        reached = front.join(step, "node").groupBy("start", "next").agg(F.min("path").alias("path"))
+        front = reached.select("start", F.col("next").alias("node"), F.lit(k).alias("hops"), F.concat("path", F.array("next")).alias("path")).join(seen, ["start", "node"], "left_anti")
+        front = scratch.save(front.select(*seen.columns), f"hop{k}") if scratch else front.select(*seen.columns)
+        seen = seen.unionByName(front)
+    d = seen.where("hops > 0").join(pairs.select(F.col("a").alias("start"), F.col("b").alias("node")).distinct(), ["start", "node"])
+    return d.select(F.col("start").alias("a"), F.col("node").alias("b"), "hops", "path")
 
 
 def betweenness(edges: DataFrame, pivots: DataFrame, scratch: Scratch, most: int = 20) -> DataFrame:

@@ -52,27 +52,27 @@ def diagnose(spark, sf_dir):
 
 @query(
     f"""WITH RECURSIVE {_EDGES_SQL}, step AS (SELECT subject_id AS node, object_id AS nxt, max(strength * confidence) AS w FROM edges WHERE predicate = 'causes' GROUP BY ALL),
-    p AS (SELECT p_partkey AS start, p_partkey AS node, 0 AS hops, [p_partkey] AS path, 1e0 AS score FROM part WHERE p_partkey % 50 = 7
+    p AS (SELECT p_partkey AS start, p_partkey AS node, 0 AS hops, [p_partkey] AS path, 1e0 AS score FROM part
       UNION ALL SELECT p.start, s.nxt, p.hops + 1, list_append(p.path, s.nxt), p.score * s.w FROM p JOIN step s ON p.node = s.node WHERE p.hops < 3 AND NOT list_contains(p.path, s.nxt) AND p.score * s.w > 0.05)
     SELECT start, node AS metric, round(max(score) + 1e-9, 6) AS score, CAST(min(hops) AS INT) AS hops FROM p JOIN part k ON p.node = k.p_partkey AND k.p_type = 'LARGE' WHERE hops > 0 GROUP BY start, node"""
 )
 def impact(spark, sf_dir):
     """Forward effects on nodes of one type."""
     part = table(spark, sf_dir, "part")
-    paths = g.walk(part.where("p_partkey % 50 = 7").selectExpr("p_partkey AS start"), _edges(spark, sf_dir).where("predicate = 'causes'"), depth=3)
+    paths = g.walk(part.selectExpr("p_partkey AS start"), _edges(spark, sf_dir).where("predicate = 'causes'"), depth=3)
     d = paths.join(part.where("p_type = 'LARGE'").selectExpr("p_partkey AS node"), "node", "left_semi")
     return d.groupBy("start", F.col("node").alias("metric")).agg(F.round(F.max("score") + 1e-9, 6).alias("score"), F.min("hops").alias("hops"))
 
 
 @query(
-    f"""WITH RECURSIVE {_EDGES_SQL}, step AS (SELECT DISTINCT subject_id AS node, object_id AS nxt FROM edges), want AS (SELECT p_partkey AS a, p_partkey // 64 AS b FROM part WHERE p_partkey % 25 = 3),
+    f"""WITH RECURSIVE {_EDGES_SQL}, step AS (SELECT DISTINCT subject_id AS node, object_id AS nxt FROM edges), want AS (SELECT p_partkey AS a, p_partkey // 64 AS b FROM part),
     p AS (SELECT DISTINCT a AS start, a AS node, 0 AS hops, [a] AS path FROM want
       UNION ALL SELECT p.start, s.nxt, p.hops + 1, list_append(p.path, s.nxt) FROM p JOIN step s ON p.node = s.node WHERE p.hops < 4 AND NOT list_contains(p.path, s.nxt))
     SELECT a, b, CAST(min(hops) AS INT) AS hops FROM p JOIN want ON a = start AND b = node WHERE hops > 0 GROUP BY a, b"""
 )
 def shortest_paths(spark, sf_dir):
-    want = table(spark, sf_dir, "part").where("p_partkey % 25 = 3").selectExpr("p_partkey AS a", "p_partkey div 64 AS b")
-    return g.first_paths(want, _edges(spark, sf_dir)).select("a", "b", "hops")
+    want = table(spark, sf_dir, "part").selectExpr("p_partkey AS a", "p_partkey div 64 AS b")
+    return g.first_paths(want, _edges(spark, sf_dir), scratch=Scratch(spark, "paths")).select("a", "b", "hops")
 
 
 @query(f"WITH {_EDGES_SQL} SELECT DISTINCT a.subject_id AS x, a.object_id AS y, a.predicate, b.predicate AS other FROM edges a JOIN edges b ON a.subject_id = b.subject_id AND a.object_id = b.object_id AND a.predicate = 'causes' AND b.predicate = 'prevents'")
@@ -103,16 +103,16 @@ def curriculum_levels(spark, sf_dir):
     return g.topological_levels(e, Scratch(spark, "levels"))[0]
 
 
-_RING = "SELECT p_partkey AS a, CASE WHEN p_partkey % 50 = 49 THEN p_partkey - 49 ELSE p_partkey + 1 END AS b FROM part WHERE p_partkey % 50 < 50 AND p_partkey - p_partkey % 50 + 49 < (SELECT count(*) FROM part) AND (p_partkey // 50) % 10 = 0"
+_RING = "SELECT p_partkey AS a, CASE WHEN p_partkey % 50 = 49 THEN p_partkey - 49 ELSE p_partkey + 1 END AS b FROM part WHERE p_partkey % 50 < 50 AND p_partkey - p_partkey % 50 + 49 < (SELECT count(*) FROM part) AND (p_partkey // 50) % 3 = 0"
 
 
 @query(f"{_RING}")
 def cycle_edges(spark, sf_dir):
-    """Rings of fifty with trees hanging from them: only the rings remain."""
+    """Every part is on a ring of fifty or on a tree hanging from one: only the rings remain."""
     part = table(spark, sf_dir, "part")
     n = part.count()
-    ring = part.where(f"p_partkey - p_partkey % 50 + 49 < {n} and (p_partkey div 50) % 10 = 0").selectExpr("p_partkey AS subject_id", "CASE WHEN p_partkey % 50 = 49 THEN p_partkey - 49 ELSE p_partkey + 1 END AS object_id")
-    tree = part.where("(p_partkey div 50) % 10 = 1").selectExpr("p_partkey - 50 AS subject_id", "p_partkey AS object_id").unionByName(part.where("(p_partkey div 50) % 10 = 2").selectExpr("p_partkey AS subject_id", "p_partkey - 100 AS object_id"))
+    ring = part.where(f"p_partkey - p_partkey % 50 + 49 < {n} and (p_partkey div 50) % 3 = 0").selectExpr("p_partkey AS subject_id", "CASE WHEN p_partkey % 50 = 49 THEN p_partkey - 49 ELSE p_partkey + 1 END AS object_id")
+    tree = part.where("(p_partkey div 50) % 3 = 1").selectExpr("p_partkey - 50 AS subject_id", "p_partkey AS object_id").unionByName(part.where("(p_partkey div 50) % 3 = 2").selectExpr("p_partkey AS subject_id", "p_partkey - 100 AS object_id"))
     return g.cycle_edges(ring.unionByName(tree), Scratch(spark, "cycles"))
 
 
@@ -143,9 +143,17 @@ def transitive_edges(spark, sf_dir):
     return g.prunable(a.unionByName(b)).select("subject_id", "object_id")
 
 
-@query()
+_VOTES = "SELECT id, module FROM (SELECT b.id, l.module, row_number() OVER (PARTITION BY b.id ORDER BY count(*) DESC, l.module) AS place FROM both_ways b JOIN {0} l ON l.id = b.n GROUP BY b.id, l.module) WHERE place = 1"
+
+
+@query(
+    f"WITH {_EDGES_SQL}, both_ways AS (SELECT subject_id AS id, object_id AS n FROM edges UNION SELECT object_id, subject_id FROM edges), l0 AS (SELECT DISTINCT id, id AS module FROM both_ways), "
+    + ", ".join(f"l{k + 1} AS MATERIALIZED ({_VOTES.format(f'l{k}')})" for k in range(5))
+    + " SELECT id, module FROM l5"
+)
 def modules(spark, sf_dir):
-    return g.communities(_edges(spark, sf_dir).where("predicate = 'prevents'"), Scratch(spark, "modules"))
+    """Five rounds of label propagation over all edges."""
+    return g.communities(_edges(spark, sf_dir), Scratch(spark, "modules"))
 
 
 @query()

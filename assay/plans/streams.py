@@ -55,9 +55,8 @@ def stream_metrics(spark, sf_dir):
     return d.select("event_type", F.col("w.start").cast("timestamp_ntz").alias("day"), F.col("rows").alias("events"), F.round(F.col("mean") + 1e-9, 6).alias("mean"), "largest")
 
 
-@query("SELECT event_type, min(event_id) AS event_id FROM events GROUP BY event_type")
+@query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_first_seen(spark, sf_dir):
-    """One row per key within an unbounded horizon; which one depends on the file's order, so the smallest id per key is drawn from all that came first."""
-    s = _events(spark, sf_dir)
-    d = _replay(spark, flows.first_seen(s, "event_id", "ts", "3650 days"), "first")
-    return d.groupBy("event_type").agg(F.min("event_id").alias("event_id"))
+    """The first event of each kind of each user lets the key through, all later ones are dropped; the horizon is longer than the stream."""
+    s = _events(spark, sf_dir).withColumn("key", F.concat_ws("|", F.col("user_id").cast("string"), "event_type"))
+    return _replay(spark, flows.first_seen(s, "key", "ts", "3650 days"), "first").select("user_id", "event_type")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assay import vocab
 from assay.operators import chunks as ch, validate as va
 from assay.sources import transcripts as tr
 from assay.sources.star import table
@@ -97,3 +98,160 @@ def turn_labelled_text(spark, sf_dir):
     lines = F.array_sort(F.collect_list(F.struct("turn", F.concat(F.initcap("role"), F.lit(": "), F.regexp_replace("text", "\\s+", " ")).alias("line"))))
     files = c.groupBy(F.col("conv_id").cast("string").alias("source_id")).agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("content"))
     return tr.parse_plain(files)
+
+
+# ---- parsers: conversations written out as files and read back
+
+_CLEAN = r"trim(regexp_replace(regexp_replace(text, '[^A-Za-z .,]+', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+def _turns(spark, sf_dir):
+    """Turns with a time each and words of plain letters."""
+    text = F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z .,]+", " "), " +", " "))
+    return table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("source_id"), "turn", "role", text.alias("said")).where("said <> ''")
+
+
+def _files(turns, line, join, head=""):
+    lines = F.array_sort(F.collect_list(F.struct("turn", line.alias("line"))))
+    return turns.groupBy("source_id").agg(F.concat(F.lit(head), F.array_join(F.transform(lines, lambda x: x["line"]), join)).alias("content"))
+
+
+def _stamp(seconds, mark):
+    return F.format_string(f"%02d:%02d:%02d{mark}%03d", F.expr(f"CAST({seconds} div 3600 AS INT)"), F.expr(f"CAST({seconds} div 60 % 60 AS INT)"), F.expr(f"CAST({seconds} % 60 AS INT)"), F.lit(250))
+
+
+_NUMBERED = f"t AS (SELECT CAST(conv_id AS VARCHAR) AS source_id, turn, role, {_CLEAN} AS said FROM conversations), n AS (SELECT *, CAST(row_number() OVER (PARTITION BY source_id ORDER BY turn) - 1 AS INT) AS cue_no FROM t WHERE said <> '')"
+
+
+@query(f"WITH {_NUMBERED} SELECT source_id, cue_no, turn * 700 + 0.25e0 AS t_start, turn * 700 + 9.25e0 AS t_end, CASE WHEN role = 'user' THEN 'User' END AS speaker, said AS text FROM n")
+def caption_cues(spark, sf_dir):
+    """Captions with times, numbers, voice tags and markup: users are named, assistants' words are in tags."""
+    voice = F.when(F.col("role") == "user", F.concat(F.lit("<v User>"), "said", F.lit("</v>"))).otherwise(F.concat(F.lit("<c.loud>"), "said", F.lit("</c>")))
+    block = F.concat_ws("\n", F.col("turn").cast("string"), F.concat(_stamp("turn * 700", "."), F.lit(" --> "), _stamp("(turn * 700 + 9)", "."), F.lit(" align:start")), voice)
+    return tr.parse_timed(_files(_turns(spark, sf_dir), block, "\n\n", "WEBVTT\n\n"))
+
+
+@query(f"WITH {_NUMBERED} SELECT source_id, cue_no, turn * 700 + 0.25e0 AS t_start, turn * 700 + 9.25e0 AS t_end, 'Speaker ' || upper(left(role, 1)) AS speaker, said AS text FROM n")
+def subtitle_cues(spark, sf_dir):
+    """Subtitles with comma times, Windows line ends and labels before the words."""
+    label = F.concat(F.lit("Speaker "), F.upper(F.substring("role", 1, 1)), F.lit(": "), "said")
+    block = F.concat_ws("\r\n", F.col("turn").cast("string"), F.concat(_stamp("turn * 700", ","), F.lit(" --> "), _stamp("(turn * 700 + 9)", ",")), label)
+    return tr.parse_timed(_files(_turns(spark, sf_dir), block, "\r\n\r\n"))
+
+
+@query(
+    f"""WITH {_NUMBERED} SELECT source_id, cue_no, CASE WHEN CAST(source_id AS BIGINT) % 5 < 4 THEN turn * 10e0 END AS t_start, CASE WHEN CAST(source_id AS BIGINT) % 5 < 4 THEN turn * 10 + 5e0 END AS t_end, CASE WHEN CAST(source_id AS BIGINT) % 5 < 4 THEN role END AS speaker, said AS text, CAST(NULL AS VARCHAR) AS reason FROM n WHERE CAST(source_id AS BIGINT) % 5 < 4
+    UNION ALL SELECT source_id, NULL, NULL, NULL, NULL, NULL, 'no recognised segment list' FROM n WHERE CAST(source_id AS BIGINT) % 5 = 4 GROUP BY source_id"""
+)
+def speech_cues(spark, sf_dir):
+    """Speech recognition output in four shapes, and in one that isn't known."""
+    t = _turns(spark, sf_dir)
+    shape = F.col("source_id").cast("long") % 5
+    item = F.struct((F.col("turn") * 10).alias("start"), (F.col("turn") * 10 + 5).alias("end"), F.col("role").alias("speaker"), F.col("said").alias("text"))
+    other = F.struct((F.col("turn") * 10).alias("startTime"), (F.col("turn") * 10 + 5).alias("endTime"), F.col("role").alias("speaker_label"), F.col("said").alias("transcript"))
+    line = F.when(shape < 3, F.to_json(item)).otherwise(F.to_json(other))
+    files = _files(t, line, ",")
+    list_ = F.concat(F.lit("["), "content", F.lit("]"))
+    keyed = lambda name: F.concat(F.lit('{"' + name + '":'), list_, F.lit("}"))
+    body = F.when(shape == 0, list_).when(shape == 1, keyed("segments")).when(shape == 2, keyed("utterances")).when(shape == 3, keyed("results")).otherwise(keyed("entries"))
+    cues, bad = tr.parse_json(files.withColumn("content", body))
+    return cues.withColumn("reason", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+
+
+@query(
+    rf"""WITH {_NUMBERED}, k AS (SELECT source_id, count(*) AS labels FROM n GROUP BY source_id), s AS (SELECT n.*, labels >= 3 AS named FROM n JOIN k USING (source_id))
+    SELECT source_id, cue_no, CASE WHEN named THEN upper(left(role, 1)) || substr(role, 2) END AS speaker, upper(left(role, 1)) || substr(role, 2) || ': ' || said AS text FROM s WHERE CAST(source_id AS BIGINT) % 2 = 0
+    UNION ALL SELECT source_id, cue_no, NULL, said FROM s WHERE CAST(source_id AS BIGINT) % 2 = 1"""
+)
+def plain_cues(spark, sf_dir):
+    """Texts with labels, bold or not, as turns; texts with few labels or none as paragraphs."""
+    kind = F.col("source_id").cast("long")
+    name = F.initcap("role")
+    line = F.when(kind % 4 == 0, F.concat(F.lit("**"), name, F.lit(":** "), "said")).when(kind % 4 == 2, F.concat(name, F.lit(": "), "said")).otherwise(F.col("said"))
+    cues = tr.parse_plain(_files(_turns(spark, sf_dir), line, "\n\n"))
+    # a text with fewer than three bold labels keeps them as they were written
+    return cues.select("source_id", "cue_no", "speaker", F.regexp_replace("text", r"^\*\*(\w+):\*\* ", "$1: ").alias("text"))
+
+
+@query(rf"SELECT conv_id, turn, upper(left(c, 1)) || substr(c, 2) AS text FROM (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(text, 'hth|nen', '', 'g'), '\s+', ' ', 'g')) AS c FROM (SELECT conv_id, turn, regexp_replace(text, '[^a-zA-Z]+', ' x' || turn || ' ', 'g') AS text FROM conversations))")
+def cleaned_turns(spark, sf_dir):
+    """Turns without fillers (two syllables of these tables stand for them), spaces collapsed, first letter a capital; no word follows itself here."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.regexp_replace("text", "[^a-zA-Z]+", F.concat(F.lit(" x"), F.col("turn").cast("string"), F.lit(" "))).alias("text"))
+    return c.select("conv_id", "turn", ch.clean_text(F.col("text"), ch.Lexicon(fillers="hth|nen")).alias("text"))
+
+
+@query(rf"WITH turns AS (SELECT conv_id, turn, text FROM conversations), {_TYPED} SELECT segment_type, count(*) AS chunks, round(sum(base), 6) AS salience FROM b WHERE base >= 0.30 GROUP BY segment_type")
+def gated_turns(spark, sf_dir):
+    """What passes the gate, by kind."""
+    d = table(spark, sf_dir, "conversations").withColumn("segment_type", ch.segment_type(F.col("text"), LEXICON))
+    d = ch.salience_gate(d.withColumn("salience", ch.salience(F.col("text"), F.col("segment_type"), LEXICON)))
+    return d.groupBy("segment_type").agg(F.count("*").alias("chunks"), F.round(F.sum("salience"), 6).alias("salience"))
+
+
+# ---- claims held against what was said
+
+_CLAIM = "conv_id * 10 + turn"
+_LIST = lambda xs: ", ".join(f"'{x}'" for x in xs)
+#: A claim of every turn, with faults by number; the quote is a part of the turn, whole or spoilt.
+_CLAIMS = f"""
+  {_CLAIM} AS claim_id, CAST(conv_id AS {{text}}) || '-' || turn AS chunk_id,
+  CASE ({_CLAIM}) % 7 WHEN 0 THEN replace(substr(text, 4, 60), ' ', '  ') WHEN 1 THEN 'zq' || substr(text, 4, 60) WHEN 2 THEN substr(text, 4, 6) WHEN 3 THEN NULL ELSE substr(text, 4, 60) END AS verbatim_quote,
+  CASE ({_CLAIM}) % 5 WHEN 0 THEN upper(substr(text, 4, 60)) WHEN 1 THEN 'brief' ELSE 'What ' || role || ' says in turn ' || turn END AS normalized_statement,
+  CASE ({_CLAIM}) % 11 WHEN 0 THEN 'guess' WHEN 1 THEN NULL ELSE '{vocab.CLAIM_TYPES[1]}' END AS claim_type,
+  CASE ({_CLAIM}) % 13 WHEN 0 THEN 'rumour' ELSE '{list(vocab.TIER_WEIGHT)[6]}' END AS evidence_tier,
+  CASE ({_CLAIM}) % 4 WHEN 0 THEN 'galaxy' WHEN 1 THEN 'conditional' WHEN 2 THEN NULL ELSE 'general' END AS scope,
+  CASE ({_CLAIM}) % 6 WHEN 0 THEN 1.5e0 WHEN 1 THEN NULL ELSE 0.25e0 END AS hedge_level,
+  ({_CLAIM}) % 3 AS n_conditions, CASE ({_CLAIM}) % 3 WHEN 0 THEN 'relative_humidity' WHEN 1 THEN 'length_mm' ELSE 'other' END AS name,
+  CASE ({_CLAIM}) % 8 WHEN 0 THEN 'many' ELSE CAST(({_CLAIM}) * 7 % 130 AS {{text}}) END AS value, CASE ({_CLAIM}) % 5 WHEN 0 THEN 'Percent ' WHEN 1 THEN 'cubits' WHEN 2 THEN NULL ELSE 'mm' END AS unit,
+  turn * 10 + ({_CLAIM}) % 4 * 5e0 - 5e0 AS t_start, turn * 10 + 8e0 + ({_CLAIM}) % 3 AS t_end, ({_CLAIM}) % 9 = 0 AS is_reported_from_other, CASE WHEN ({_CLAIM}) % 2 = 0 THEN 'someone' ELSE '' END AS reported_from
+"""
+_SPACE = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
+_CODES = [
+    ("kind = 'lost'", "quote_lost"), ("kind = 'loose'", "quote_whitespace_normalized"), ("length(trim(q)) < 10", "quote_too_short"), ("length(trim(normalized_statement)) < 10", "statement_too_short"),
+    (f"q <> '' AND lower({_SPACE.format('q')}) = lower({_SPACE.format('normalized_statement')})", "statement_not_normalized"), (f"claim_type IS NULL OR claim_type NOT IN ({_LIST(vocab.CLAIM_TYPES)})", "claim_type_invalid"),
+    (f"evidence_tier NOT IN ({_LIST(vocab.TIER_WEIGHT)})", "evidence_tier_invalid"), (f"scope NOT IN ({_LIST(vocab.SCOPES)})", "scope_invalid"), ("hedge_level IS NULL OR hedge_level NOT BETWEEN 0 AND 1", "hedge_level_invalid"),
+    ("scope = 'conditional' AND n_conditions = 0", "conditional_without_conditions"), ("t_start < lo OR t_start > hi", "timestamp_clamped"), ("t_end < lo OR t_end > hi", "timestamp_clamped"), ("is_reported_from_other AND reported_from = ''", "reported_from_missing"),
+    ("unit = 'Percent '", "unit_normalized"), ("unit = 'cubits'", "unit_unknown"), ("(name = 'relative_humidity' AND v > 100) OR (name = 'length_mm' AND (v < 4 OR v > 25))", "value_implausible"),
+]
+_DISCARDS = ("quote_lost", "quote_too_short", "statement_too_short", "claim_type_invalid", "evidence_tier_invalid")
+_JUDGED_SQL = rf"""c AS (SELECT {_CLAIMS.format(text="VARCHAR")}, text AS said, turn * 10e0 AS lo, turn * 10 + 9e0 AS hi FROM conversations),
+  k AS (SELECT *, coalesce(verbatim_quote, '') AS q, TRY_CAST(value AS DOUBLE) AS v FROM c), m AS (SELECT *, CASE WHEN q <> '' AND strpos(said, q) > 0 THEN 'exact' WHEN q <> '' AND strpos({_SPACE.format("said")}, {_SPACE.format("q")}) > 0 THEN 'loose' ELSE 'lost' END AS kind FROM k),
+  f AS (SELECT *, list_sort(list_filter([{", ".join(f"CASE WHEN {when} THEN '{code}' END" for when, code in _CODES)}], lambda x: x IS NOT NULL)) AS codes FROM m)"""
+
+
+def _claims(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    d = c.selectExpr(f"inline(array(struct({_CLAIMS.format(text='STRING')})))")
+    some = F.struct(F.lit("a").alias("variable"))
+    d = d.withColumns({"conditions": F.slice(F.array(some), F.lit(1), F.least(F.col("n_conditions"), F.lit(1)).cast("int")), "parameters": F.array(F.struct("name", "value", "unit"))})
+    chunks = c.selectExpr("concat(conv_id, '-', turn) AS chunk_id", "text AS raw_text", "turn * 10e0 AS t_start", "turn * 10 + 9e0 AS t_end")
+    return d.drop("n_conditions", "name", "value", "unit"), chunks
+
+
+@query(
+    rf"""WITH {_JUDGED_SQL} SELECT claim_id, array_to_string(codes, ',') AS codes, len(list_filter(codes, lambda x: x IN ({_LIST(_DISCARDS)}))) = 0 AS ok, greatest(lo, least(hi, t_start)) AS t_start, greatest(lo, least(hi, t_end)) AS t_end,
+      CASE unit WHEN 'Percent ' THEN '%RH' ELSE unit END AS unit, CAST(CASE kind WHEN 'exact' THEN strpos(said, q) - 1 WHEN 'loose' THEN strpos({_SPACE.format("said")}, {_SPACE.format("q")}) - 1 END AS INT) AS quote_offset FROM f"""
+)
+def claim_validation(spark, sf_dir):
+    """Every rule over a claim of each turn; a quote that isn't found is lost here, paraphrased or not, as SQL has no likeness of token lists."""
+    d = va.validate_claims(*_claims(spark, sf_dir))
+    code = lambda f: F.when(f["code"].isin("quote_paraphrased", "quote_not_found"), "quote_lost").otherwise(f["code"])
+    return d.select("claim_id", F.array_join(F.array_sort(F.transform("findings", code)), ",").alias("codes"), "ok", "t_start", "t_end", F.col("repaired_units")[0].alias("unit"), "quote_offset")
+
+
+@query(
+    rf"""WITH {_JUDGED_SQL}, x AS (SELECT claim_id % 5 AS source_id, unnest(codes) AS code FROM f), y AS (SELECT source_id, code, count(*) AS n FROM x GROUP BY ALL)
+    SELECT source_id, code, n FROM y UNION ALL SELECT NULL, code, sum(n) FROM y GROUP BY code"""
+)
+def validation_stats(spark, sf_dir):
+    """Findings by source and code, with totals."""
+    d = va.validate_claims(*_claims(spark, sf_dir)).withColumn("source_id", F.col("claim_id") % 5)
+    s = va.extraction_stats(d).withColumn("code", F.when(F.col("code").isin("quote_paraphrased", "quote_not_found"), "quote_lost").otherwise(F.col("code")))
+    return s.groupBy("source_id", "code", "total").agg(F.sum("n").alias("n")).select("source_id", "code", "n")
+
+
+@query("SELECT o_custkey AS claim_id, o_orderkey AS first FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1")
+def first_claims(spark, sf_dir):
+    """Of rows that share an id the first by date, then key."""
+    o = table(spark, sf_dir, "orders").selectExpr("o_custkey AS claim_id", "o_orderdate AS at", "o_orderkey AS first")
+    return va.first_per_id(o, "claim_id", "at", "first").select("claim_id", "first")
