@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from assay.llm.textkit import U64, forest, mix, shingles, slices
 from assay.operators.components import connected_components
@@ -29,6 +29,8 @@ _LEAST_NIBBLES = 38 / 72
 _TILE = 256
 #: Shingles of such a tile on average, so that tiles of long documents hold fewer of them.
 _TILE_ITEMS = 1 << 20
+#: Of one class in so many the keys are counted, and a key with so many of them belongs to a large bucket; of those the largest, no more than this.
+_SAMPLE, _HOT, _MOST_HOT = 64, 32, 100_000
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -181,6 +183,32 @@ def _tile(docs: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return np.array(ids), np.array(parts), np.array(items.flatten()), np.repeat(np.arange(len(ids)), lengths)
 
 
+def _table_keys(classes: DataFrame) -> DataFrame:
+    """Rows ``(key, id)``: a class's key in each table, of one value from each collection."""
+    left = classes.select("id", F.posexplode("left").alias("i", "x"), "right")
+    return left.select("id", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
+
+
+def _bucket_mates(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows ``(key, id, lead)``: each class of a bucket with the smallest of the bucket, which leads it.
+
+    Buckets that a sample of the classes shows to be large, at most ``_MOST_HOT``, never meet in one task: their leads are
+    minima that combine before the shuffle and travel to the rows. All others are sorted by key. The sample decides the way, not the result.
+    """
+    keys = _table_keys(classes)
+    seen = _table_keys(classes.where(F.pmod(F.xxhash64("id"), F.lit(_SAMPLE)) == 0)).groupBy("key").count().where(F.col("count") >= _HOT)
+    hot = scratch.save(seen.orderBy(F.desc("count"), "key").limit(_MOST_HOT).select("key"), "hot")
+    if hot.isEmpty():
+        small, large = keys, None
+    else:
+        small, large = keys.join(F.broadcast(hot), "key", "left_anti"), keys.join(F.broadcast(hot), "key", "left_semi")
+    mates = small.select("key", "id", F.min("id").over(Window.partitionBy("key")).alias("lead")).where("id != lead")
+    if large is None:
+        return mates
+    leads = scratch.save(large.groupBy("key").agg(F.min("id").alias("lead")), "leads")
+    return mates.unionByName(large.join(F.broadcast(leads), "key").where("id != lead").select("key", "id", "lead"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, similarity: float = 0.8, groups: int = 12, half: int = 3, scratch: Scratch | None = None
 ) -> DataFrame:
@@ -215,10 +243,7 @@ def near_duplicates(
     classes = scratch.save(classes.select("c1", "c2", "n", "m.*"), "classes", compression="lz4")
     known = classes.select("id", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(_SKETCH)])
 
-    keys = classes.select("id", F.posexplode("left").alias("i", "x"), "right").select("id", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "id")
-    # the minimum combines before the shuffle, and the join splits what is skewed: no task holds a whole bucket
-    leads = keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead != last").select("key", "lead")
-    mates = scratch.save(keys.join(leads, "key").where("id != lead").select("key", "id", "lead"), "mates", compression="lz4")
+    mates = scratch.save(_bucket_mates(classes, scratch), "mates", compression="lz4")
     stars = mates.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     ka, kb = known.alias("ka"), known.alias("kb")
     judged = stars.join(ka, stars.a == F.col("ka.id")).join(kb, stars.b == F.col("kb.id")).select("a", "b", _close(similarity, n_hash).alias("close"))

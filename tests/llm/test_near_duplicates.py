@@ -97,8 +97,10 @@ def test_near_copies_that_longer_documents_with_smaller_ids_embed(spark, monkeyp
     assert got == components(sets, linked)
 
 
-def test_one_bucket_with_most_rows(spark):
-    """Distinct copies of one text, all in one bucket of nearly every table, beside others."""
+@pytest.mark.parametrize("hot", [2, 10**6])
+def test_one_bucket_with_most_rows(spark, monkeypatch, hot):
+    """Distinct copies of one text, all in one bucket of nearly every table, beside others; by either way of finding leads."""
+    monkeypatch.setattr(minhash, "_HOT", hot)
     rng = random.Random(8)
     base = [f"h{k}" for k in range(300)]
     rows = [(k, " ".join([*base[:k], f"own{k}", *base[k:]]) if k < 300 else " ".join(rng.choice(base) for _ in range(40))) for k in range(400)]
