@@ -196,7 +196,7 @@ _LIST = lambda xs: ", ".join(f"'{x}'" for x in xs)
 _CLAIMS = f"""
   {_CLAIM} AS claim_id, CAST(conv_id AS {{text}}) || '-' || turn AS chunk_id,
   CASE ({_CLAIM}) % 7 WHEN 0 THEN replace(substr(text, 4, 60), ' ', '  ') WHEN 1 THEN 'zq' || substr(text, 4, 60) WHEN 2 THEN substr(text, 4, 6) WHEN 3 THEN NULL ELSE substr(text, 4, 60) END AS verbatim_quote,
-  CASE ({_CLAIM}) % 5 WHEN 0 THEN upper(substr(text, 4, 60)) WHEN 1 THEN 'brief' ELSE 'What ' || role || ' says in turn ' || turn END AS normalized_statement,
+  CASE ({_CLAIM}) % 5 WHEN 0 THEN ' ' || replace(substr(text, 4, 60), ' ', '   ') WHEN 1 THEN 'brief' ELSE 'What ' || role || ' says in turn ' || turn END AS normalized_statement,
   CASE ({_CLAIM}) % 11 WHEN 0 THEN 'guess' WHEN 1 THEN NULL ELSE '{vocab.CLAIM_TYPES[1]}' END AS claim_type,
   CASE ({_CLAIM}) % 13 WHEN 0 THEN 'rumour' ELSE '{list(vocab.TIER_WEIGHT)[6]}' END AS evidence_tier,
   CASE ({_CLAIM}) % 4 WHEN 0 THEN 'galaxy' WHEN 1 THEN 'conditional' WHEN 2 THEN NULL ELSE 'general' END AS scope,
