@@ -58,3 +58,48 @@ def clock(seconds: Column) -> Column:
 
 def straight_quotes(text: Column) -> Column:
     return F.translate(text, "‘’“”–—", "''\"\"--")
+
+
+def source_id(platform: Column, month: Column, hash_: Column) -> Column:
+    """From the platform, the month as yyyymm (null for anything else) and the text's hash."""
+    return F.when(month.rlike(r"^\d{6}$"), F.concat_ws("_", F.lit("src"), slugify(platform, stopwords=()), month, F.substring(hash_, 1, 8)))
+
+
+def chunk_id(source: Column, sequence: Column) -> Column:
+    return F.concat(F.lit("chk_"), F.substring_index(source, "_", -1), F.format_string("_%05d", sequence.cast("int")))
+
+
+def claim_id(source: Column, start: Column, end: Column, statement: Column) -> Column:
+    """By source, span and statement, whatever its spacing and case; the quote may change."""
+    return content_id("clm", source, start, end, F.lower(F.trim(F.regexp_replace(statement, r"\s+", " "))))
+
+
+def titled_id(prefix: str, field: Column, title: Column) -> Column:
+    """Ids of concepts (cpt), cards (kc) and entities (ent): a domain or type, and the title's slug; a concept and its card share it."""
+    return F.concat_ws("_", F.lit(prefix), field, slugify(title))
+
+
+def parameter_id(card_slug: Column, name: Column) -> Column:
+    return F.concat(F.lit("prm_"), card_slug, F.lit("_"), slugify(name))
+
+
+def relation_id(subject: Column, predicate: Column, object_: Column, qualifier: Column | None = None) -> Column:
+    return content_id("rel", subject, predicate, object_, F.lit("") if qualifier is None else F.coalesce(qualifier, F.lit("")))
+
+
+def contradiction_id(concept: Column, a: Column, b: Column) -> Column:
+    """The same for both orders of the two positions, and for any case and outer spaces."""
+    a, b = F.lower(F.trim(a)), F.lower(F.trim(b))
+    return content_id("ctr", concept, F.least(a, b), F.greatest(a, b))
+
+
+def deep_link(url: Column, seconds: Column) -> Column:
+    """The url at a time in whole seconds; the url itself without a time."""
+    mark = F.when(F.contains(url, F.lit("?")), "&t=").otherwise("?t=")
+    return F.when(seconds.isNull(), url).otherwise(F.concat(url, mark, F.floor(seconds).cast("string"), F.lit("s")))
+
+
+@F.pandas_udf(T.StringType())
+def composed(text: pd.Series) -> pd.Series:
+    """Letters and their marks as one character where there is one (NFC)."""
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))

@@ -115,6 +115,25 @@ def merge_groups(pairs: DataFrame, concepts: DataFrame, scratch: Scratch) -> Dat
     return parts.join(concepts, "id").select("id", best.alias("canonical_id"))
 
 
+def apply_merges(groups: DataFrame, concepts: DataFrame, claims: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What merges do, for ``groups(id, canonical_id)``: concepts, claims and relations after them.
+
+    Concepts ``(id, title, aliases)`` get ``merged_into`` (null for who stays) and, where they stay, the titles and aliases of all that
+    went into them; none is deleted. Claims ``(claim_id, concept_id)`` move, none is lost. Relations ``(subject_id, predicate,
+    object_id, confidence)`` move at both ends; loops that this makes go, and parallel edges become one with the largest confidence.
+    """
+    to = groups.where("id <> canonical_id")
+    moved = lambda d, c: d.join(to.select(F.col("id").alias(c), F.col("canonical_id").alias("__to")), c, "left").withColumn(c, F.coalesce("__to", c)).drop("__to")
+    gone = concepts.join(to, "id").select(F.col("canonical_id").alias("id"), F.explode(F.concat(F.array("title"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("alias"))
+    gained = gone.distinct().groupBy("id").agg(F.collect_list("alias").alias("__gained"))
+    every = F.array_distinct(F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.coalesce("__gained", F.array().cast("array<string>"))))
+    after = concepts.join(to.withColumnRenamed("canonical_id", "merged_into"), "id", "left").join(gained, "id", "left")
+    after = after.withColumn("aliases", F.array_sort(F.array_remove(every, F.col("title")))).drop("__gained")
+    edges = moved(moved(relations, "subject_id"), "object_id").where("subject_id <> object_id")
+    edges = edges.groupBy("subject_id", "predicate", "object_id").agg(F.max("confidence").alias("confidence"), F.count("*").alias("merged"))
+    return after, moved(claims, "concept_id"), edges
+
+
 def resolve_tombstones(concepts: DataFrame, scratch: Scratch, id_col: str = "id", into: str = "merged_into") -> DataFrame:
     """Rows ``(id, final_id)``: every chain of merges followed to its end by pointer jumping, so in as many rounds as the logarithm of the longest chain.
 

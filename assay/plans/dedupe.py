@@ -120,6 +120,30 @@ def merge_groups(spark, sf_dir):
     return dd.merge_groups(pairs, concepts, Scratch(spark, "merge"))
 
 
+_GROUPS_SQL = ORACLE_SQL["merge_groups"].replace("WITH RECURSIVE e AS", "WITH RECURSIVE e0 AS", 1).replace("FROM e UNION SELECT b_id", "FROM e0 UNION SELECT b_id").replace("a_id FROM e)", "a_id FROM e0)")
+
+
+@query(
+    f"""WITH gr AS ({_GROUPS_SQL}), c AS (SELECT p.p_partkey AS id, p_name || ' ' || p_brand AS title, ['n' || (p_partkey % 5)] AS aliases, CASE WHEN gr.canonical_id <> gr.id THEN gr.canonical_id END AS merged_into FROM part p LEFT JOIN gr ON gr.id = p.p_partkey),
+    x AS (SELECT merged_into AS id, unnest(list_concat([title], aliases)) AS alias FROM c WHERE merged_into IS NOT NULL UNION SELECT id, unnest(aliases) FROM c), al AS (SELECT x.id, list_sort(list(DISTINCT alias) FILTER (alias <> title)) AS aliases FROM x JOIN c USING (id) GROUP BY x.id),
+    k AS (SELECT coalesce(c.merged_into, c.id) AS id, count(*) AS claims FROM lineitem JOIN c ON l_partkey = c.id GROUP BY 1),
+    e AS (SELECT coalesce(a.merged_into, a.id) AS s, coalesce(b.merged_into, b.id) AS o, p.p_size / 100e0 AS confidence FROM part p JOIN c a ON a.id = p.p_partkey JOIN c b ON b.id = p.p_partkey // 8), r AS (SELECT s AS id, count(DISTINCT o) AS relations, max(confidence) AS surest FROM e WHERE s <> o GROUP BY s)
+    SELECT c.id, c.merged_into, coalesce(array_to_string(al.aliases, '|'), '') AS aliases, coalesce(k.claims, 0) AS claims, coalesce(r.relations, 0) AS relations, r.surest FROM c LEFT JOIN al USING (id) LEFT JOIN k USING (id) LEFT JOIN r USING (id)"""
+)
+def merge_application(spark, sf_dir):
+    """Every concept after the merges: where it went, its aliases, and how many claims and relations it has now."""
+    part = table(spark, sf_dir, "part")
+    groups = merge_groups(spark, sf_dir)
+    concepts = part.selectExpr("p_partkey AS id", "concat(p_name, ' ', p_brand) AS title", "array(concat('n', p_partkey % 5)) AS aliases")
+    claims = table(spark, sf_dir, "lineitem").selectExpr("concat(l_orderkey, '-', l_linenumber) AS claim_id", "l_partkey AS concept_id")
+    relations = part.selectExpr("p_partkey AS subject_id", "'causes' AS predicate", "p_partkey div 8 AS object_id", "p_size / 100e0 AS confidence")
+    after, moved, edges = dd.apply_merges(groups, concepts, claims, relations)
+    k = moved.groupBy(F.col("concept_id").alias("id")).agg(F.count("*").alias("claims"))
+    r = edges.groupBy(F.col("subject_id").alias("id")).agg(F.count("*").alias("relations"), F.max("confidence").alias("surest"))
+    d = after.join(k, "id", "left").join(r, "id", "left")
+    return d.select("id", "merged_into", F.array_join("aliases", "|").alias("aliases"), F.coalesce("claims", F.lit(0)).alias("claims"), F.coalesce("relations", F.lit(0)).alias("relations"), "surest")
+
+
 @query(
     """WITH RECURSIVE m AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 AND p_partkey > 0 THEN p_partkey // 2 END AS into_id FROM part),
     r AS (SELECT id, id AS place FROM m UNION ALL SELECT r.id, m.into_id FROM r JOIN m ON r.place = m.id WHERE m.into_id IS NOT NULL)

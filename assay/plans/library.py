@@ -388,3 +388,29 @@ def extraction_stats(spark, sf_dir):
     one = lambda when, code, severity: F.when(when, F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.lit("").alias("detail")))
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("source_id"), F.array_compact(F.array(one(F.col("n_chars") < 300, "quote_too_short", "discard"), one(F.col("lang") != "en", "scope_invalid", "flag"))).alias("findings"))
     return stats(d).select("source_id", "code", "severity", "n")
+
+
+_SLUG = lambda t: f"substr(array_to_string(list_filter(string_split_regex(lower({t}), '[^a-z0-9]+'), lambda w: w NOT IN ('', 'of', 'the', 'and', 'a')), '-'), 1, 60)"
+_SHA = lambda p, *xs: f"'{p}_' || substr(sha256({' || chr(31) || '.join(xs)}), 1, 12)"
+
+
+@query(
+    f"""WITH p AS (SELECT *, p_name || ' of the ' || p_brand AS title, CAST(p_partkey AS VARCHAR) AS k, left(p_type, 3) AS domain FROM part), s AS (SELECT *, 'src_you-tube_202401_' || substr(sha256(title), 1, 8) AS source_id FROM p)
+    SELECT p_partkey, source_id, 'chk_' || substr(sha256(title), 1, 8) || '_' || lpad(CAST(p_size AS VARCHAR), 5, '0') AS chunk_id, {_SHA("clm", "source_id", "k", "CAST(p_size AS VARCHAR)", "lower(title)")} AS claim_id,
+      'cpt_' || domain || '_' || {_SLUG("title")} AS concept_id, 'kc_' || domain || '_' || {_SLUG("title")} AS card_id, 'ent_chem_' || {_SLUG("p_name")} AS entity_id, {_SHA("rel", "k", "'causes'", "domain", "''")} AS relation_id,
+      {_SHA("ctr", "k", "least(lower(p_name), lower(p_brand))", "greatest(lower(p_name), lower(p_brand))")} AS contradiction_id, 'prm_' || {_SLUG("title")} || '_optimal-rh' AS parameter_id,
+      'https://v.example/w' || CASE WHEN p_size % 2 = 0 THEN '?v=' || k || '&t=' ELSE '?t=' END || p_size || 's' AS link FROM s"""
+)
+def typed_ids(spark, sf_dir):
+    """Ids of every shape, and links into a source at a time."""
+    from assay.functions import columns as fc
+
+    d = table(spark, sf_dir, "part").withColumns({"title": F.concat("p_name", F.lit(" of the "), "p_brand"), "domain": F.substring("p_type", 1, 3)})
+    d = d.withColumn("source_id", fc.source_id(F.lit("You Tube"), F.lit("202401"), fc.content_hash(F.col("title"))))
+    url = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("https://v.example/w?v="), F.col("p_partkey").cast("string"))).otherwise(F.lit("https://v.example/w"))
+    return d.select(
+        "p_partkey", "source_id", fc.chunk_id(F.col("source_id"), F.col("p_size")).alias("chunk_id"), fc.claim_id(F.col("source_id"), F.col("p_partkey"), F.col("p_size"), F.concat(F.lit("  "), F.upper("title"))).alias("claim_id"),
+        fc.titled_id("cpt", F.col("domain"), F.col("title")).alias("concept_id"), fc.titled_id("kc", F.col("domain"), F.col("title")).alias("card_id"), fc.titled_id("ent", F.lit("chem"), F.col("p_name")).alias("entity_id"),
+        fc.relation_id(F.col("p_partkey"), F.lit("causes"), F.col("domain")).alias("relation_id"), fc.contradiction_id(F.col("p_partkey"), F.col("p_brand"), F.concat("p_name", F.lit(" "))).alias("contradiction_id"),
+        fc.parameter_id(fc.slugify(F.col("title")), F.lit("Optimal RH")).alias("parameter_id"), fc.deep_link(url, F.col("p_size") + 0.7).alias("link"),
+    )
