@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from assay import vocab
 from assay.operators.components import connected_components
 from assay.operators.evidence import lookup, step, tier_weight
+from assay.operators.retrieve import nearest
 from assay.scratch import Scratch
 
 
@@ -98,6 +99,40 @@ def union_pairs(*generators: DataFrame) -> DataFrame:
     return every.groupBy("a_id", "b_id").agg(F.array_sort(F.collect_set("generator")).alias("generators"))
 
 
+def best_pairs(pairs: DataFrame, k: int) -> DataFrame:
+    """Of pairs ``(a_id, b_id, generator, score)`` those among the ``k`` best of either end; ties go to the smaller other id."""
+    ends = pairs.select("*", F.explode(F.array(F.struct(F.col("a_id").alias("end"), F.col("b_id").alias("other")), F.struct(F.col("b_id").alias("end"), F.col("a_id").alias("other")))).alias("e"))
+    place = F.row_number().over(Window.partitionBy("e.end").orderBy(F.desc("score"), "e.other"))
+    return ends.withColumn("place", place).where(F.col("place") <= k).select("a_id", "b_id", "generator").distinct()
+
+
+def candidate_pairs(concepts: DataFrame, scratch: Scratch, *, cosine: float = 0.75, near: int = 20, trigram: float = 0.5, alike: int = 10, siblings: int = 30, rare: int = 50, shared: int = 2, entities: int = 15) -> DataFrame:
+    """Pairs ``(a_id, b_id, generators)`` of concepts ``(id, title, aliases, vector, domain, path, entities)`` that any of six generators finds.
+
+    Equal normal titles; a common name among titles and aliases; the ``near`` nearest vectors of ``cosine`` and more; the ``alike``
+    titles whose trigrams overlap most; ``siblings`` of one leaf and parent (the smallest ids); and the concepts
+    with most common entities, two and more, that at most ``rare`` concepts have. Limits hold for either end of a pair.
+    """
+    none = F.array().cast("array<string>")
+    names = F.transform(F.concat(F.array("title"), F.coalesce("aliases", none)), lambda x: F.lower(F.trim(x)))
+    title = block_pairs(concepts, F.array(normal_title(F.col("title"))), "title")
+    alias = block_pairs(concepts, names, "alias")
+    v = concepts.select("id", "vector")
+    found = nearest(v.withColumnRenamed("id", "query"), v, near + 1, cosine).where("query <> id")
+    ann = found.select(F.least("query", "id").alias("a_id"), F.greatest("query", "id").alias("b_id"), F.lit("vector").alias("generator")).distinct()
+    close = similar_sets(concepts.select("id", trigrams(F.col("title")).alias("items")), scratch, trigram)
+    lexical = best_pairs(close.select("a_id", "b_id", F.lit("trigram").alias("generator"), F.col("overlap").alias("score")), alike)
+    place = F.array(F.concat_ws("|", "domain", F.get("path", F.size("path") - 2), F.element_at("path", -1)))
+    taxonomy = best_pairs(block_pairs(concepts.where(F.size("path") > 1), place, "taxonomy").withColumn("score", F.lit(0)), siblings)
+    one = concepts.select("id", F.explode(F.array_distinct("entities")).alias("key"))
+    few = one.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n").between(2, rare)).select("key")
+    held = one.join(few, "key")
+    x, y = held.alias("x"), held.alias("y")
+    both = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))).groupBy(F.col("x.id").alias("a_id"), F.col("y.id").alias("b_id")).agg(F.count("*").alias("score"))
+    pinned = best_pairs(both.where(F.col("score") >= shared).select("a_id", "b_id", F.lit("entities").alias("generator"), "score"), entities)
+    return union_pairs(title, alias, ann, lexical, taxonomy, pinned)
+
+
 def apply_decisions(pairs: DataFrame, decisions: DataFrame) -> DataFrame:
     """Pairs that people kept apart go, pairs that they merged come; ``decisions(a_id, b_id, decision, active)``."""
     d = decisions.where("active").select(F.least("a_id", "b_id").alias("a_id"), F.greatest("a_id", "b_id").alias("b_id"), "decision").distinct()

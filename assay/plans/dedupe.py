@@ -254,3 +254,27 @@ def echo_groups(spark, sf_dir):
     """The group of equal texts that each document belongs to, and whether several sources have it."""
     members, classes, _ = _echo(spark, sf_dir)
     return members.join(classes.select(F.col("id").alias("class_id"), (F.col("lo") != F.col("hi")).alias("echoed")), "class_id").select("id", "class_id", "echoed")
+
+
+_BEST = lambda p, k: f"SELECT DISTINCT least(e, o) AS a_id, greatest(e, o) AS b_id FROM (SELECT e, o, row_number() OVER (PARTITION BY e ORDER BY score DESC, o) AS place FROM (SELECT a_id AS e, b_id AS o, score FROM {p} UNION ALL SELECT b_id, a_id, score FROM {p})) WHERE place <= {k}"
+
+
+@query(
+    f"""WITH c AS (SELECT vec_id AS id, 'topic ' || (vec_id % 23) || ' of kind ' || (vec_id % 7) AS title, 'known ' || (vec_id % 61) AS alias, label AS domain, vec_id % 3 AS parent, vec_id % 11 AS leaf, CAST(embedding AS DOUBLE[]) AS v,
+      list_distinct(['e' || (vec_id % 29), 'e' || (vec_id % 31), 'e' || (vec_id % 2)]) AS ents,
+      list_distinct(flatten(list_transform(string_split('topic ' || (vec_id % 23) || ' of kind ' || (vec_id % 7), ' '), lambda w: list_transform(range(1, length(w) + 2), lambda k: substr('  ' || w || ' ', k, 3))))) AS g FROM embeddings),
+    title AS (SELECT a.id AS a_id, b.id AS b_id FROM c a JOIN c b ON a.id < b.id AND list_sort(string_split(replace(a.title, ' of ', ' '), ' ')) = list_sort(string_split(replace(b.title, ' of ', ' '), ' '))), alias AS (SELECT a.id AS a_id, b.id AS b_id FROM c a JOIN c b ON a.id < b.id AND (a.alias = b.alias OR a.title = b.title)),
+    n AS (SELECT a.id AS a, b.id AS b, row_number() OVER (PARTITION BY a.id ORDER BY round(list_cosine_similarity(a.v, b.v), 12) DESC, b.id) AS place, list_cosine_similarity(a.v, b.v) AS s FROM c a, c b),
+    near AS (SELECT DISTINCT least(a, b) AS a_id, greatest(a, b) AS b_id FROM n WHERE a <> b AND place <= 21 AND s >= 0.75), t AS (SELECT a.id AS a_id, b.id AS b_id, len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) AS score FROM c a JOIN c b ON a.id < b.id),
+    t2 AS (SELECT * FROM t WHERE score >= 0.5), tri AS ({_BEST("t2", 10)}), x AS (SELECT a.id AS a_id, b.id AS b_id, 0 AS score FROM c a JOIN c b ON a.id < b.id AND a.domain = b.domain AND a.parent = b.parent AND a.leaf = b.leaf), tax AS ({_BEST("x", 30)}),
+    k AS (SELECT id, unnest(ents) AS e FROM c), f AS (SELECT e FROM k GROUP BY e HAVING count(*) BETWEEN 2 AND 100), r AS (SELECT a.id AS a_id, b.id AS b_id, count(*) AS score FROM k a JOIN k b ON a.e = b.e AND a.id < b.id JOIN f ON f.e = a.e GROUP BY 1, 2 HAVING count(*) >= 2), ent AS ({_BEST("r", 15)}),
+    u AS (SELECT *, 'title' AS g FROM title UNION ALL SELECT *, 'alias' FROM alias UNION ALL SELECT *, 'vector' FROM near UNION ALL SELECT *, 'trigram' FROM tri UNION ALL SELECT *, 'taxonomy' FROM tax UNION ALL SELECT *, 'entities' FROM ent)
+    SELECT a_id, b_id, array_to_string(list_sort(list(DISTINCT g)), ',') AS generators FROM u GROUP BY a_id, b_id"""
+)
+def blocking_cascade(spark, sf_dir):
+    """All six generators over concepts drawn from the vectors."""
+    e = table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id AS id", "concat('topic ', vec_id % 23, ' of kind ', vec_id % 7) AS title", "array(concat('known ', vec_id % 61)) AS aliases", "embedding AS vector", "CAST(label AS STRING) AS domain",
+        "array('top', CAST(vec_id % 3 AS STRING), CAST(vec_id % 11 AS STRING)) AS path", "array(concat('e', vec_id % 29), concat('e', vec_id % 31), concat('e', vec_id % 2)) AS entities",
+    )
+    return dd.candidate_pairs(e, Scratch(spark, "cascade"), rare=100).select("a_id", "b_id", F.array_join("generators", ",").alias("generators"))
