@@ -216,11 +216,13 @@ def echo_classes(texts: DataFrame, scratch: Scratch, *, width: int = 3) -> tuple
     A class has the smallest id of its members, and the first and last of their creators. Texts of fewer than ``width`` words
     are in none.
     """
-    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
-    n = F.size("words") - (width - 1)
-    grams = F.when(n > 0, F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.xxhash64(F.array_join(F.slice("words", k, width), " "))))))
-    d = texts.withColumn("words", words).select("id", "creator", grams.alias("grams")).where("grams is not null")
-    d = scratch.save(d.withColumns({"n": F.size("grams"), "c1": F.xxhash64("grams"), "c2": F.xxhash64(F.lit(1), "grams")}), "grams")
+    words = F.transform(F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+    # a word's hash with those of the words after it; the lambda holds the words, so that they are split once
+    shingle = lambda w: lambda h, k: F.xxhash64(h, *[F.get(w, k + j) for j in range(1, width)])
+    grams = lambda w: F.slice(F.transform(w, shingle(w)), F.lit(1), F.greatest(F.size(w) - (width - 1), F.lit(0)))
+    d = texts.where("text is not null").select("id", "creator", F.transform(F.array(words), grams)[0].alias("grams"))
+    d = scratch.save(d.withColumn("grams", F.array_sort(F.array_distinct("grams"))), "grams").where(F.size("grams") > 0)
+    d = d.withColumns({"n": F.size("grams"), "c1": F.xxhash64("grams"), "c2": F.xxhash64(F.lit(1), "grams")})
     classes = d.groupBy("c1", "c2", "n").agg(F.min("id").alias("class_id"), F.min("creator").alias("lo"), F.max("creator").alias("hi"))
     classes = scratch.save(classes, "classes")
     members = d.select("id", "creator", "c1", "c2", "n").join(classes.select("c1", "c2", "n", "class_id"), ["c1", "c2", "n"]).select("id", "creator", "class_id")
