@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import bitpack, langid, media, minhash, mixing, packing, quality, secrets, urlrules, vectors
+from assay.llm import bitpack, langid, media, minhash, mixing, neighbours, packing, phrases, quality, runs, secrets, urlrules, vectors
 from assay.scratch import Scratch
 
 
@@ -72,6 +72,19 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_url_filters, op4_embedding_near_dedup, op5_media_columns, op6_token_output, op7_secret_scans, op8_quality_classifier, op9_minhash_near_dedup, op10_source_mixing)}
+def op11_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filters": urlrules.RULES_SQL, "op10_source_mixing": mixing.MIX_SQL}
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.periodic_runs(runs.plant_repeats(_table(spark, sf_dir, "documents"))))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_url_filters, op4_embedding_near_dedup, op5_media_columns, op6_token_output, op7_secret_scans, op8_quality_classifier, op9_minhash_near_dedup, op10_source_mixing, op11_approximate_neighbours, op12_periodic_runs, op13_phrase_collocations)}
+
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": urlrules.RULES_SQL, "op10_source_mixing": mixing.MIX_SQL, "op12_periodic_runs": runs.RUNS_SQL, "op13_phrase_collocations": phrases.PHRASES_SQL}

@@ -30,30 +30,36 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([[U64(1)], np.full(max(0, n - 1), U64(_BASE), U64)]).astype(U64), dtype=U64)
 
 
-def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word (runs of bytes other than ASCII white space, A-Z lower-cased) and its text's number."""
-    parts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-    buf = b" ".join(parts).translate(_LOWER_BYTES)
-    arr = np.frombuffer(buf, np.uint8)
+def spans(parts: list[bytes], table: bytes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words (runs of bytes other than ASCII white space) of ``parts``, which are translated by ``table`` and laid end to end.
+
+    Returns the bytes, each word's first byte, the byte behind its last, its hash, and its part's number.
+    """
+    buf = b" ".join(parts)
+    arr = np.frombuffer(buf.translate(table) if table else buf, np.uint8)
     space = _SPACE[arr]
     inside = ~space
     if not inside.any():
-        return np.empty(0, U64), np.empty(0, np.int64)
+        return arr, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U64), np.empty(0, np.int64)
     first = inside.copy()
     first[1:] &= space[:-1]
     starts = np.flatnonzero(first)
     ends = np.flatnonzero(inside & np.append(space[1:], True)) + 1
-    place = np.arange(len(arr)) - np.repeat(starts, np.diff(np.append(starts, len(arr)))) if starts[0] == 0 else None
-    if place is None:
-        place = np.zeros(len(arr), np.int64)
-        place[starts[0] :] = np.arange(starts[0], len(arr)) - np.repeat(starts, np.diff(np.append(starts, len(arr))))
+    place = np.zeros(len(arr), np.int64)
+    place[starts[0] :] = np.arange(starts[0], len(arr)) - np.repeat(starts, np.diff(np.append(starts, len(arr))))
     length = ends - starts
     powers = _powers(int(length.max()) + 1)
     place[space] = 0
     hashed = np.add.reduceat(_BYTE[arr] * powers[place], starts)
     begin = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
     owner = np.searchsorted(begin, starts, "right") - 1
-    return mix(hashed ^ (length.astype(U64) * U64(0xD6E8FEB86659FD93))), owner
+    return arr, starts, ends, mix(hashed ^ (length.astype(U64) * U64(0xD6E8FEB86659FD93))), owner
+
+
+def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word (runs of bytes other than ASCII white space, A-Z lower-cased) and its text's number."""
+    *_, hashed, owner = spans([b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts], _LOWER_BYTES)
+    return hashed, owner
 
 
 def shingles(texts: list[str | None], width: int) -> list[np.ndarray]:
