@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assay.llm.textkit import U64, mix, slices, spans
@@ -15,6 +16,7 @@ from assay.scratch import Scratch
 
 _MOST = 4  # words of a phrase
 _NEXT = U64(0x9E3779B97F4A7C15)
+_CLEAR = ~U64(_MOST - 1)  # the last two bits of a key hold its number of words, less one
 #: Lower-cases A-Z, makes every break between pieces a line feed and every gap between words a space.
 _TABLE = bytearray(range(256))
 _TABLE[65:91] = bytes(range(97, 123))
@@ -22,10 +24,10 @@ for _c in b".,;:!?\x0a\x0b\x0c\x0d":
     _TABLE[_c] = 10
 _TABLE[9] = 32
 _TABLE = bytes(_TABLE)
-_SLICE, _ROWS = 6_000_000, 200_000
+_SLICE, _ROWS = 1_500_000, 200_000
 #: The longest bit table that tasks get to know phrases by, in bits: 32 MB, whatever the corpus.
 _MOST_BITS = 1 << 28
-_COUNTS = "lang string, phrase string, a long"
+_COUNTS, _KEYED = "lang string, phrase string, a long", "key long, a long"
 
 
 @lru_cache(maxsize=4096)
@@ -52,7 +54,7 @@ class _Grams:
         self.arr, self.langs = arr, langs
         seeds = np.array([_seed(x) for x in langs], U64)
         n = len(h)
-        key = mix(h + seeds[self.owner]) if n else h
+        key = mix(h + seeds[self.owner]) & _CLEAR if n else h
         apart = np.ones(n, bool)
         if n:
             line = np.cumsum(arr == 10, dtype=np.int32)
@@ -60,17 +62,14 @@ class _Grams:
         self.keys, self.whole = [key], [np.ones(n, bool)]
         for m in range(1, _MOST):
             k, w = self.keys[-1], self.whole[-1]
-            self.keys.append(mix(k[:-1] * _NEXT + key[m:][: max(0, len(k) - 1)]))
+            self.keys.append(mix(k[:-1] * _NEXT + key[m:][: max(0, len(k) - 1)]) & _CLEAR | U64(m))
             self.whole.append(w[:-1] & ~apart[m - 1 : -1][: max(0, len(w) - 1)])
 
-    def counted(self, m: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the phrases of ``m`` words at the chosen places: the distinct keys, a place of each, and how often it stands there."""
-        places = np.flatnonzero(chosen)
-        keys = self.keys[m - 1][places]
-        order = np.argsort(keys)
-        keys = keys[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
-        return keys[first], places[order[first]], np.diff(np.append(first, len(keys)))
+    def counts(self, m: int, chosen: np.ndarray) -> pa.RecordBatch:
+        """The distinct keys of the phrases of ``m`` words at the chosen places, and how often each stands there."""
+        keys = np.sort(self.keys[m - 1][chosen])
+        first = _firsts(keys)
+        return pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(np.diff(np.append(first, len(keys))))], ["key", "a"])
 
     def phrases(self, m: int, places: np.ndarray) -> pa.Array:
         """The words of each phrase, joined by one space."""
@@ -85,72 +84,64 @@ class _Grams:
         data = self.text[np.repeat(a - at[:-1], b - a) + np.arange(at[-1])]
         return pa.StringArray.from_buffers(len(places), pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes()))
 
-    def emit(self, m: int, chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
-        _, places, count = self.counted(m, chosen)
+    def spelled(self, m: int, chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The same with the phrases themselves and their languages."""
+        places = np.flatnonzero(chosen)
+        keys = self.keys[m - 1][places]
+        order = np.argsort(keys)
+        first = _firsts(keys[order])
+        places, count = places[order[first]], np.diff(np.append(first, len(keys)))
         langs = pa.array(self.langs, pa.string())
         for lo in range(0, len(places), _ROWS):
             here = places[lo : lo + _ROWS]
             yield pa.RecordBatch.from_arrays([langs.take(pa.array(self.owner[here])), self.phrases(m, here), pa.array(count[lo : lo + _ROWS])], ["lang", "phrase", "a"])
 
 
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each value of a sorted array begins."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+
+
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[_Grams]:
     for batch in batches:
-        texts, langs = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], batch.column(0).to_pylist()
-        for lo, hi in slices([len(t) for t in texts], _SLICE):
-            yield _Grams(texts[lo:hi], langs[lo:hi])
+        langs, texts = batch.column(0), batch.column(1).cast(pa.binary())
+        for lo, hi in slices(pc.binary_length(texts).to_pylist(), _SLICE):
+            yield _Grams(texts[lo:hi].to_pylist(), langs[lo:hi].to_pylist())
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for g in _grams(batches):
         for m in range(1, _MOST):
-            keys, _, count = g.counted(m, g.whole[m - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(count)], ["key", "a"])
+            yield g.counts(m, g.whole[m - 1])
 
 
 def _full_counts(batches: Iterator[pa.RecordBatch], proposed: Bits) -> Iterator[pa.RecordBatch]:
-    """All words, and every longer phrase whose two parts of one word less are proposed: those proposed and the negative border.
-
-    A row with an empty phrase counts the words of a language.
-    """
+    """All words, and every longer phrase whose two parts of one word less are proposed: those proposed and the negative border."""
     for g in _grams(batches):
-        langs, number = np.unique(np.array(g.langs, object), return_inverse=True)
-        total = np.bincount(number[g.owner], minlength=len(langs))
-        yield pa.RecordBatch.from_arrays([pa.array(langs.tolist(), pa.string()), pa.array([""] * len(langs)), pa.array(total, pa.int64())], ["lang", "phrase", "a"])
         known = None
         for m in range(1, _MOST + 1):
-            chosen = g.whole[m - 1] if m == 1 else g.whole[m - 1] & known[:-1] & known[1:]
-            yield from g.emit(m, chosen)
+            yield g.counts(m, g.whole[m - 1] if m == 1 else g.whole[m - 1] & known[:-1] & known[1:])
             if m < _MOST:
                 known = proposed.has(g.keys[m - 1]) & g.whole[m - 1]
 
 
-def _open_counts(batches: Iterator[pa.RecordBatch], proposed: Bits, frequent: Bits) -> Iterator[pa.RecordBatch]:
-    """The phrases that no pass has counted yet and that may be frequent by all that is known of their parts."""
+def _spelled_counts(batches: Iterator[pa.RecordBatch], proposed: Bits, frequent: Bits, closed: bool) -> Iterator[pa.RecordBatch]:
+    """The phrases that were counted and found frequent; unless all are, also those that no pass has counted and that may be frequent by all that is known of their parts.
+
+    A row with an empty phrase counts the words of a language.
+    """
     for g in _grams(batches):
-        known, alive = proposed.has(g.keys[0]), frequent.has(g.keys[0])
-        for m in range(2, _MOST + 1):
+        langs, number = np.unique(np.array(g.langs, object), return_inverse=True)
+        total = np.bincount(number[g.owner], minlength=len(langs))
+        yield pa.RecordBatch.from_arrays([pa.array(langs.tolist(), pa.string()), pa.array([""] * len(langs)), pa.array(total, pa.int64())], ["lang", "phrase", "a"])
+        alive = known = None
+        for m in range(1, _MOST + 1):
             whole = g.whole[m - 1]
-            counted = known[:-1] & known[1:]
-            possible = whole & alive[:-1] & alive[1:]
-            yield from g.emit(m, possible & ~counted)
-            if m < _MOST:
-                alive = possible & (~counted | frequent.has(g.keys[m - 1]))
-                known = whole & proposed.has(g.keys[m - 1])
-
-
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds to rows (lang, phrase, ...) the number of words of the phrase and its key."""
-    for batch in batches:
-        texts, langs = batch.column(1).cast(pa.binary()).to_pylist(), batch.column(0).to_pylist()
-        words, key = np.zeros(len(texts), np.int32), np.zeros(len(texts), U64)
-        if texts:
-            g = _Grams(texts, langs)
-            words = np.bincount(g.owner, minlength=len(texts)).astype(np.int32)
-            first = np.cumsum(np.append(0, words[:-1]))
-            for m in range(1, _MOST + 1):
-                at = words == m
-                key[at] = g.keys[m - 1][first[at]]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(words), pa.array(key.view(np.int64))], [*batch.schema.names, "m", "key"])
+            possible = whole if m == 1 else whole & alive[:-1] & alive[1:]
+            counted = whole if m == 1 or closed else known[:-1] & known[1:]
+            alive = possible & (~counted | frequent.has(g.keys[m - 1]))
+            known = whole & proposed.has(g.keys[m - 1])
+            yield from g.spelled(m, alive)
 
 
 def _bits(keys: DataFrame) -> Bits:
@@ -180,36 +171,34 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
 
     About one document in ``sample``, drawn by a hash, proposes the phrases that stand in them as often as ``least`` asks of the sample (twice at
     the fewest). A full pass counts all words, the proposals and their negative border: longer phrases both of whose parts of one
-    word less are proposed. Where a counted phrase is frequent without having been proposed, its extensions weren't all counted; then a further
-    pass counts every phrase still open, of all lengths at once, so that none is left. Counts are exact for any sample.
-    Tasks know phrases by bit tables of 32 MB at most; counts travel with the words themselves, summed before and after the shuffle.
+    word less are proposed. It counts by 64-bit keys, summed before and after the shuffle. A last pass spells the phrases found frequent
+    and counts them by their words. Where one of them hadn't been proposed, its extensions weren't all counted; then this pass also
+    counts every phrase still open, of all lengths at once, so that none is left. Counts are exact for any sample.
+    Tasks know phrases by bit tables of 32 MB at most.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "phrases")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text")).where("text != ''")
-    drawn = rows.where(F.pmod(F.xxhash64("lang", "text"), F.lit(sample)) == 0).mapInArrow(_sample_counts, "key long, a long")
+    drawn = rows.where(F.pmod(F.xxhash64("lang", "text"), F.lit(sample)) == 0).mapInArrow(_sample_counts, _KEYED)
     drawn = drawn.groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= max(2, least // sample)).select("key")
     drawn = scratch.save(drawn, "proposed")
     proposed = _bits(drawn)
 
-    def summed(counts: DataFrame) -> DataFrame:
-        total = counts.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where((F.col("a") >= least) | (F.col("phrase") == ""))
-        return total.mapInArrow(_keys, f"{_COUNTS}, m int, key long")
-
-    full = scratch.save(summed(rows.mapInArrow(lambda it: _full_counts(it, proposed), _COUNTS)), "counted")
-    words = full.where("phrase = ''").select("lang", F.col("a").alias("n"))
-    found = full.where("phrase != ''")
+    full = rows.mapInArrow(lambda it: _full_counts(it, proposed), _KEYED).groupBy("key").agg(F.sum("a").alias("a"))
+    full = scratch.save(full.where(F.col("a") >= least).select("key"), "counted")
+    frequent = _bits(full)
 
     def unproposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(~proposed.has(batch.column(0).to_numpy().view(U64))))
-
-    failures = found.where(F.col("m") < _MOST).select("key").mapInArrow(unproposed, "key long")
-    if not failures.isEmpty():
-        frequent = _bits(found.where(F.col("m") < _MOST).select("key"))
-        more = scratch.save(summed(rows.mapInArrow(lambda it: _open_counts(it, proposed, frequent), _COUNTS)), "opened")
-        found = found.unionByName(more)
-    return found.select("lang", "phrase", "a", "m"), words
+            keys = batch.column(0).to_numpy().view(U64)
+            yield batch.filter(pa.array(~proposed.has(keys) & (keys & U64(_MOST - 1) < U64(_MOST - 1))))
+
+    closed = full.mapInArrow(unproposed, "key long").isEmpty()
+    spelled = rows.mapInArrow(lambda it: _spelled_counts(it, proposed, frequent, closed), _COUNTS).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+    spelled = scratch.save(spelled.where((F.col("a") >= least) | (F.col("phrase") == "")), "spelled")
+    scratch.drop(drawn, full)
+    found = spelled.where("phrase != ''").withColumn("m", F.size(F.split("phrase", " ")))
+    return found, spelled.where("phrase = ''").select("lang", F.col("a").alias("n"))
 
 
 def _inner(size: int) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from assay.llm.textkit import U64, mix, slices, spans
@@ -161,9 +162,9 @@ def find_runs(texts: list[bytes], least: int = 6, times: int = 4) -> tuple[list[
 def _rows(batches: Iterator[pa.RecordBatch], least: int, times: int) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
     for batch in batches:
-        texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-        for lo, hi in slices([len(t) for t in texts], 4_000_000):
-            runs, n, kept = find_runs(texts[lo:hi], least, times)
+        texts = batch.column(1).cast(pa.binary())
+        for lo, hi in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 2_000_000):
+            runs, n, kept = find_runs([t or b"" for t in texts[lo:hi].to_pylist()], least, times)
             found = pa.array([[{"start": s, "length": k, "period": q} for s, k, q in r] for r in runs], kind)
             yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(n, pa.int64()), found, pa.array(kept, pa.binary()).cast(pa.string())], ["id", "n_words", "runs", "collapsed"])
 
