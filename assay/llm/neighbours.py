@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from assay.llm.vectors import norms, scaled
 from assay.scratch import Scratch
 
 #: Lengths of vectors, the commonest first, that get learned partitions; others are searched whole.
@@ -24,17 +25,8 @@ _EPS = 1e-9
 _FOUND = "query_id long, id long, score double"
 
 
-def _scaled(x: np.ndarray) -> np.ndarray:
-    """Rows divided by the power of two next to their largest component: cosines stay as they are, squares neither overflow nor vanish."""
-    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
-
-
-def _norms(x: np.ndarray) -> np.ndarray:
-    return np.sqrt((x * x).sum(axis=1))
-
-
 def _rows(column: pa.Array, dim: int) -> np.ndarray:
-    return _scaled(np.array(column.flatten(), float).reshape(len(column), dim))
+    return scaled(np.array(column.flatten(), float).reshape(len(column), dim))
 
 
 def graph(x: np.ndarray, at: np.ndarray, k: int = _NEIGHBOURS) -> np.ndarray:
@@ -136,7 +128,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def _order(router: Router, x: np.ndarray) -> np.ndarray:
-    return np.argsort(-router.scores(x / _norms(x)[:, None]), axis=1, kind="stable")
+    return np.argsort(-router.scores(x / norms(x)[:, None]), axis=1, kind="stable")
 
 
 def _by_dim(batches: Iterator[pa.RecordBatch], give) -> Iterator[pa.RecordBatch]:
@@ -160,13 +152,13 @@ class _Tile:
         rank = np.arange(len(g)) - np.searchsorted(g, g)
         keep = order[rank <= k]
         self.ids, self.x = ids[keep], x[keep]
-        self.norm = _norms(self.x)
+        self.norm = norms(self.x)
         self.unit = self.x / self.norm[:, None]
         self.repeats = len(self.ids) - len(np.unique(self.ids))
 
     def search(self, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows (query's place, id, score): each query's k nearest ids here besides its own, by products in blocks and then by the exact measure."""
-        norm, out = _norms(x), []
+        norm, out = norms(x), []
         unit = x / norm[:, None]
         most = min(len(self.ids), k + 1 + self.repeats)
         for lo in range(0, len(x), 256):
@@ -264,7 +256,7 @@ def build_index(
             continue
         drawn = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id", "vector"), "id").limit(most).select("vector").toArrow()
         x = np.concatenate([_rows(c, dim) for c in drawn.column(0).chunks if len(c)])
-        x /= _norms(x)[:, None]
+        x /= norms(x)[:, None]
         fitted[dim] = x
         sent = spark.sparkContext.broadcast(x)
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from assay.llm.tokens import encoder
 from assay.scratch import Scratch
 
+#: Rows of a plan that are sent to every task, 5 MB.
+_BROADCAST_ROWS = 100_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
@@ -219,10 +221,15 @@ def pack_documents(
     counts = counts.select("length", "salt", before.alias("before"))
     number = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1
     numbered = salted.withColumn("number", number).join(counts, ["length", "salt"]).withColumn("number", F.col("number") + F.col("before"))
-    if len(rows) <= 100_000:
-        plan = F.broadcast(plan)
+    if len(rows) <= _BROADCAST_ROWS:
+        met, plan = F.lit(True), F.broadcast(plan)
+    else:
+        # a length that many pieces share meets its places in spans of numbers, not in one task
+        met = F.col("n.span") == F.col("p.span")
+        plan = plan.withColumn("span", F.explode(F.sequence(F.shiftright("first", 16), F.shiftright("last", 16))))
+        numbered = numbered.withColumn("span", F.shiftright("number", 16))
     n, p = numbered.alias("n"), plan.alias("p")
-    placed = n.join(p, (F.col("n.length") == F.col("p.length")) & F.col("n.number").between(F.col("p.first"), F.col("p.last")))
+    placed = n.join(p, (F.col("n.length") == F.col("p.length")) & met & F.col("n.number").between(F.col("p.first"), F.col("p.last")))
     step = F.col("n.number") - F.col("p.first")
     kept = [c for c in ("doc_id", "piece", "start", "length", "ids_crc32", "ids") if c in pieces.columns]
     return placed.select(

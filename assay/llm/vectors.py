@@ -23,8 +23,20 @@ _EPS = 1e-9
 _LENGTHS, _MOST_AXES = 8, 4096
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near 1: cosines stay as they are, squares neither overflow nor vanish."""
+    # in two steps, as the factor for subnormal components is itself beyond the range
+    shift = -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]
+    return np.ldexp(np.ldexp(x, shift // 2), shift - shift // 2)
+
+
+def norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(axis=1))
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    x = scaled(x)
+    return x / norms(x)[:, None]
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +106,9 @@ class _Side:
     """Vectors on one side of a comparison: of unit length, along the axes, and the norms of what lies behind each cut."""
 
     def __init__(self, x: np.ndarray, axes: Axes):
-        self.unit = _unit(x)
+        self.x = scaled(x)
+        self.norm = norms(self.x)
+        self.unit = self.x / self.norm[:, None]
         self.along = axes.project(self.unit)
         d = x.shape[1]
         self.cuts = [0, *sorted({max(1, round(d * s)) for s in _STEPS}), d]
@@ -126,6 +140,9 @@ def _linked(a: _Side, b: _Side, least: float) -> tuple[np.ndarray, np.ndarray]:
                 exact = (a.unit[lo:hi] @ b.unit[lo2:hi2].T)[i - lo, j - lo2]
             else:
                 exact = np.concatenate([np.einsum("nd,nd->n", a.unit[i[s : s + 65536]], b.unit[j[s : s + 65536]]) for s in range(0, len(i), 65536)]) if len(i) else np.empty(0)
+            # at the threshold one formula decides, whatever way the pair came
+            close = np.flatnonzero(np.abs(exact - least) < _EPS)
+            exact[close] = (a.x[i[close]] * b.x[j[close]]).sum(axis=1) / (a.norm[i[close]] * b.norm[j[close]])
             keep = exact >= least
             out.append((i[keep], j[keep]))
     return np.concatenate([i for i, _ in out]), np.concatenate([j for _, j in out])
@@ -163,7 +180,7 @@ class _Stripe:
             self.low = forest(self.ids, np.concatenate([np.arange(len(self.ids)), i]), np.concatenate([known, j]))
 
     def against(self, tile: tuple[np.ndarray, np.ndarray, np.ndarray, float, float], axes: Axes, least: float, reach: float) -> pa.RecordBatch:
-        """A tile of a later stripe: its vectors' links into this one, each with a vector here that it is joined with."""
+        """A tile of another stripe: its vectors' links into this one, each with a vector here that it is joined with."""
         ids, sizes, data, lo, hi = tile
         side, found = _Side(data, axes), []
         for s, own in enumerate(self.sides):
@@ -189,7 +206,7 @@ def _found(ids: np.ndarray, links: np.ndarray, low: np.ndarray) -> pa.RecordBatc
 
 
 def _compare(batches: Iterator[pa.RecordBatch], axes: Axes, least: float, reach: float, kind: str) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by stripe, its own tiles first, then each tile of a later stripe that is in reach; one tile of these is held at a time."""
+    """Rows sorted by stripe, its own tiles first, then each tile of another stripe that it is to meet; one tile of these is held at a time."""
     key = stripe = None
     for batch in batches:
         for row in range(len(batch)):
@@ -229,7 +246,7 @@ def near_duplicate_vectors(
 
     Equal vectors collapse to one class, so copies cost nothing. Classes of a label are dealt along the axis in which
     vectors spread most into tiles of about ``tile``, and neighbouring tiles form stripes. A task holds one stripe and
-    passes the later tiles along it, unless their intervals on that axis are too far apart. It emits one row
+    passes tiles of other stripes along it (each pair of stripes meets once, by turns here and there), unless their intervals on that axis are too far apart. It emits one row
     per linked class, not per link: its links counted, and a class that it is joined with. Components follow from those rows.
     """
     spark = vectors.sparkSession
@@ -262,7 +279,7 @@ def near_duplicate_vectors(
     # 256 quantiles, and beyond that many tiles an even deal by hash within each quantile
     coarse = F.least(tiles, F.lit(256))
     deal = F.floor(F.size(near) * coarse / 256) * F.ceil(tiles / coarse) + F.pmod(F.xxhash64("rep", F.lit(7)), F.ceil(tiles / coarse))
-    # a stripe grows with the label up to 16 tiles or 64 MB, so that each of the later tiles travels once for many
+    # a stripe grows with the label up to 16 tiles or 64 MB, so that each of the other tiles travels once for many
     per = F.greatest(F.lit(1), F.least(F.lit(16), F.floor(F.lit(1 << 23) / (F.col("dim") * tile)), F.ceil(tiles / 16)))
     tiled = led.join(count, ["label", "dim"]).withColumn("tile", deal.cast("long")).withColumn("stripe", F.floor(F.col("tile") / per).cast("long"))
     kind = "<f4" if isinstance(getattr(vectors.schema[vector_col].dataType, "elementType", None), T.FloatType) else "<f8"
@@ -273,7 +290,9 @@ def near_duplicate_vectors(
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
     spans = packed.groupBy("label", "dim", "stripe").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     a, b = spans.alias("a"), packed.select("label", "dim", "stripe", "tile", "lo", "hi").alias("b")
-    meets = (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.stripe") < F.col("b.stripe"))
+    meets = (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.stripe") != F.col("b.stripe"))
+    # of two stripes the lower is host to the other's tiles if their sum is even, else the higher: all have as many guests
+    meets = meets & ((F.col("a.stripe") < F.col("b.stripe")) == ((F.col("a.stripe") + F.col("b.stripe")) % 2 == 0))
     meets = meets & (F.col("b.lo") - F.col("a.hi") <= reach) & (F.col("a.lo") - F.col("b.hi") <= reach)
     visits = a.join(b, meets).select("b.label", "b.dim", "b.tile", F.col("a.stripe").alias("to"))
     others = packed.drop("stripe").join(visits, ["label", "dim", "tile"]).withColumnRenamed("to", "stripe").withColumn("other", F.lit(True))

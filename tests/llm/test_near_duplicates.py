@@ -177,3 +177,28 @@ def test_vectors_edges(spark):
     d = spark.createDataFrame([(None, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1)], "vec_id long, embedding array<float>, label int")
     got = sorted((r.id or -1, r.n_links, r.component_id or -1) for r in vectors.near_duplicate_vectors(d).collect())
     assert got == [(-1, 0, -1), (3, 1, 3), (3, 1, 3)]
+
+
+@pytest.mark.parametrize("tile", [2, 1024])
+def test_vectors_of_any_magnitude(spark, tile):
+    """Components whose squares vanish or overflow, and subnormal ones, link by their cosine like any other."""
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=2).tolist(), "a") for k in range(20)]
+    rows += [(20, [1e-200, 2e-200], "b"), (21, [1e200, 2e200], "b"), (22, [2e200, 4e200], "b"), (23, [1.7e308, 1.7e308], "b"), (24, [3e-310, 6e-310], "b"), (25, [-1e200, -2e200], "b"), (26, [5e-324, 0.0], "b"), (27, [1.0, 0.0], "b")]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(3)
+    got = {r.id: r for r in vectors.near_duplicate_vectors(d, tile=tile).collect()}
+    plain = [(k, (np.array(v) / np.abs(v).max()).tolist(), label) for k, v, label in rows]
+    _, linked = brute_vectors(plain)
+    low = components(range(len(rows)), linked)
+    degree = np.bincount(np.array(linked).ravel(), minlength=len(rows))
+    assert low[24] == 20 and low[22] == 20 and low[27] == 26
+    assert all((got[k].n_links, got[k].component_id) == (degree[k], low[k]) for k in range(len(rows)))
+
+
+def test_vectors_at_the_threshold_are_judged_alike(spark):
+    """Pairs whose cosine is the threshold itself, but for rounding, link in a tile as across stripes."""
+    rows = [(k, [1.0, 0.0], "x") for k in range(3)] + [(k, [0.93 * (k + 1), float(np.sqrt(1 - 0.93**2)) * (k + 1)], "x") for k in range(3, 40)]
+    one, many = (
+        sorted((r.id, r.n_links, r.component_id) for r in vectors.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"), tile=tile).collect()) for tile in (1024, 2)
+    )
+    assert one == many

@@ -37,7 +37,11 @@ def test_sql(spark, con, name):
     assert sorted(map(str, map(round_, d.collect()))) == sorted(str(round_(tuple(x[k] for k in at))) for x in r.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+#: Queries that answer for some rows of their table, or for phrases; their own tests count what they return.
+OTHER_ROWS = {"op11_approximate_neighbours", "op13_phrase_collocations"}
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES.keys() - OTHER_ROWS))
 def test_every_row_is_answered(spark, name):
     table = {"op3_url_filters": "pages", "op4_embedding_near_dedup": "embeddings"}.get(name, "documents")
     n, rows = spark.read.parquet(f"{SF}/{table}.parquet").count(), queries.QUERIES[name](spark, SF).count()

@@ -43,6 +43,40 @@ def test_encoder_of_another_tokenizer():
     assert not e.by_word and e.encode([None, "a b"])[0] == b"" and len(e.encode(["a b"])[0]) == 8
 
 
+def _without_lower_case(t):
+    t["normalizer"] = {"type": "NFC"}
+
+
+def _white_space_only(t):
+    t["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def _spaces_kept(t):
+    t["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
+
+def _put_before(t):
+    t["normalizer"] = {"type": "Sequence", "normalizers": [{"type": "Lowercase"}, {"type": "Prepend", "prepend": "x"}]}
+
+
+@pytest.mark.parametrize("change,by_word", [(_without_lower_case, True), (_white_space_only, True), (_spaces_kept, False), (_put_before, False)])
+def test_encoder_of_changed_tokenizers(tmp_path, change, by_word):
+    """Cased, split at white space alone, white space kept, every text changed: the library's ids, by words only where words stand alone."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    t = json.load(open(vocabulary()))
+    change(t)
+    path = tmp_path / "changed.json"
+    path.write_text(json.dumps(t))
+    e, library = tokens.Encoder(str(path)), Tokenizer.from_file(str(path))
+    library.encode_special_tokens = True
+    texts = [*TEXTS, "The CAT don't.", "A-b, (C)D. E!f", "Straße, ÉCOLE; naïve"]
+    assert e.by_word == by_word and not e.by_letters
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)] == [library.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
 @pytest.mark.parametrize("bits", [1, 7, 8, 11, 16, 17, 24, 32])
 def test_bit_packing(bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 1000, dtype=np.uint64).astype(np.uint32)
@@ -111,6 +145,15 @@ def test_packing_documents(spark):
     assert packing.pack_documents(d.limit(0), vocabulary()).count() == 0
 
 
+def test_packing_by_a_plan_too_large_to_send(spark, monkeypatch):
+    """The plan joined by spans of numbers gives the same packing; most pieces have one length."""
+    rows = [(k, "word " * (5 if k % 3 else k % 50)) for k in range(400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = sorted(map(tuple, packing.pack_documents(d, vocabulary(), capacity=64, keep_ids=False).collect()))
+    monkeypatch.setattr(packing, "_BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, packing.pack_documents(d, vocabulary(), capacity=64, keep_ids=False).collect())) == want
+
+
 def check_sequences(placed, capacity):
     seqs = collections.defaultdict(list)
     for s, o, n in placed:
