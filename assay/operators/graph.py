@@ -94,36 +94,191 @@ def relations_from_claims(claims: DataFrame, predicates: DataFrame, cap: float =
     return d.withColumn("id", F.concat(F.lit("rel_"), F.substring(F.sha2(key, 256), 1, 12)))
 
 
-def topological_levels(edges: DataFrame, scratch: Scratch, *, most: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    """Rows ``(id, level)`` by peeling nodes without open prerequisites, and the edges left over, which lie on or behind cycles.
+def _jumped(single: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows ``(id, root, w)`` of nodes ``(id, root, w)`` that each follow one other: the first node up the chain that isn't one of them, and the length of the way.
 
-    One round per level: a chain of prerequisites is as long as a curriculum, not as the corpus.
+    Pointers double, so a chain of n nodes takes log n rounds. Nodes on a ring, and those that follow one, have no such
+    node and are left out: their number is what a doubling no longer lowers.
     """
-    e = scratch.save(edges.select(F.col("subject_id").alias("a"), F.col("object_id").alias("b")).distinct(), "edges")
-    nodes = scratch.save(e.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "nodes")
-    levels, level = None, 0
-    while level < most and not nodes.isEmpty():
-        free = nodes.join(e.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
-        free = scratch.save(free.withColumn("level", F.lit(level)), f"level{level}")
-        if free.isEmpty():
+    p, open_, before = single, None, None
+    while True:
+        up = p.select(F.col("id").alias("root"), F.col("root").alias("r2"), F.col("w").alias("w2"), F.lit(True).alias("on"))
+        # nodes without a predecessor of their own, marked by null, are ends
+        d = p.join(up, "root", "left").select("id", F.when(F.col("on"), F.col("r2")).otherwise(F.col("root")).alias("root"), (F.col("w") + F.coalesce("w2", F.lit(0))).alias("w"), F.coalesce("on", F.lit(False)).alias("open"))
+        d = scratch.save(d, "jumped")
+        if open_ is not None:
+            scratch.drop(p)
+        open_ = d.where("open").count()
+        p = d.select("id", "root", "w")
+        p._scratch_path = d._scratch_path
+        if open_ == 0:
+            return p
+        if open_ == before:
+            ends = d.where("not open").select("id", "root", "w")
+            ends._scratch_path = d._scratch_path
+            return ends
+        before = open_
+
+
+def topological_levels(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(id, level)``, the length of the longest way to a node, and the edges ``(a, b)`` left over, which lie on or behind cycles.
+
+    In each round every node with one predecessor is drawn into the end of the chain of such nodes that it hangs on, at its distance; edges
+    move along, and of those that now join the same two nodes the longest stays. Nodes without predecessors count
+    as following the beginning, so what is level there falls away in the same step. Chains, however long, and trees take one round of
+    doubling pointers; otherwise the rounds are at most as many as the longest way has nodes of several predecessors.
+    Levels come back in the opposite order. Null ends are ignored; a loop is a cycle.
+    """
+    all_ = scratch.save(edges.select(F.col("subject_id").alias("a"), F.col("object_id").alias("b")).where("a is not null and b is not null").distinct(), "edges")
+    nodes = all_.select(F.col("a").alias("b")).distinct().join(all_.select("b"), "b", "left_anti")
+    start = nodes.select(F.lit(None).cast(all_.schema["a"].dataType).alias("a"), "b", F.lit(0).alias("w"))
+    e, hung, k = scratch.save(all_.withColumn("w", F.lit(1)).unionByName(start), "open"), [], 0
+    while True:
+        into = e.groupBy("b").agg(F.count("*").alias("n"), F.min("a").alias("root"), F.max("w").alias("w"))
+        single = scratch.save(into.where("n = 1").select(F.col("b").alias("id"), "root", "w"), f"single{k}")
+        if single.isEmpty():
             break
-        levels = free if levels is None else levels.unionByName(free)
-        done = free.select("id")
-        old = (nodes, e)
-        nodes = scratch.save(nodes.join(done, "id", "left_anti"), f"nodes{level}")
-        e = scratch.save(e.join(done.withColumnRenamed("id", "a"), "a", "left_anti"), f"edges{level}")
-        scratch.drop(*old)
-        level += 1
-    empty = nodes.withColumn("level", F.lit(0)).limit(0)
-    return (levels if levels is not None else empty), e
+        ends = _jumped(single, scratch)
+        rest = e.join(single.select(F.col("id").alias("b")), "b", "left_anti")
+        to = ends.select(F.col("id").alias("a"), "root", F.col("w").alias("more"), F.lit(True).alias("drawn"))
+        # what hangs on a ring keeps its edge there and never comes free
+        moved = rest.join(to, "a", "left").select(F.when(F.col("drawn"), F.col("root")).otherwise(F.col("a")).alias("a"), "b", (F.col("w") + F.coalesce("more", F.lit(0))).alias("w"))
+        old, e = e, scratch.save(moved.groupBy("a", "b").agg(F.max("w").alias("w")), f"open{k}")
+        scratch.drop(old, single)
+        hung.append(ends)
+        k += 1
+    levels = None
+    for ends in reversed(hung):
+        here = ends.where("root is null").select("id", F.col("w").alias("level"))
+        if levels is not None:
+            # a root without a level is on or behind a cycle, and so is what hangs on it
+            later = ends.where("root is not null").join(levels.select(F.col("id").alias("root"), "level"), "root").select("id", (F.col("level") + F.col("w")).alias("level"))
+            here = levels.unionByName(here).unionByName(later)
+        levels = scratch.save(here, "levels")
+    if levels is None:
+        levels = all_.select(F.col("a").alias("id"), F.lit(0).alias("level")).limit(0)
+    scratch.drop(*hung)
+    return levels, all_.join(levels.select(F.col("id").alias("a")), "a", "left_anti").select("a", "b")
+
+
+def strong_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows ``(id, component)`` of the nodes on cycles: the smallest id that a node reaches and that reaches it. Nodes on no cycle have no row.
+
+    What topological levels leave from the front, and of that from the back, are cycles and the ways between them. Chains
+    there, of nodes with one edge in and one out, shrink to single edges by doubling pointers, rings of them to one node. On the rest, colours: the
+    smallest id that reaches a node is passed on until nothing changes, and the nodes that reach their colour's own node along that colour are its component;
+    edges between colours fall away, and what isn't in a component yet goes on. Null ends are ignored.
+    """
+    own = edges.where("subject_id = object_id").select(F.col("subject_id").alias("id"))
+    _, left = topological_levels(edges, scratch)
+    _, both = topological_levels(left.select(F.col("b").alias("subject_id"), F.col("a").alias("object_id")), scratch)
+    e = scratch.save(both.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a != b").distinct(), "core")
+    ends = e.groupBy(F.col("b").alias("id")).agg(F.count("*").alias("n_in"), F.min("a").alias("root")).join(e.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_out"), F.min("b").alias("to")), "id")
+    inner = scratch.save(ends.where("n_in = 1 and n_out = 1").select("id", "root", "to"), "inner")
+    back = _jumped(inner.select("id", "root", F.lit(1).alias("w")), scratch).select("id", F.col("root").alias("from"))
+    forth = _jumped(inner.select("id", F.col("to").alias("root"), F.lit(1).alias("w")), scratch).select("id", F.col("root").alias("to"))
+    chains = scratch.save(back.join(forth, "id"), "chains")
+    rings = _ring_minima(inner.join(chains, "id", "left_anti").select("id", F.col("to")), scratch)
+    short = e.join(inner.select(F.col("id").alias("a")), "a", "left_anti").join(inner.select(F.col("id").alias("b")), "b", "left_anti").select("a", "b")
+    open_ = scratch.save(short.unionByName(chains.select(F.col("from").alias("a"), F.col("to").alias("b"))).distinct(), "short")
+    looped = open_.where("a = b").select(F.col("a").alias("id"))
+    open_, found, k = scratch.save(open_.where("a != b"), "open"), looped.limit(0).select("id", F.col("id").alias("component")), 0
+    while not open_.isEmpty():
+        colour = _spread(open_.select("a", "b"), open_.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("c")), scratch)
+        inside = open_.join(colour.select(F.col("id").alias("a"), "c"), "a").join(colour.select(F.col("id").alias("b"), F.col("c").alias("c2")), "b").where("c = c2").select("a", "b", "c")
+        inside = scratch.save(inside, f"inside{k}")
+        reached = colour.where("id = c").select("id", "c")
+        front = reached
+        while True:
+            step = inside.join(front.select(F.col("id").alias("b"), "c"), ["b", "c"]).select(F.col("a").alias("id"), "c").distinct()
+            front = scratch.save(step.join(reached, ["id", "c"], "left_anti"), "front")
+            if front.isEmpty():
+                break
+            reached = scratch.save(reached.unionByName(front), "reached")
+        done = scratch.save(reached.select("id", F.col("c").alias("component")), f"done{k}")
+        sizes = done.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+        found = found.unionByName(done.join(sizes, "component", "left_semi"))
+        rest = inside.join(done.select(F.col("id").alias("a")), "a", "left_anti").join(done.select(F.col("id").alias("b")), "b", "left_anti")
+        open_ = scratch.save(rest.select("a", "b"), f"open{k}")
+        k += 1
+    core = scratch.save(found.unionByName(looped.join(found, "id", "left_anti").select("id", F.col("id").alias("component"))), "found")
+    at = lambda name: core.select(F.col("id").alias(name), F.col("component").alias(f"{name}_c"))
+    between = chains.join(at("from"), "from").join(at("to"), "to").where("from_c = to_c").select("id", F.col("from_c").alias("component"))
+    all_ = core.unionByName(between)
+    named = all_.groupBy("component").agg(F.min("id").alias("least"))
+    all_ = all_.join(named, "component").select("id", F.col("least").alias("component")).unionByName(rings)
+    alone = own.distinct().join(all_, "id", "left_anti").select("id", F.col("id").alias("component"))
+    return scratch.save(all_.unionByName(alone), "components")
+
+
+def _ring_minima(ring: DataFrame, scratch: Scratch) -> DataFrame:
+    """Of nodes ``(id, to)`` on rings the smallest id of the ring, by doubling pointers until no minimum falls."""
+    p, k = scratch.save(ring.select("id", "to", F.col("id").alias("low")), "ring"), 0
+    while True:
+        up = p.select(F.col("id").alias("to"), F.col("to").alias("t2"), F.col("low").alias("l2"))
+        d = p.join(up, "to").select("id", F.col("t2").alias("to"), F.least("low", "l2").alias("low"), (F.col("l2") < F.col("low")).alias("fell"))
+        d = scratch.save(d, f"ring{k}")
+        scratch.drop(p)
+        p, k = d, k + 1
+        if d.where("fell").isEmpty():
+            return d.select("id", F.col("low").alias("component"))
+
+
+def _spread(edges: DataFrame, colours: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows ``(id, c)``: the smallest colour that reaches a node along the edges; only nodes whose colour fell pass it on."""
+    all_ = scratch.save(colours, "colours")
+    news = all_
+    while True:
+        got = edges.join(news.select(F.col("id").alias("a"), F.col("c").alias("n")), "a").groupBy(F.col("b").alias("id")).agg(F.min("n").alias("n"))
+        d = scratch.save(all_.join(got, "id", "left").select("id", F.least("c", "n").alias("c"), F.coalesce(F.col("n") < F.col("c"), F.lit(False)).alias("fell")), "colours")
+        scratch.drop(all_)
+        all_ = d
+        news = d.where("fell").select("id", "c")
+        if news.isEmpty():
+            return d.select("id", "c")
 
 
 def cycle_edges(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """Edges ``(a, b)`` on or between cycles: what peeling from the front and then from the back leaves."""
-    _, left = topological_levels(edges, scratch)
-    back = left.select(F.col("b").alias("subject_id"), F.col("a").alias("object_id"))
-    _, both = topological_levels(back, scratch)
-    return both.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    """Edges ``(a, b)`` on cycles: both ends are in one strong component."""
+    c = strong_components(edges, scratch)
+    e = edges.select(F.col("subject_id").alias("a"), F.col("object_id").alias("b")).distinct()
+    at = lambda name: c.select(F.col("id").alias(name), F.col("component").alias(f"{name}_c"))
+    return e.join(at("a"), "a").join(at("b"), "b").where("a_c = b_c").select("a", "b")
+
+
+def cycle_review(edges: DataFrame, allowed: DataFrame, scratch: Scratch, predicates: tuple[str, ...] = ACYCLIC) -> DataFrame:
+    """Rows ``(component, nodes, edges, open_edges, review)``: the cycles of predicates that should have none.
+
+    ``allowed(subject_id, predicate, object_id)`` lists the edges of feedback loops that a person has confirmed; a component is
+    flagged for review unless all its edges are among them.
+    """
+    e = scratch.save(edges.where(F.col("predicate").isin(*predicates)).select("subject_id", "predicate", "object_id").distinct(), "acyclic")
+    c = strong_components(e, scratch)
+    at = lambda name: c.select(F.col("id").alias(name), F.col("component").alias(f"{name}_c"))
+    inside = e.join(at("subject_id"), "subject_id").join(at("object_id"), "object_id").where("subject_id_c = object_id_c")
+    known = allowed.select("subject_id", "predicate", "object_id", F.lit(True).alias("known")).distinct()
+    judged = inside.join(known, ["subject_id", "predicate", "object_id"], "left").groupBy(F.col("subject_id_c").alias("component"))
+    judged = judged.agg(F.count("*").alias("edges"), F.count_if(F.col("known").isNull()).alias("open_edges"))
+    size = c.groupBy("component").agg(F.count("*").alias("nodes"))
+    return judged.join(size, "component").select("component", "nodes", "edges", "open_edges", (F.col("open_edges") > 0).alias("review"))
+
+
+def curriculum(cards: DataFrame, edges: DataFrame, domain: str | list[str], skill: int, scratch: Scratch) -> DataFrame:
+    """Rows ``(id, level)`` of the cards of some domains up to a level of skill, by the prerequisites among them; a card without any is at level 0.
+
+    ``cards(id, domain, skill_level)``; ``edges`` of the predicates ``prerequisite_of`` (subject first) and ``requires`` (object first). Cards on or behind a cycle have no row.
+    """
+    domains = [domain] if isinstance(domain, str) else domain
+    c = scratch.save(cards.where(F.col("domain").isin(*domains) & (F.col("skill_level") <= skill)).select("id").distinct(), "cards")
+    first = F.when(F.col("predicate") == "requires", F.col("object_id")).otherwise(F.col("subject_id"))
+    then = F.when(F.col("predicate") == "requires", F.col("subject_id")).otherwise(F.col("object_id"))
+    e = edges.where(F.col("predicate").isin("prerequisite_of", "requires")).select(first.alias("subject_id"), then.alias("object_id"))
+    for end in ("subject_id", "object_id"):
+        e = e.join(c.select(F.col("id").alias(end)), end, "left_semi")
+    e = scratch.save(e, "prerequisites")
+    levels, _ = topological_levels(e, scratch)
+    lone = c.join(e.select(F.explode(F.array("subject_id", "object_id")).alias("id")).distinct(), "id", "left_anti")
+    return levels.unionByName(lone.select("id", F.lit(0).alias("level")))
 
 
 def communities(edges: DataFrame, scratch: Scratch, rounds: int = 5) -> DataFrame:

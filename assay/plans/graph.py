@@ -116,6 +116,39 @@ def cycle_edges(spark, sf_dir):
     return g.cycle_edges(ring.unionByName(tree), Scratch(spark, "cycles"))
 
 
+_LOOPS = "l AS (SELECT s AS a, o AS b, predicate FROM (SELECT p_partkey AS s, (p_partkey * 7 + p_size) % (SELECT count(*) FROM part) AS o, CASE p_size % 3 WHEN 0 THEN 'prevents' WHEN 1 THEN 'precedes' ELSE 'affects' END AS predicate FROM part UNION SELECT p_partkey, p_partkey + 1, 'part_of' FROM part WHERE p_partkey % 10 < 7) WHERE predicate <> 'affects')"
+
+
+@query(
+    f"""WITH RECURSIVE {_LOOPS}, r AS (SELECT DISTINCT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a), c AS (SELECT x.a AS id, least(x.a, min(x.b)) AS component FROM r x JOIN r y ON x.a = y.b AND x.b = y.a GROUP BY x.a),
+    e AS (SELECT DISTINCT l.a, l.b, l.predicate, ca.component FROM l JOIN c ca ON ca.id = l.a JOIN c cb ON cb.id = l.b WHERE ca.component = cb.component)
+    SELECT e.component, (SELECT count(*) FROM c WHERE c.component = e.component) AS nodes, count(*) AS edges, count_if(NOT (predicate = 'part_of' AND a % 2 = 0)) AS open_edges, count_if(NOT (predicate = 'part_of' AND a % 2 = 0)) > 0 AS review FROM e GROUP BY e.component"""
+)
+def cycle_review(spark, sf_dir):
+    """Cycles of predicates that should have none, over a graph without order; every second step of the chains in it is confirmed."""
+    part = table(spark, sf_dir, "part")
+    n = part.count()
+    some = part.selectExpr("p_partkey AS subject_id", "CASE p_size % 3 WHEN 0 THEN 'prevents' WHEN 1 THEN 'precedes' ELSE 'affects' END AS predicate", f"(p_partkey * 7 + p_size) % {n} AS object_id")
+    steps = part.where("p_partkey % 10 < 7").selectExpr("p_partkey AS subject_id", "'part_of' AS predicate", "p_partkey + 1 AS object_id")
+    return g.cycle_review(some.unionByName(steps), steps.where("subject_id % 2 = 0"), Scratch(spark, "review"))
+
+
+@query(
+    """WITH RECURSIVE c AS (SELECT p_partkey AS id FROM part WHERE p_type IN ('STANDARD', 'PROMO', 'LARGE') AND p_size <= 35),
+    e AS (SELECT a, b FROM (SELECT p_partkey // 2 AS a, p_partkey AS b FROM part WHERE p_partkey > 0 UNION SELECT p_partkey // 5, p_partkey FROM part WHERE p_partkey > 0 UNION SELECT p_partkey - 1, p_partkey FROM part WHERE p_partkey % 3 = 0 AND p_partkey > 0) WHERE a IN (FROM c) AND b IN (FROM c)),
+    r AS (SELECT id, 0 AS level FROM c UNION SELECT e.b, r.level + 1 FROM r JOIN e ON e.a = r.id)
+    SELECT id, max(level) AS level FROM r GROUP BY id"""
+)
+def curriculum_order(spark, sf_dir):
+    """Levels of the cards of three domains up to a level of skill, by two kinds of prerequisite; what the others need isn't asked."""
+    part = table(spark, sf_dir, "part")
+    cards = part.selectExpr("p_partkey AS id", "p_type AS domain", "p_size AS skill_level")
+    e = part.where("p_partkey > 0").selectExpr("p_partkey div 2 AS subject_id", "'prerequisite_of' AS predicate", "p_partkey AS object_id")
+    e = e.unionByName(part.where("p_partkey > 0").selectExpr("p_partkey AS subject_id", "'requires' AS predicate", "p_partkey div 5 AS object_id"))
+    e = e.unionByName(part.where("p_partkey % 3 = 0 and p_partkey > 0").selectExpr("p_partkey - 1 AS subject_id", "'prerequisite_of' AS predicate", "p_partkey AS object_id"))
+    return g.curriculum(cards, e, ["STANDARD", "PROMO", "LARGE"], 35, Scratch(spark, "curriculum"))
+
+
 @query(
     """WITH c AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber AS claim_id, CASE l_returnflag WHEN 'A' THEN 'causal' WHEN 'R' THEN 'correlational' ELSE 'definitional' END AS claim_type, l_suppkey AS subject, CASE WHEN l_linenumber < 3 THEN 'causes' WHEN l_linenumber < 5 THEN 'prevents' ELSE 'likes' END AS predicate,
       l_partkey AS object, CASE WHEN l_linestatus = 'F' THEN least(0.75e0, 1e0 - l_tax) ELSE 1e0 - l_tax END AS confidence FROM lineitem)
