@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 
 BLOCK = 576
 SEEK_EVERY = 16
+#: Frames that are coded at a time; 2.4 MB of payload.
+RUN = 4096
 #: Order, bits and shift of the linear predictors that ``encode`` writes.
 _ORDER, _PRECISION, _SHIFT = 4, 12, 8
 #: A linear predictor is the costliest to decode and hides repeats from the files' own compression: it is written
@@ -109,17 +112,13 @@ def _linear(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return coefs, wide[:, _ORDER:] - guess
 
 
-def encode(payloads: list[bytes]) -> list[bytes]:
-    """FLAC streams of payloads whose lengths are positive multiples of the block; byte b is the sample b - 128.
+def _coded(x: np.ndarray, numbers: list[int]) -> tuple[bytes, np.ndarray]:
+    """The frames of rows of samples with these numbers, end to end, and their lengths.
 
-    Each frame is coded by the shortest of a constant, the fixed predictors of order 0 to 2, a linear predictor and the plain samples.
+    Each is coded by the shortest of a constant, the fixed predictors of order 0 to 2, a linear predictor and the plain samples.
     """
-    if any(not p or len(p) % BLOCK for p in payloads):
-        raise ValueError("payloads must be positive multiples of the block")
-    x = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, BLOCK).astype(np.int32) - 128
     frames = len(x)
-    per = [len(p) // BLOCK for p in payloads]
-    heads = [_header(k) for n in per for k in range(n)]
+    heads = [_header(k) for k in numbers]
     head_len = np.array([len(h) for h in heads])
 
     fold = lambda r: np.where(r < 0, -2 * r - 1, 2 * r)
@@ -185,13 +184,44 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     out[np.arange(len(flat)) + shift] = flat
     crc = _crc16(out, start, length - 2)
     out[start + length - 2], out[start + length - 1] = crc >> 8, crc & 0xFF
-    result, f = [], 0
-    data = out.tobytes()
-    for p, n in zip(payloads, per):
-        lo, hi = int(start[f]), int(start[f + n - 1] + length[f + n - 1])
-        result.append(_metadata(p, length[f : f + n].tolist()) + data[lo:hi])
-        f += n
-    return result
+    return out.tobytes(), length
+
+
+def encode(payloads: list[bytes]) -> list[bytes]:
+    """FLAC streams of payloads whose lengths are positive multiples of the block; byte b is the sample b - 128.
+
+    Frames are coded in runs of at most ``RUN``, so what is held besides payloads and streams is bounded.
+    """
+    if any(not p or len(p) % BLOCK for p in payloads):
+        raise ValueError("payloads must be positive multiples of the block")
+    pieces: list[list[bytes]] = [[] for _ in payloads]
+    lengths: list[list[np.ndarray]] = [[] for _ in payloads]
+    run: list[tuple[int, int, int]] = []  # payload, first frame, frames
+    room = RUN
+
+    def flush() -> None:
+        x = np.frombuffer(b"".join(payloads[k][f * BLOCK : (f + n) * BLOCK] for k, f, n in run), np.uint8).reshape(-1, BLOCK).astype(np.int32) - 128
+        data, size = _coded(x, [f + i for _, f, n in run for i in range(n)])
+        ends = np.append(0, np.cumsum(size))
+        at = 0
+        for k, _, n in run:
+            pieces[k].append(data[ends[at] : ends[at + n]])
+            lengths[k].append(size[at : at + n])
+            at += n
+        run.clear()
+
+    for k, p in enumerate(payloads):
+        f, n = 0, len(p) // BLOCK
+        while f < n:
+            take = min(room, n - f)
+            run.append((k, f, take))
+            f, room = f + take, room - take
+            if not room:
+                flush()
+                room = RUN
+    if run:
+        flush()
+    return [b"".join([_metadata(p, np.concatenate(size).tolist()), *parts]) for p, parts, size in zip(payloads, pieces, lengths)]
 
 
 # ---- reading
@@ -520,6 +550,27 @@ def decode(streams: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def decode_runs(stream: bytes) -> Iterator[np.ndarray]:
+    """The samples of one stream in runs of about ``RUN`` frames, by its seek table, with the checks of ``decode``; without a table, all at once."""
+    info = stream_info(stream)
+    first, block = info["first"], info["block"]
+    cuts = [(s // block, first + at) for s, at, _ in info["seek"] if s % block == 0 and 0 < s < info["samples"]]
+    digest, n = hashlib.md5(), 0
+    number, at = 0, first
+    for next_number, end in [*sorted(cuts), (-(-info["samples"] // block), len(stream))]:
+        last = end == len(stream)
+        if next_number - number < RUN and not last:
+            continue
+        part = stream[at:end]
+        pcm = _runs([part], [info | {"first": 0}], [(number, 0, None if last else next_number - number)])[0]
+        digest.update(pcm.tobytes())
+        n += len(pcm)
+        yield pcm
+        number, at = next_number, end
+    if n != info["samples"] or any(info["md5"]) and digest.digest() != info["md5"]:
+        raise FlacError("samples differ from the stream's MD5")
+
+
 def read_samples(streams: list[bytes], offsets: list[int], counts: list[int]) -> list[np.ndarray]:
     """``counts`` samples of each stream from ``offsets`` on, fewer where the stream ends.
 

@@ -8,12 +8,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assay.llm import flac
 from assay.llm.textkit import slices
 
-#: Payload bytes coded at a time; a longer payload is coded by itself.
+#: Payload bytes coded at a time; a longer payload is coded by itself, in runs of frames.
 _AT_ONCE = 1 << 21
 #: Samples of a PCM block.
 _PCM = 1 << 14
@@ -26,17 +27,18 @@ def pad(data: bytes) -> bytes:
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw = [b or b"" for b in batch.column(1).to_pylist()]
-        for lo, hi in slices([len(b) for b in raw], _AT_ONCE):
-            media = flac.encode([pad(b) for b in raw[lo:hi]])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([len(b) for b in raw[lo:hi]], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+        for lo, hi in slices(sizes, _AT_ONCE):
+            media = flac.encode([pad(b or b"") for b in batch.column(1)[lo:hi].to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes[lo:hi], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
 
 def encode_media(rows: DataFrame, id_col: str = "doc_id", bytes_col: str = "payload") -> DataFrame:
     """Rows ``(id, n_bytes, media)``: each row's bytes (null: none), padded with 255 to whole blocks, as a FLAC stream of 8-bit samples.
 
     Repeated rows and null ids keep their rows; equal bytes give equal streams; an empty table gives an
-    empty result; other columns are ignored. Text columns count as their UTF-8 bytes.
+    empty result; other columns are ignored. Text columns count as their UTF-8 bytes. A payload of any length is coded in runs of
+    frames, so a task holds a few times its bytes.
     """
     source = rows.select(F.col(id_col).cast("long").alias("id"), F.col(bytes_col).cast("binary").alias("data"))
     return source.mapInArrow(_encode, "id long, n_bytes long, media binary")
@@ -54,27 +56,55 @@ def pcm_at(parts: list[tuple[int, np.ndarray]], offset: int, count: int) -> np.n
     return np.concatenate([p for _, p in held])[offset - held[0][0] :][:count]
 
 
+class Features:
+    """Whole-number features of a stream's PCM blocks, taken in one after the other: count, mean, energy, zero crossings, peak, and mean step, per thousand where fractions."""
+
+    def __init__(self):
+        self.n = self.total = self.energy = self.crossings = self.peak = self.step = 0
+        self.last: list[int] = []
+
+    def add(self, block: np.ndarray) -> None:
+        x = np.concatenate([np.array(self.last, np.int64), block.astype(np.int64)])
+        self.crossings += int(((x[1:] < 0) != (x[:-1] < 0)).sum())
+        self.step += int(np.abs(np.diff(x)).sum())
+        x = x[len(self.last) :]
+        self.n, self.total, self.energy, self.peak = self.n + len(x), self.total + int(x.sum()), self.energy + int((x * x).sum()), max(self.peak, int(np.abs(x).max(initial=0)))
+        self.last = [int(x[-1])]
+
+    def __str__(self) -> str:
+        m = max(1, self.n)
+        return f"samples={self.n};mean={self.total * 1000 // m};energy={self.energy // m};crossings={self.crossings};peak={self.peak};step={self.step * 1000 // m}"
+
+
 def features(parts: list[tuple[int, np.ndarray]]) -> str:
-    """Whole-number features of a stream's PCM blocks: count, mean, energy, zero crossings, peak, and mean step, per thousand where fractions."""
-    n = total = energy = crossings = peak = step = 0
-    last: list[int] = []
+    """``Features`` of blocks with their offsets."""
+    out = Features()
     for _, block in parts:
-        x = np.concatenate([np.array(last, np.int64), block.astype(np.int64)])
-        crossings += int(((x[1:] < 0) != (x[:-1] < 0)).sum())
-        step += int(np.abs(np.diff(x)).sum())
-        x = x[len(last) :]
-        n, total, energy, peak = n + len(x), total + int(x.sum()), energy + int((x * x).sum()), max(peak, int(np.abs(x).max(initial=0)))
-        last = [int(x[-1])]
-    m = max(1, n)
-    return f"samples={n};mean={total * 1000 // m};energy={energy // m};crossings={crossings};peak={peak};step={step * 1000 // m}"
+        out.add(block)
+    return str(out)
 
 
 def _streams(batches: Iterator[pa.RecordBatch]):
-    """Runs of rows with their decoded samples."""
+    """Runs of rows, each with its stream and the runs of samples decoded from it: one for a short stream, many for a long one."""
     for batch in batches:
-        media = batch.column("media").to_pylist()
-        for lo, hi in slices([len(m) for m in media], _AT_ONCE):
-            yield batch.slice(lo, hi - lo), media[lo:hi], flac.decode(media[lo:hi])
+        column = batch.column("media")
+        for lo, hi in slices(pc.binary_length(column).to_pylist(), _AT_ONCE):
+            media = column[lo:hi].to_pylist()
+            if hi - lo == 1 and len(media[0]) > _AT_ONCE:
+                yield batch.slice(lo, 1), media, [flac.decode_runs(media[0])]
+            else:
+                yield batch.slice(lo, hi - lo), media, [[s] for s in flac.decode(media)]
+
+
+def _blocks_of(runs: Iterator[np.ndarray], size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Runs of samples as blocks of ``size``, each with the offset of its first sample; a block may join two runs."""
+    rest, at = np.empty(0, np.int8), 0
+    for samples in runs:
+        rest = np.concatenate([rest, samples]) if len(rest) else samples
+        whole = len(rest) - len(rest) % size
+        yield from ((at + lo, part) for lo, part in pcm_parts(rest[:whole], size))
+        rest, at = rest[whole:], at + whole
+    yield from ((at + lo, part) for lo, part in pcm_parts(rest, size))
 
 
 def _payload(pcm: np.ndarray) -> bytes:
@@ -82,22 +112,21 @@ def _payload(pcm: np.ndarray) -> bytes:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, media, samples in _streams(batches):
-        blocks = [pcm_parts(s) for s in samples]
-        lengths = [sum(len(p) for _, p in b) for b in blocks]
-        digests = [hashlib.sha256() for _ in blocks]
-        for digest, b in zip(digests, blocks):
-            for _, pcm in b:
-                digest.update(_payload(pcm))
+    for part, media, streams in _streams(batches):
+        out = []
+        for runs in streams:
+            digest, feature, tail = hashlib.sha256(), Features(), b""
+            for _, pcm in _blocks_of(runs, _PCM):
+                data = _payload(pcm)
+                digest.update(data)
+                feature.add(pcm)
+                tail = (tail + data[-32:])[-32:]
+            out.append((feature.n, digest.hexdigest(), zlib.crc32(tail), str(feature)))
+        n, digests, tails, found = zip(*out)
         cols = [
-            *part.select(["id", "n_bytes"]).columns,
-            pa.array(lengths, pa.int64()),
-            pa.array([d.hexdigest() for d in digests]),
-            pa.array([zlib.crc32(_payload(pcm_at(b, n - 32, 32))) for b, n in zip(blocks, lengths)], pa.int64()),
-            pa.array([len(m) for m in media], pa.int64()),
-            pa.array([hashlib.sha256(m).hexdigest() for m in media]),
-            pa.array([features(b) for b in blocks]),
-        ]
+            *part.select(["id", "n_bytes"]).columns, pa.array(n, pa.int64()), pa.array(digests), pa.array(tails, pa.int64()), pa.array([len(m) for m in media], pa.int64()),
+            pa.array([hashlib.sha256(m).hexdigest() for m in media]), pa.array(found),
+        ]
         yield pa.RecordBatch.from_arrays(cols, ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
 
@@ -105,15 +134,22 @@ def describe_media(media: DataFrame) -> DataFrame:
     """Decodes every stream of ``encode_media`` into PCM blocks and returns digests of payload and stream and the features of the blocks.
 
     A stream with a wrong header, frame checksum, sample count or MD5 raises an error that names what is wrong.
-    Samples that look like a frame header do no harm, and streams of any length are read whole. Repeated rows
+    Samples that look like a frame header do no harm; streams of any length are read whole, long ones in runs between their seek points. Repeated rows
     and null ids keep their rows; an empty table gives an empty result; other columns are ignored.
     """
     return media.select("id", "n_bytes", "media").mapInArrow(_describe, "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for part, _, samples in _streams(batches):
-        rows = [(key, lo, pcm) for key, s in zip(part.column("id").to_pylist(), samples) for lo, pcm in pcm_parts(s, size)]
+    for part, _, streams in _streams(batches):
+        rows, held = [], 0
+        for key, runs in zip(part.column("id").to_pylist(), streams):
+            for lo, pcm in _blocks_of(runs, size):
+                rows.append((key, lo, pcm))
+                held += len(pcm)
+                if held >= _AT_ONCE:
+                    yield _pcm_rows(rows)
+                    rows, held = [], 0
         yield _pcm_rows(rows)
 
 

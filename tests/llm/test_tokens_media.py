@@ -392,3 +392,29 @@ def test_media_column(spark):
     assert (np.frombuffer(b"".join(r.pcm for r in blocks), np.uint8) ^ 0x80).tobytes() == media.pad(b"x" * 3000)
     assert media.describe_media(media.encode_media(d.limit(0), bytes_col="text")).count() == 0
     assert d.select(F.lit(1)).count() == 5
+
+
+def test_long_payloads_are_coded_and_read_in_runs(spark, monkeypatch):
+    """The same stream and digests however many frames are held at a time; a broken long stream is found out."""
+    rng = np.random.default_rng(4)
+    texts = [b"", b"a" * 5000, rng.integers(0, 256, 576 * 150 + 9, dtype=np.uint8).tobytes(), b"some words again and again " * 9000]
+    payloads = [media.pad(t) for t in texts]
+    want = flac.encode(payloads)
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, payload binary").coalesce(1)
+    whole = sorted(map(tuple, media.describe_media(media.encode_media(rows)).collect()))
+    monkeypatch.setattr(flac, "RUN", 40)
+    monkeypatch.setattr(media, "_AT_ONCE", 20_000)
+    assert flac.encode(payloads) == want
+    for stream, payload in zip(want, payloads):
+        runs = list(flac.decode_runs(stream))
+        assert b"".join((r.view(np.uint8) ^ 0x80).tobytes() for r in runs) == payload and all(len(r) <= 576 * 56 for r in runs)
+    batches = spark.createDataFrame([(k, s, len(t)) for k, (s, t) in enumerate(zip(want, texts))], "id long, media binary, n_bytes long").select("id", "n_bytes", "media").toArrow().to_batches()
+    assert sorted(tuple(r.values()) for b in media._describe(iter(batches)) for r in b.to_pylist()) == whole
+    pcm = [(r["id"], r["sample_offset"], r["pcm"]) for b in media._blocks(iter(batches), 1000) for r in b.to_pylist()]
+    for k, payload in enumerate(payloads):
+        mine = [(at, data) for i, at, data in pcm if i == k]
+        assert [at for at, _ in mine] == list(range(0, len(payload), 1000)) and b"".join(d for _, d in mine) == (np.frombuffer(payload, np.uint8) ^ 0x80).tobytes()
+    broken = bytearray(want[3])
+    broken[len(broken) // 2] ^= 1
+    with pytest.raises(flac.FlacError):
+        list(flac.decode_runs(bytes(broken)))
