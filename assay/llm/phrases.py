@@ -148,7 +148,7 @@ def _bits(keys: DataFrame) -> Bits:
     """The bit table of a column ``key``: sixteen bits a key up to the bound; each block of it is put together in a task of its own."""
     count = keys.count()
     bits = min(_MOST_BITS, 1 << max(16, (16 * count - 1).bit_length()))
-    block = min(bits, 1 << 18)
+    block = bits >> 8
 
     def build(key: tuple, part: pa.Table) -> pa.Table:
         table = np.zeros(block, bool)
