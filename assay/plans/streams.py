@@ -22,13 +22,15 @@ def query(sql: str | None = None):
     return add
 
 
+def _arrivals(spark, sf_dir, name):
+    stored = table(spark, sf_dir, name)
+    if stored.inputFiles()[0].endswith(f"/{name}.parquet"):  # one file: the stream watches its folder
+        return flows.arrivals(spark, sf_dir, stored.schema, pathGlobFilter=f"{name}.parquet")
+    return flows.arrivals(spark, f"{sf_dir}/{name}.parquet", stored.schema)
+
+
 def _events(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    if events.inputFiles()[0].endswith("/events.parquet"):  # one file: the stream watches its folder
-        s = flows.arrivals(spark, sf_dir, events.schema, pathGlobFilter="events.parquet")
-    else:
-        s = flows.arrivals(spark, f"{sf_dir}/events.parquet", events.schema)
-    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+    return _arrivals(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _replay(spark, stream, label):
@@ -60,3 +62,11 @@ def stream_first_seen(spark, sf_dir):
     """The first event of each kind of each user lets the key through, all later ones are dropped; the horizon is longer than the stream."""
     s = _events(spark, sf_dir).withColumn("key", F.concat_ws("|", F.col("user_id").cast("string"), "event_type"))
     return _replay(spark, flows.first_seen(s, "key", "ts", "3650 days"), "first").select("user_id", "event_type")
+
+
+@query("SELECT l_partkey AS concept_id, count(*) AS claims, count(DISTINCT l_suppkey % 25) AS groups FROM lineitem GROUP BY l_partkey")
+def stream_evidence(spark, sf_dir):
+    """Claims replayed into state: what is kept per concept equals the batch's distinct count."""
+    claims = _arrivals(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("concept_id"), (F.col("l_suppkey") % 25).cast("string").alias("gkey"), F.col("l_shipdate").cast("timestamp").alias("ts"))
+    with flows.with_state_store(spark):
+        return flows.current_evidence(_replay(spark, flows.running_evidence(claims), "evidence"))

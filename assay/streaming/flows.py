@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 
 def arrivals(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
@@ -29,9 +31,82 @@ def stage_metrics(stream: DataFrame, time: str, window: str, late: str, slide: s
     return stream.withWatermark(time, late).groupBy(F.col(key), w.alias("w")).agg(F.count("*").alias("rows"), F.avg(value).alias("mean"), F.max(value).alias("largest"))
 
 
-def running_evidence(stream: DataFrame) -> DataFrame:
-    """Claims and distinct groups per concept so far, for update mode: one state row per (concept, group) keeps the distinct count exact."""
-    return stream.groupBy("concept_id", "gkey").agg(F.count("*").alias("claims"))
+EVIDENCE = "concept_id long, shard int, claims long, groups long, version long, settled boolean"
+
+
+class RunningEvidence(StatefulProcessor):
+    """Per shard of a concept: how many claims and which groups have come so far.
+
+    Groups are a map in the state store, a key each, so what a batch writes is its new groups. Each batch
+    that brings claims gives a row with the counts so far; once the watermark has passed the newest claim by ``rest`` seconds, a last
+    row says that the shard has settled, until new claims come.
+    """
+
+    def __init__(self, rest: int):
+        self.rest = rest
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.counts = handle.getValueState("counts", "claims long, groups long, version long, newest long")
+        self.groups = handle.getMapState("groups", "gkey string", "since long")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        claims, groups, version, newest = self.counts.get() if self.counts.exists() else (0, 0, 0, -1)
+        seen, latest = Counter(), newest
+        for row in rows:
+            seen[row["gkey"]] += 1
+            latest = max(latest, int(row["ts"].timestamp() * 1000))
+        if groups <= 4 * len(seen):  # few: read at once
+            known = {g for (g,) in self.groups.keys()} if groups else set()
+        else:
+            known = {g for g in seen if self.groups.containsKey((g,))}
+        for gkey in seen.keys() - known:
+            self.groups.updateValue((gkey,), (version,))
+        groups += len(seen.keys() - known)
+        if latest > newest:
+            if newest >= 0:
+                self.handle.deleteTimer(newest + self.rest * 1000)
+            self.handle.registerTimer(latest + self.rest * 1000)
+        claims, version = claims + sum(seen.values()), version + 1
+        self.counts.update((claims, groups, version, latest))
+        yield Row(concept_id=key[0], shard=key[1], claims=claims, groups=groups, version=version, settled=False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        claims, groups, version, newest = self.counts.get()
+        self.counts.update((claims, groups, version + 1, newest))
+        yield Row(concept_id=key[0], shard=key[1], claims=claims, groups=groups, version=version + 1, settled=True)
+
+    def close(self) -> None:
+        pass
+
+
+def running_evidence(stream: DataFrame, *, late: str = "1 hour", rest: int = 86_400, shards: int = 1) -> DataFrame:
+    """Rows ``(concept_id, shard, claims, groups, version, settled)`` as claims ``(concept_id, gkey, ts)`` come: claims and distinct groups so far.
+
+    A null group is a group of its own kind, counted once. Claims later than the watermark count too, as none is dropped here. ``shards``
+    splits the state of a concept by a hash of the group, so that a concept with a third of all claims isn't one task's; ``current_evidence`` adds the
+    shards up. The store must be RocksDB (``with_state_store``).
+    """
+    keyed = stream.select("concept_id", F.coalesce("gkey", F.lit("")).alias("gkey"), "ts").withColumn("shard", F.pmod(F.xxhash64("gkey"), F.lit(shards)).cast("int")).withWatermark("ts", late)
+    return keyed.groupBy("concept_id", "shard").transformWithState(RunningEvidence(rest), EVIDENCE, "Append", "EventTime")
+
+
+def current_evidence(found: DataFrame) -> DataFrame:
+    """Rows ``(concept_id, claims, groups)``: the newest row of each shard, summed; re-run batches repeat a version and change nothing."""
+    newest = found.groupBy("concept_id", "shard").agg(F.max_by(F.struct("claims", "groups"), "version").alias("n"))
+    return newest.groupBy("concept_id").agg(F.sum("n.claims").alias("claims"), F.sum("n.groups").alias("groups"))
+
+
+@contextmanager
+def with_state_store(spark: SparkSession) -> Iterator[None]:
+    """The state store that arbitrary state needs, for the queries started inside."""
+    name, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, store)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
 
 
 def append_once(table: str, key: str) -> Callable[[DataFrame, int], None]:
