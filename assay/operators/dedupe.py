@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from assay import vocab
 from assay.operators.components import connected_components
 from assay.operators.evidence import lookup, step, tier_weight
-from assay.operators.retrieve import nearest
+from assay.operators.retrieve import nearest, similar_vectors
 from assay.scratch import Scratch
 
 
@@ -106,24 +106,42 @@ def best_pairs(pairs: DataFrame, k: int) -> DataFrame:
     return ends.withColumn("place", place).where(F.col("place") <= k).select("a_id", "b_id", "generator").distinct()
 
 
-def candidate_pairs(concepts: DataFrame, scratch: Scratch, *, cosine: float = 0.75, near: int = 20, trigram: float = 0.5, alike: int = 10, siblings: int = 30, rare: int = 50, shared: int = 2, entities: int = 15) -> DataFrame:
+def sibling_pairs(rows: DataFrame, most: int) -> DataFrame:
+    """Pairs of each row ``(id, place)`` with the ``most`` smallest other ids of its place, without forming any other pair.
+
+    The smallest of a place are found in shards first, so no place, however large, is sorted in one task.
+    """
+    rows = rows.where("place is not null").select("id", "place").distinct()
+    near = Window.partitionBy("place", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("id")
+    first = rows.withColumn("n", F.row_number().over(near)).where(F.col("n") <= most + 1)
+    first = first.withColumn("n", F.row_number().over(Window.partitionBy("place").orderBy("id"))).where(F.col("n") <= most + 1).select("place", F.col("id").alias("b"), "n")
+    own = first.select("place", F.col("b").alias("id"), F.col("n").alias("own"))
+    a = rows.join(own, ["place", "id"], "left")
+    # a row among the first itself looks one further
+    pairs = a.join(first, "place").where((F.col("id") != F.col("b")) & (F.col("n") <= most + F.coalesce((F.col("own") <= most).cast("int"), F.lit(0))))
+    return pairs.select(F.least("id", "b").alias("a_id"), F.greatest("id", "b").alias("b_id"), F.lit("taxonomy").alias("generator")).distinct()
+
+
+def candidate_pairs(concepts: DataFrame, scratch: Scratch, *, cosine: float = 0.75, near: int = 20, trigram: float = 0.5, alike: int = 10, siblings: int = 30, rare: int = 50, shared: int = 2, entities: int = 15, index: bool = False) -> DataFrame:
     """Pairs ``(a_id, b_id, generators)`` of concepts ``(id, title, aliases, vector, domain, path, entities)`` that any of six generators finds.
 
     Equal normal titles; a common name among titles and aliases; the ``near`` nearest vectors of ``cosine`` and more; the ``alike``
     titles whose trigrams overlap most; ``siblings`` of one leaf and parent (the smallest ids); and the concepts
     with most common entities, two and more, that at most ``rare`` concepts have. Limits hold for either end of a pair.
+    With ``index`` the nearest vectors come from ``similar_vectors``, for concepts too many to compare each with all.
     """
     none = F.array().cast("array<string>")
     names = F.transform(F.concat(F.array("title"), F.coalesce("aliases", none)), lambda x: F.lower(F.trim(x)))
     title = block_pairs(concepts, F.array(normal_title(F.col("title"))), "title")
     alias = block_pairs(concepts, names, "alias")
     v = concepts.select("id", "vector")
-    found = nearest(v.withColumnRenamed("id", "query"), v, near + 1, cosine).where("query <> id")
+    q = v.withColumnRenamed("id", "query")
+    found = (similar_vectors(q, v, cosine, scratch, k=near + 1) if index else nearest(q, v, near + 1, cosine)).where("query <> id")
     ann = found.select(F.least("query", "id").alias("a_id"), F.greatest("query", "id").alias("b_id"), F.lit("vector").alias("generator")).distinct()
     close = similar_sets(concepts.select("id", trigrams(F.col("title")).alias("items")), scratch, trigram)
     lexical = best_pairs(close.select("a_id", "b_id", F.lit("trigram").alias("generator"), F.col("overlap").alias("score")), alike)
-    place = F.array(F.concat_ws("|", "domain", F.get("path", F.size("path") - 2), F.element_at("path", -1)))
-    taxonomy = best_pairs(block_pairs(concepts.where(F.size("path") > 1), place, "taxonomy").withColumn("score", F.lit(0)), siblings)
+    place = F.concat_ws("|", "domain", F.get("path", F.size("path") - 2), F.element_at("path", -1))
+    taxonomy = sibling_pairs(concepts.where(F.size("path") > 1).select("id", place.alias("place")), siblings)
     one = concepts.select("id", F.explode(F.array_distinct("entities")).alias("key"))
     few = one.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n").between(2, rare)).select("key")
     held = one.join(few, "key")

@@ -278,3 +278,16 @@ def blocking_cascade(spark, sf_dir):
         "array('top', CAST(vec_id % 3 AS STRING), CAST(vec_id % 11 AS STRING)) AS path", "array(concat('e', vec_id % 29), concat('e', vec_id % 31), concat('e', vec_id % 2)) AS entities",
     )
     return dd.candidate_pairs(e, Scratch(spark, "cascade"), rare=100).select("a_id", "b_id", F.array_join("generators", ",").alias("generators"))
+
+
+@query(
+    """WITH q AS (SELECT a.vec_id AS query, list_transform(list_zip(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), lambda p: 0.8e0 * p[1] + 0.6e0 * p[2]) AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)
+    SELECT query, vec_id AS id, round(list_cosine_similarity(v, CAST(embedding AS DOUBLE[])), 6) AS score FROM q JOIN embeddings ON list_cosine_similarity(v, CAST(embedding AS DOUBLE[])) >= 0.75"""
+)
+def indexed_vector_pairs(spark, sf_dir):
+    """Blends of neighbouring vectors against all vectors, by the index: what shares no key is never compared."""
+    from assay.operators.retrieve import similar_vectors
+
+    v = table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "CAST(embedding AS ARRAY<DOUBLE>) AS vector")
+    q = v.join(v.selectExpr("id - 1 AS id", "vector AS other"), "id").selectExpr("id AS query", "zip_with(vector, other, (x, y) -> 0.8e0 * x + 0.6e0 * y) AS vector")
+    return similar_vectors(q, v, 0.75, Scratch(spark, "index"), recall=0.9999).select("query", "id", F.round("score", 6).alias("score"))

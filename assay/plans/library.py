@@ -72,9 +72,7 @@ _HITS = "WITH h AS (SELECT item_id AS query, doc_id AS id FROM benchmark b JOIN
 )
 def retrieval_eval(spark, sf_dir):
     """Lexical search held against the documents that contain the passage."""
-    b = table(spark, sf_dir, "benchmark").selectExpr("item_id AS query", "text AS passage")
-    # every passage against every text, passages in one bounded block of a fixed table
-    gold = table(spark, sf_dir, "documents").join(F.broadcast(b), F.expr("contains(text, passage)")).selectExpr("query", "doc_id AS id")
+    gold = rt.containing(table(spark, sf_dir, "benchmark").selectExpr("item_id AS query", "text AS passage"), table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "text"))
     d = rt.eval_retrieval(_lexical(spark, sf_dir, 20), gold)
     return d.select("queries", *[F.round(c, 6).alias(c) for c in ("recall", "ndcg", "mrr")])
 
