@@ -16,14 +16,27 @@ def walk(starts: DataFrame, edges: DataFrame, *, depth: int = 4, least: float =
 
     The score is the product of strength and confidence along the path; paths at ``least`` or below are pruned at every
     hop, and no node is visited twice, the start included. ``reverse`` walks from objects to subjects.
+    Where starts have a ``context`` and edges ``conditions`` (``context_match``), an edge with a condition known to fail isn't walked, and paths keep their context.
     """
     a, b = ("object_id", "subject_id") if reverse else ("subject_id", "object_id")
-    step = edges.groupBy(F.col(a).alias("node"), F.col(b).alias("next")).agg(F.max(F.col("strength") * F.col("confidence")).alias("w"))
-    front = starts.select("start", F.col("start").alias("node"), F.lit(0).alias("hops"), F.array("start").alias("path"), F.lit(1.0).alias("score"))
+    fits = "context" in starts.columns and "conditions" in edges.columns
+    kept = ["context"] if "context" in starts.columns else []
+    w = F.col("strength") * F.col("confidence")
+    if fits:
+        # an edge per set of conditions: which of them holds depends on the start
+        step = edges.groupBy(F.col(a).alias("node"), F.col(b).alias("next"), "conditions").agg(F.max(w).alias("w"))
+    else:
+        step = edges.groupBy(F.col(a).alias("node"), F.col(b).alias("next")).agg(F.max(w).alias("w"))
+    front = starts.select("start", F.col("start").alias("node"), F.lit(0).alias("hops"), F.array("start").alias("path"), F.lit(1.0).alias("score"), *kept)
     out = None
     for k in range(1, depth + 1):
         front = front.join(step, "node").where(~F.array_contains("path", F.col("next")) & (F.col("score") * F.col("w") > least))
-        front = front.select("start", F.col("next").alias("node"), F.lit(k).alias("hops"), F.concat("path", F.array("next")).alias("path"), (F.col("score") * F.col("w")).alias("score"))
+        if fits:
+            front = front.where(context_match(F.col("conditions"), F.col("context")) > 0)
+        front = front.select("start", F.col("next").alias("node"), F.lit(k).alias("hops"), F.concat("path", F.array("next")).alias("path"), (F.col("score") * F.col("w")).alias("score"), *kept)
+        if fits:
+            # of edges that differ in conditions alone the best that holds
+            front = front.groupBy("start", "node", "hops", "path").agg(F.max("score").alias("score"), F.any_value("context").alias("context"))
         out = front if out is None else out.unionByName(front)
     return out
 
@@ -35,6 +48,35 @@ def diagnose(symptoms: DataFrame, edges: DataFrame, *, predicates: tuple[str, ..
     return paths.groupBy("start", "node").agg((1 - F.product(1 - F.col("score"))).alias("score"), F.count("*").alias("paths"), F.min("hops").alias("hops"), F.max(F.struct("score", "path"))["path"].alias("best_path"))
 
 
+def diagnose_in_context(symptoms: DataFrame, edges: DataFrame, nodes: DataFrame, *, predicates: tuple[str, ...] = ("causes", "affects", "indicates"), least_confidence: float = 0.5, **options) -> DataFrame:
+    """Causes of symptoms ``(start, context)`` and what is ruled out: rows ``(start, node, score, path_confidence, context_match, card_confidence, paths, hops, best_path, ruled_out, violated)``.
+
+    ``nodes(id, conditions, card_confidence)`` says when a cause applies and how sure its card is; a node that it doesn't name applies always and is sure.
+    A path's confidence is the product over its edges of confidence and over the nodes it comes through, the cause included, of theirs; the paths to
+    a cause combine as independent evidence (``path_confidence``). A path's score is the product of strength and confidence, times how far the context meets the cause's
+    conditions, times the card's confidence; scores combine alike. A cause with a condition known to fail has score 0 and is ruled out, with the first
+    such condition as ``variable operator value``. Edges whose own conditions fail aren't walked, weak paths are pruned at every hop, and no more is kept
+    of a path than its nodes and products.
+    """
+    used = edges.where(F.col("predicate").isin(*predicates) & (F.col("confidence") >= least_confidence))
+    paths = walk(symptoms, used, reverse=True, **options)
+    known = nodes.select(F.col("id").alias("node"), "conditions", F.coalesce("card_confidence", F.lit(1.0)).alias("sure"))
+    # confidence along the path, by its steps; each step is one of the few edges walked
+    steps = paths.select("start", "path", F.posexplode(F.zip_with(F.slice("path", F.lit(2), F.size("path") - 1), F.slice("path", F.lit(1), F.size("path") - 1), lambda x, y: F.struct(x.alias("subject_id"), y.alias("object_id")))).alias("at", "e"))
+    best = used.groupBy("subject_id", "object_id").agg(F.max("confidence").alias("c"))
+    steps = steps.select("start", "path", F.col("e.subject_id").alias("subject_id"), F.col("e.object_id").alias("object_id")).join(best, ["subject_id", "object_id"])
+    steps = steps.join(known.select(F.col("node").alias("subject_id"), "sure"), "subject_id", "left")
+    along = steps.groupBy("start", "path").agg(F.product(F.col("c") * F.coalesce("sure", F.lit(1.0))).alias("path_confidence"))
+    d = paths.join(along, ["start", "path"]).join(known, "node", "left").withColumn("match", context_match(F.col("conditions"), F.col("context")))
+    failed = F.try_element_at(F.filter("conditions", lambda c: context_match(F.array(c), F.col("context")) == 0), F.lit(1))
+    d = d.withColumns({"sure": F.coalesce("sure", F.lit(1.0)), "violated": F.concat_ws(" ", failed["variable"], failed["operator"], failed["value"])})
+    total = F.col("score") * F.col("match") * F.col("sure")
+    return d.groupBy("start", "node").agg(
+        (1 - F.product(1 - total)).alias("score"), (1 - F.product(1 - F.col("path_confidence"))).alias("path_confidence"), F.max("match").alias("context_match"), F.max("sure").alias("card_confidence"), F.count("*").alias("paths"),
+        F.min("hops").alias("hops"), F.max(F.struct("score", "path"))["path"].alias("best_path"), (F.max("match") == 0).alias("ruled_out"), F.when(F.max("match") == 0, F.max("violated")).alias("violated"),
+    )
+
+
 def context_match(conditions: Column, context: Column) -> Column:
     """Share of the conditions ``(variable, operator, value)`` that the context map is known to meet; 0 if any is known to fail, 1 without conditions."""
 

@@ -50,6 +50,30 @@ def diagnose(spark, sf_dir):
     return g.diagnose(s, _edges(spark, sf_dir)).select(F.col("start").alias("symptom"), F.col("node").alias("cause"), F.round(F.col("score") + 1e-9, 6).alias("score"), "paths", "hops")
 
 
+@query(
+    f"""WITH RECURSIVE {_EDGES_SQL}, used AS (SELECT *, object_id % 4 AS k, object_id % 30 AS bar FROM edges WHERE predicate = 'causes' AND confidence >= 0.5),
+    n AS (SELECT p_partkey AS id, p_size % 3 AS kind, p_size AS bar, 0.5e0 + p_size / 100e0 AS sure FROM part WHERE p_size % 7 <> 0), best AS (SELECT subject_id, object_id, max(confidence) AS c FROM used GROUP BY ALL),
+    p AS (SELECT p_partkey AS start, p_size * 2 % 61 AS rh, p_partkey AS node, 0 AS hops, [p_partkey] AS path, 1e0 AS score, 1e0 AS sure FROM part WHERE p_partkey % 10 = 0
+      UNION ALL SELECT p.start, p.rh, s.subject_id, p.hops + 1, list_append(p.path, s.subject_id), p.score * max(s.strength * s.confidence), p.sure * any_value(b.c) * any_value(coalesce(n.sure, 1e0)) FROM p JOIN used s ON p.node = s.object_id JOIN best b ON b.subject_id = s.subject_id AND b.object_id = s.object_id LEFT JOIN n ON n.id = s.subject_id
+        WHERE p.hops < 3 AND NOT list_contains(p.path, s.subject_id) AND p.score * s.strength * s.confidence > 0.05 AND (s.k <> 1 OR p.rh > s.bar) GROUP BY p.start, p.rh, p.node, p.hops, p.path, p.score, p.sure, s.subject_id),
+    m AS (SELECT p.*, n.sure AS card, CASE n.kind WHEN 0 THEN CASE WHEN p.rh > n.bar THEN 1e0 ELSE 0e0 END WHEN 1 THEN CASE WHEN p.rh <= n.bar THEN 0.5e0 ELSE 0e0 END ELSE 1e0 END AS fit, n.kind, n.bar FROM p LEFT JOIN n ON n.id = p.node WHERE hops > 0)
+    SELECT start AS symptom, node AS cause, round(1 - product(1 - score * fit * coalesce(card, 1)) + 1e-9, 6) AS score, round(1 - product(1 - sure) + 1e-9, 6) AS path_confidence, max(fit) AS context_match, count(*) AS paths, max(fit) = 0 AS ruled_out,
+      CASE WHEN max(fit) = 0 THEN max(CASE kind WHEN 0 THEN 'rh > ' || bar ELSE 'rh <= ' || bar END) END AS violated FROM m GROUP BY start, node"""
+)
+def diagnose_in_context(spark, sf_dir):
+    """Causes under each symptom's humidity: some apply above a limit, some below (with a second condition that nothing is known of), some always; a quarter of the edges need one too."""
+    part = table(spark, sf_dir, "part")
+    cond = "array<struct<variable:string,operator:string,value:string>>"
+    symptoms = part.where("p_partkey % 10 = 0").selectExpr("p_partkey AS start", "map('rh', CAST(p_size * 2 % 61 AS STRING)) AS context")
+    edges = _edges(spark, sf_dir).selectExpr("*", f"CASE WHEN object_id % 4 = 1 THEN CAST(array(struct('rh', '>', CAST(object_id % 30 AS STRING))) AS {cond}) END AS conditions")
+    nodes = part.where("p_size % 7 <> 0").selectExpr(
+        "p_partkey AS id", "0.5e0 + p_size / 100e0 AS card_confidence",
+        f"CAST(CASE p_size % 3 WHEN 0 THEN array(struct('rh', '>', CAST(p_size AS STRING))) WHEN 1 THEN array(struct('rh', '<=', CAST(p_size AS STRING)), struct('skin', '=', 'oily')) END AS {cond}) AS conditions",
+    )
+    d = g.diagnose_in_context(symptoms, edges, nodes, predicates=("causes",), depth=3)
+    return d.select(F.col("start").alias("symptom"), F.col("node").alias("cause"), F.round(F.col("score") + 1e-9, 6).alias("score"), F.round(F.col("path_confidence") + 1e-9, 6).alias("path_confidence"), "context_match", "paths", "ruled_out", "violated")
+
+
 @query(
     f"""WITH RECURSIVE {_EDGES_SQL}, step AS (SELECT subject_id AS node, object_id AS nxt, max(strength * confidence) AS w FROM edges WHERE predicate = 'causes' GROUP BY ALL),
     p AS (SELECT p_partkey AS start, p_partkey AS node, 0 AS hops, [p_partkey] AS path, 1e0 AS score FROM part
