@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from assay.llm.textkit import short_batches
 from assay.llm.tokens import encoder
 
 _BLOCKS = "shard int, block int, first_id long, last_id long, local_start long, n_ids long, bits int, doc_ids array<long>, counts array<long>, payload binary"
@@ -57,7 +58,7 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_ids:
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], list(row))
 
-    for batch in batches:
+    for batch in short_batches(batches, lambda b: b.column(2)):
         shards = batch.column(0)
         for k, ids in enumerate(enc.encode(batch.column(2).to_pylist())):
             shard = shards[k].as_py()

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from assay.llm.textkit import U64, mix, slices
+from assay.llm.textkit import U64, mix, short_batches, slices
 
 #: Families of common languages, by ISO 639-1 code. A language not listed is a family of its own.
 FAMILIES = {
@@ -173,7 +173,7 @@ def _judge(texts: list[str | None], spoken: pa.Array, model: Model | None) -> tu
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in short_batches(batches, lambda b: b.column("text")):
         lang, score = _judge(batch.column("text").to_pylist(), batch.column("spoken"), model)
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("out"), pa.array(lang.tolist(), pa.string()), pa.array(score)], ["id", "held_out", "lang_pred", "score"])
 
@@ -220,7 +220,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
 
 def _keep(batches: Iterator[pa.RecordBatch], model: Model | None, place: int, least: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in short_batches(batches, lambda b: b.column("row").field(place)):
         lang, score = _judge(batch.column("row").field(place).to_pylist(), batch.column("spoken"), model)
         kept = batch.filter(pa.array((lang != "und") & (score >= least)))
         yield kept.select(["row"])

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from assay.llm.textkit import U64, forest, mix, shingles, slices
+from assay.llm.textkit import U64, forest, mix, shingles, short_batches, slices
 from assay.operators.components import connected_components
 from assay.scratch import Scratch
 
@@ -34,7 +34,7 @@ _SAMPLE, _HOT, _MOST_HOT = 64, 32, 100_000
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in short_batches(batches):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         for lo, hi in slices([len(t or "") for t in texts]):
             sets = shingles(texts[lo:hi], width)
@@ -47,7 +47,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int, groups: int, half
     n_hash = 2 * groups * half
     factors = np.random.default_rng(1913).integers(1, 2**63, n_hash, dtype=np.uint64) * U64(2) + U64(1)
     lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel().view(np.int64)))
-    for batch in batches:
+    for batch in short_batches(batches):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         for lo, hi in slices([len(t or "") for t in texts]):
             sets = shingles(texts[lo:hi], width)

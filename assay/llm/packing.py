@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from assay.llm.textkit import short_batches
 from assay.llm.tokens import encoder
 from assay.scratch import Scratch
 
@@ -19,7 +20,7 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     enc, tail = encoder(path), np.array([end_id], "<u4").tobytes()
-    for batch in batches:
+    for batch in short_batches(batches):
         at, piece, start, length, crc, data = [], [], [], [], [], []
         for k, ids in enumerate(enc.encode(batch.column(1).to_pylist())):
             ids += tail

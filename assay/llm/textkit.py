@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240607)
@@ -98,6 +102,13 @@ def slices(lengths: list[int], most: int = 1_000_000):
         yield lo, len(lengths)
 
 
+def short_batches(batches: Iterator[pa.RecordBatch], texts: Callable[[pa.RecordBatch], pa.Array] = lambda b: b.column(1), most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts add up to about ``most`` bytes, so that what a task makes of them at a time is bounded."""
+    for batch in batches:
+        for lo, hi in slices(pc.fill_null(pc.binary_length(texts(batch)), 0).to_pylist(), most):
+            yield batch.slice(lo, hi - lo)
+
+
 def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """For each of ``ids`` the smallest id it reaches over the links (i[k], j[k]) of positions."""
     order = np.argsort(ids, kind="stable")

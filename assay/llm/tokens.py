@@ -14,7 +14,7 @@ from assay.llm.textkit import slices
 #: A word whose pre-tokens can be told by sight: letters that keep their number under NFC and lower-casing, then signs.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 #: Words remembered per Python worker; beyond that, new words are encoded whenever they come.
-_MOST_WORDS = 900_000
+_MOST_WORDS = 600_000
 
 
 #: Words of every make, by which a tokenizer shows what it does with words and their parts.
