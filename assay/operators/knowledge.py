@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from assay import vocab
 from assay.operators.components import connected_components
 from assay.operators.evidence import lookup
-from assay.operators.retrieve import nearest, within
+from assay.operators.dedupe import jaccard, tokens
+from assay.operators.retrieve import nearest, pair_cosines, within
 from assay.scratch import Scratch
 
 VERDICTS = ("correct", "type_wrong", "tier_wrong", "scope_wrong", "not_a_claim", "fabricated")
@@ -39,6 +40,33 @@ def write_evidence(df: DataFrame, path: str, key: str = "source_id", buckets: in
     df.withColumn("source_bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).repartition("source_bucket").write.partitionBy("source_bucket").mode("append").parquet(path)
 
 
+def bucket_evidence(df: DataFrame, table: str, key: str = "source_id", buckets: int = 64) -> None:
+    """A table in buckets of the source, sorted by it: two such tables join by it without moving a row, and one source's rows lie in one bucket."""
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
+
+
+def source_evidence(spark: SparkSession, table: str, source, key: str = "source_id") -> DataFrame:
+    """One source's rows of a table of ``bucket_evidence``; only its bucket is read."""
+    return spark.table(table).where(F.col(key) == F.lit(source))
+
+
+def independence_signals(attributions: DataFrame, echoes: DataFrame, bursts: DataFrame, brands: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of creators that don't speak independently, each pair once with the kinds of signal that say so.
+
+    Attributions ``(creator_id, from_creator)``; echoes and bursts ``(a, b)``; brands ``(creator_id, brand)``, of which all with one brand are linked through the smallest of them.
+    """
+    first = brands.where("brand is not null").groupBy("brand").agg(F.min("creator_id").alias("a"))
+    kinds = {
+        "attribution": attributions.select(F.col("creator_id").alias("a"), F.col("from_creator").alias("b")), "echo": echoes.select("a", "b"), "burst": bursts.select("a", "b"),
+        "brand": brands.join(first, "brand").select("a", F.col("creator_id").alias("b")),
+    }
+    every = None
+    for kind, d in kinds.items():
+        d = d.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(kind).alias("kind"))
+        every = d if every is None else every.unionByName(d)
+    return every.groupBy("a", "b").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
+
+
 def link_mentions(mentions: DataFrame, entities: DataFrame, least: float = 0.88) -> DataFrame:
     """Entity of each mention ``(id, alias, vector)``: by equal alias, else the nearest vector of ``least`` and more, else none.
 
@@ -64,6 +92,39 @@ def resolve_claims(candidates: DataFrame) -> DataFrame:
     return d.select("claim_id", F.when(what != "new", F.col("concept_id")).alias("concept_id"), "score", what.alias("decision"))
 
 
+def resolution_candidates(claims: DataFrame, concepts: DataFrame, *, near: int = 15, siblings: int = 30) -> DataFrame:
+    """Concepts that each claim may belong to, with their features for ``resolve_claims``: rows ``(claim_id, concept_id, by, cosine, entities, predicate, taxonomy, title)``.
+
+    ``claims(claim_id, subject, statement, domain, predicate, entities, vector)``, ``concepts(concept_id, title, aliases, domain, predicates, entities, vector)``. A concept is a candidate by one of
+    its vector's nearness (the ``near`` nearest), its title or an alias that equals the claim's subject, or its place, as one of the ``siblings`` smallest ids of the claim's domain; ``by`` lists which.
+    The cosine is that of the vectors however it was found, and 0 without both.
+    """
+    norm = lambda c: F.lower(F.trim(c))
+    q, v = claims.select(F.col("claim_id").alias("query"), "vector"), concepts.select(F.col("concept_id").alias("id"), "vector")
+    names = concepts.select(F.col("concept_id").alias("id"), F.explode(F.concat(F.array("title"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name")).select("id", norm("name").alias("name")).distinct()
+    alias = claims.select(F.col("claim_id").alias("query"), norm("subject").alias("name")).join(names, "name").select("query", "id")
+    shelf = Window.partitionBy("domain", F.pmod(F.xxhash64("concept_id"), F.lit(64))).orderBy("concept_id")
+    few = concepts.select("domain", "concept_id", F.row_number().over(shelf).alias("n")).where(F.col("n") <= siblings)
+    few = few.withColumn("n", F.row_number().over(Window.partitionBy("domain").orderBy("concept_id"))).where(F.col("n") <= siblings)
+    place = claims.select(F.col("claim_id").alias("query"), "domain").join(few, "domain").select("query", F.col("concept_id").alias("id"))
+    found = {"vector": nearest(q, v, near).select("query", "id"), "alias": alias, "sibling": place}
+    every = None
+    for how, d in found.items():
+        d = d.withColumn("by", F.lit(how))
+        every = d if every is None else every.unionByName(d)
+    pairs = every.groupBy("query", "id").agg(F.array_sort(F.collect_set("by")).alias("by"))
+    scored = pairs.join(pair_cosines(pairs, q, v), ["query", "id"], "left")
+    a = claims.select(F.col("claim_id").alias("query"), F.col("domain").alias("a_domain"), F.col("predicate").alias("a_predicate"), F.col("entities").alias("a_entities"), tokens(F.col("statement")).alias("a_words"))
+    b = concepts.select(F.col("concept_id").alias("id"), F.col("domain").alias("b_domain"), "predicates", F.col("entities").alias("b_entities"), tokens(F.col("title")).alias("b_words"))
+    d = scored.join(a, "query").join(b, "id")
+    one = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
+    overlap = F.when(F.size("b_words") > 0, F.size(F.array_intersect("a_words", "b_words")) / F.size("b_words")).otherwise(0.0)
+    return d.select(
+        F.col("query").alias("claim_id"), F.col("id").alias("concept_id"), "by", F.greatest(F.lit(0.0), F.coalesce("score", F.lit(0.0))).alias("cosine"), one(jaccard(F.col("a_entities"), F.col("b_entities"))).alias("entities"),
+        one(F.array_contains("predicates", F.col("a_predicate"))).alias("predicate"), one(F.col("a_domain") == F.col("b_domain")).alias("taxonomy"), overlap.alias("title"),
+    )
+
+
 def compatible(edges: DataFrame, allowed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges whose types their predicate allows, and the others; ``allowed(predicate, subject_type, object_type)``, null for any."""
     a = F.broadcast(allowed)  # a fixed vocabulary
@@ -82,9 +143,17 @@ def with_opposition(results: DataFrame, contradictions: DataFrame) -> DataFrame:
 def recommend(contexts: DataFrame, ranges: DataFrame, edges: DataFrame) -> DataFrame:
     """Entities whose range holds the context's value and that nothing in the context rules out, by the sum of strength times confidence.
 
-    ``contexts(context_id, value, condition)``, ``ranges(entity_id, lo, hi)``, ``edges(entity_id, predicate, target, strength, confidence)``.
+    ``contexts(context_id, value, condition)``, ``ranges(entity_id, lo, hi)``, ``edges(entity_id, predicate, target, strength, confidence)``. Where contexts say what
+    is in ``use`` there (null for nothing), an entity must not be ``incompatible_with`` it, and must be ``compatible_with`` it if it names anything that it is compatible with.
     """
-    fit = within(contexts, ranges).select("context_id", "condition", "entity_id")
+    uses = "use" in contexts.columns
+    fit = within(contexts, ranges).select("context_id", "condition", "entity_id", *(["use"] if uses else []))
+    if uses:
+        pairs = lambda p, c: edges.where(F.col("predicate") == p).select("entity_id", F.col("target").alias(c)).distinct()
+        choosy = edges.where("predicate = 'compatible_with'").select("entity_id", F.lit(True).alias("choosy")).distinct()
+        fit = fit.join(pairs("incompatible_with", "use"), ["entity_id", "use"], "left_anti")
+        fit = fit.join(choosy, "entity_id", "left").join(pairs("compatible_with", "use").withColumn("agrees", F.lit(True)), ["entity_id", "use"], "left")
+        fit = fit.where(F.col("use").isNull() | F.col("choosy").isNull() | F.col("agrees")).drop("use", "choosy", "agrees")
     bad = edges.where("predicate = 'contraindicated_with'").select("entity_id", F.col("target").alias("condition"))
     fit = fit.join(bad, ["entity_id", "condition"], "left_anti")
     good = edges.where("predicate = 'suitable_for'")
@@ -163,6 +232,53 @@ def apply_adjudication(pairs: DataFrame, least: float = 0.7) -> DataFrame:
     return pairs.withColumn("outcome", F.when(F.col("certainty") < least, "review").otherwise(F.coalesce(F.try_element_at(table, F.col("verdict")), F.lit("review"))))
 
 
+def adjudicated(pairs: DataFrame, concepts: DataFrame, least: float = 0.7) -> dict[str, DataFrame]:
+    """Judged pairs carried out, by outcome: ``merge`` (a_id, b_id), ``relations`` (subject_id, predicate, object_id) of variants and newer versions, ``contradictions`` (contradiction_id, a_id, b_id), ``versions`` (id, version) and ``review``.
+
+    ``pairs(a_id, b_id, verdict, certainty)``, b the newer; ``concepts(id, version)``. Pairs less certain than ``least``, and unknown verdicts, go to review and change nothing; distinct ones stay as they are.
+    """
+    d = apply_adjudication(pairs, least)
+    of = lambda outcome: d.where(F.col("outcome") == outcome)
+    edge = lambda rows, p: rows.select(F.col("b_id").alias("subject_id"), F.lit(p).alias("predicate"), F.col("a_id").alias("object_id"))
+    low, high = F.least("a_id", "b_id"), F.greatest("a_id", "b_id")
+    key = F.concat(F.lit("ctr_"), F.substring(F.sha2(F.concat_ws("\u001f", low.cast("string"), high.cast("string")), 256), 1, 12))
+    bumped = of("version").groupBy(F.col("a_id").alias("id")).agg(F.count("*").alias("newer"))
+    return {
+        "merge": of("merge").select("a_id", "b_id"), "relations": edge(of("subclass_of"), "subclass_of").unionByName(edge(of("version"), "supersedes")), "contradictions": of("contradiction").select(key.alias("contradiction_id"), low.alias("a_id"), high.alias("b_id")).distinct(),
+        "versions": concepts.join(bumped, "id").select("id", (F.col("version") + F.col("newer")).alias("version")), "review": of("review").select("a_id", "b_id", "verdict", "certainty"),
+    }
+
+
+def entity_promotions(mentions: DataFrame, least: int = 3) -> DataFrame:
+    """Unlinked mentions ``(entity, entity_type, source_id)`` by name and type: how many, from how many sources, and what becomes of them.
+
+    From ``least`` sources on a product, brand, condition or chemical is promoted, anything else is reviewed; below that a name is held.
+    """
+    d = mentions.groupBy("entity", "entity_type").agg(F.count("*").alias("mentions"), F.count_distinct("source_id").alias("sources"))
+    what = F.when(F.col("sources") < least, "hold").when(F.col("entity_type").isin(*vocab.AUTO_PROMOTED), "promote").otherwise("review")
+    return d.withColumn("action", what)
+
+
+def escalations(contradictions: DataFrame, cards: DataFrame, merges: DataFrame, pairs: DataFrame, entities: DataFrame, concepts: DataFrame) -> DataFrame:
+    """Review tasks ``(object_id, priority, triggers)`` from all eight triggers, the most urgent of an object first.
+
+    ``contradictions(id, risk_tier, weight_a, weight_b, n_a, n_b)``; ``cards(id, risk_tier, published_before, confidence, confidence_before)``; ``merges(id, claims)``; ``pairs(id, certainty)``;
+    ``entities(id, sources)``; ``concepts(id, claims, has_card)``. Ids are strings.
+    """
+    c = F.col
+    balanced = (F.abs(c("weight_a") - c("weight_b")) <= 0.15) & (c("n_a") > 5) & (c("n_b") > 5)
+    rules = [
+        (contradictions, c("risk_tier") >= 3, "P0", "contradiction_at_risk"), (cards, (c("risk_tier") >= 3) & ~c("published_before"), "P0", "first_publication_at_risk"),
+        (merges, c("claims") > 50, "P1", "large_merge"), (pairs, c("certainty") < 0.7, "P1", "uncertain_verdict"), (contradictions, balanced, "P1", "balanced_contradiction"),
+        (entities, c("sources") >= 3, "P2", "entity_candidate"), (cards, c("confidence_before") - c("confidence") > 0.15, "P2", "confidence_drop"), (concepts, (c("claims") > 40) & ~c("has_card"), "P2", "concept_without_card"),
+    ]
+    every = None
+    for rows, when, priority, trigger in rules:
+        d = rows.where(when).select("id", F.lit(priority).alias("priority"), F.lit(trigger).alias("trigger"))
+        every = d if every is None else every.unionByName(d)
+    return every.groupBy(c("id").alias("object_id")).agg(F.min("priority").alias("priority"), F.array_sort(F.collect_set("trigger")).alias("triggers"))
+
+
 def independence_groups(creators: DataFrame, signals: DataFrame, scratch: Scratch) -> DataFrame:
     """Creators ``(creator_id)`` grouped by any chain of signals ``(a, b)`` of shared origin; one without signals is its own group."""
     parts = connected_components(signals, scratch)

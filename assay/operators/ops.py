@@ -80,6 +80,44 @@ def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
     return average_ranks(average_ranks(rows, a), b).agg(F.count("*").alias("n"), F.corr(f"{a}_rank", f"{b}_rank").alias("spearman"))
 
 
+def endorsement(rows: DataFrame, bands: list[tuple[str, float]], agree: float = 0.5) -> DataFrame:
+    """Per band of confidence ``(name, least)`` the cards of ``(confidence, consensus)``, the share that experts endorse, and the mean consensus; cards without consensus aren't counted."""
+    band = F.coalesce(*[F.when(F.col("confidence") >= least, name) for name, least in sorted(bands, key=lambda b: -b[1])], F.lit("none"))
+    d = rows.where("consensus is not null").groupBy(band.alias("band"))
+    return d.agg(F.count("*").alias("cards"), F.avg((F.col("consensus") >= agree).cast("double")).alias("endorsed"), F.avg("consensus").alias("mean_consensus"))
+
+
+def track_record(claims: DataFrame, strong: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Per creator of ``claims(creator_id, claim_id, concept_id)``: claims, those on concepts of ``strong(concept_id)``, those on the losing side of a resolved contradiction, and the record that starts at a half.
+
+    ``resolved(claim_id, lost)`` lists the claims of both sides of contradictions that have been resolved; open ones cost nobody anything.
+    """
+    d = claims.join(strong.select("concept_id", F.lit(1).alias("carried")).distinct(), "concept_id", "left").join(resolved.where("lost").select("claim_id", F.lit(1).alias("lost")).distinct(), "claim_id", "left")
+    n = F.count("*")
+    return d.groupBy("creator_id").agg(n.alias("claims"), F.count("carried").alias("corroborated"), F.count("lost").alias("lost"), (0.5 + 0.5 * F.count("carried") / n - 0.5 * F.count("lost") / n).alias("track_record"))
+
+
+def shelves(cards: DataFrame, most: int = 25, thin: float = 3.0) -> DataFrame:
+    """Per domain and subcategory of ``cards(domain, subcategory, groups)``: cards, whether an unsorted shelf overflows, the mean of independent groups over the domain, and whether that is thin.
+
+    Cards without a subcategory are on the shelf ``_unsorted``.
+    """
+    shelf = cards.groupBy("domain", F.coalesce("subcategory", F.lit("_unsorted")).alias("shelf")).agg(F.count("*").alias("cards"), F.sum("groups").alias("groups"))
+    mean = shelf.groupBy("domain").agg((F.sum("groups") / F.sum("cards")).alias("mean_groups"))
+    d = shelf.join(mean, "domain")
+    return d.select("domain", "shelf", "cards", ((F.col("shelf") == "_unsorted") & (F.col("cards") > most)).alias("overflow"), "mean_groups", (F.col("mean_groups") < thin).alias("thin"))
+
+
+def distinct_sketches(rows: DataFrame, by: list[str], value: str, bits: int = 14) -> DataFrame:
+    """A mergeable sketch of the distinct values per key; ``distinct_estimates`` reads and unites them. Nulls don't count."""
+    return rows.groupBy(*by).agg(F.hll_sketch_agg(F.col(value), bits).alias("sketch"), F.count(value).alias("rows"))
+
+
+def distinct_estimates(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct values per coarser key, from sketches alone: within about 1.04 / sqrt(2 ** bits) of the truth (0.8 % at 14 bits) in two of three cases."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"), F.sum("rows").alias("rows"))
+
+
 def drift(scores: DataFrame, alert: float = 0.05) -> DataFrame:
     """Mean score per domain and period with its change from the period before."""
     d = scores.groupBy("domain", "period").agg(F.avg("score").alias("mean"))
@@ -111,6 +149,66 @@ def bursts(events: DataFrame, key: str, time: str, seconds: int, least: int) ->
     return events.withColumn("recent", F.count("*").over(w)).where(F.col("recent") >= least)
 
 
+def echo_bursts(claims: DataFrame, reach: float, days: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """Bursts, and the links ``(a, b)`` between creators that they tell of.
+
+    A burst is a claim ``(phrase, claim_id, creator_id, reach, at)`` of a creator with ``reach`` and more after which, within ``days``, at least
+    ``least`` other creators say the same phrase. Rows ``(phrase, seed_id, seed_creator, at, followers)``; each follower is linked with the creator of the seed. Claims meet seeds in bins of time, so a phrase that
+    everybody says isn't one task's. Claims without phrase, creator or time take no part.
+    """
+    span = days * 86_400
+    c = claims.where("phrase is not null and creator_id is not null and at is not null").select("phrase", "claim_id", "creator_id", "reach", F.col("at").cast("timestamp").cast("long").alias("t"))
+    bin_of = F.floor(F.col("t") / span)
+    seeds = c.where(F.col("reach") >= reach).select("phrase", F.col("claim_id").alias("seed_id"), F.col("creator_id").alias("seed_creator"), F.col("t").alias("seed_t"), F.explode(F.array(bin_of, bin_of + 1)).alias("bin"))
+    near = c.select("phrase", "creator_id", "t", bin_of.alias("bin")).distinct()
+    after = near.join(seeds, ["phrase", "bin"]).where((F.col("t") - F.col("seed_t")).between(0, span) & (F.col("creator_id") != F.col("seed_creator")))
+    after = after.groupBy("phrase", "seed_id", "seed_creator", "seed_t", "creator_id").agg(F.count("*").alias("n"))
+    bursts_ = after.groupBy("phrase", "seed_id", "seed_creator", "seed_t").agg(F.count("*").alias("followers")).where(F.col("followers") >= least)
+    links = after.join(bursts_.select("seed_id"), "seed_id", "left_semi").select(F.least("seed_creator", "creator_id").alias("a"), F.greatest("seed_creator", "creator_id").alias("b")).distinct()
+    return bursts_.select("phrase", "seed_id", "seed_creator", F.timestamp_seconds("seed_t").alias("at"), "followers"), links
+
+
+def fingerprint(rows: DataFrame, key: str, path: str, *, buckets: int = 256, leaves: int = 64) -> None:
+    """Rows stored by a hash of their key, with checksums that don't depend on their order: of each bucket, and of each of its leaves.
+
+    A checksum is a count and the sums of two hashes of whole rows, so rows that repeat count as often as they stand. Columns count in the order of their names.
+    """
+    named = rows.select(*sorted(rows.columns))
+    value = F.to_json(F.struct(*named.columns), {"ignoreNullFields": "false"})
+    spot = F.pmod(F.xxhash64(key), F.lit(buckets * leaves))
+    d = named.withColumns({"__bucket": F.floor(spot / leaves).cast("int"), "__leaf": (spot % leaves).cast("int"), "__h1": F.xxhash64(value), "__h2": F.xxhash64(F.lit(1), value)})
+    d.repartition("__bucket").sortWithinPartitions("__bucket", "__leaf").write.partitionBy("__bucket").parquet(f"{path}/rows")
+    stored = rows.sparkSession.read.parquet(f"{path}/rows")
+    # sums of decimals, which don't overflow
+    sums = [F.count("*").alias("n"), *[F.sum(F.col(h).cast("decimal(20,0)")).alias(h) for h in ("__h1", "__h2")]]
+    leaf = stored.groupBy("__bucket", "__leaf").agg(*sums)
+    leaf.repartition(1, "__bucket").sortWithinPartitions("__bucket").write.parquet(f"{path}/leaves")  # at most buckets times leaves rows
+    made = rows.sparkSession.read.parquet(f"{path}/leaves").groupBy("__bucket").agg(F.sum("n").alias("n"), F.sum("__h1").alias("__h1"), F.sum("__h2").alias("__h2"))
+    made.coalesce(1).write.parquet(f"{path}/buckets")
+
+
+def differing(spark, a: str, b: str) -> tuple[DataFrame, list[int]]:
+    """Rows of one of two fingerprinted states only, with the side and how often more they stand there; and the buckets that were read.
+
+    Checksums of buckets are compared first, of their leaves only where those differ, and rows are read from differing buckets and compared in differing leaves alone.
+    """
+    read = lambda path, what: spark.read.parquet(f"{path}/{what}")
+    total = ["n", "__h1", "__h2"]
+
+    def apart(what: str, keys: list[str], among: list[int] | None = None) -> DataFrame:
+        x, y = (read(p, what) if among is None else read(p, what).where(F.col("__bucket").isin(among)) for p in (a, b))
+        other = y.select(*keys, *[F.col(c).alias(f"o_{c}") for c in total])
+        same = F.lit(True)
+        for c in total:
+            same = same & F.col(c).eqNullSafe(F.col(f"o_{c}"))
+        return x.join(other, keys, "full").where(~same).select(*keys)
+
+    buckets = sorted(r[0] for r in apart("buckets", ["__bucket"]).collect())
+    leaves = F.broadcast(apart("leaves", ["__bucket", "__leaf"], buckets))  # at most as many as there are leaves
+    side = lambda path: read(path, "rows").where(F.col("__bucket").isin(buckets)).join(leaves, ["__bucket", "__leaf"], "left_semi").drop("__bucket", "__leaf", "__h1", "__h2")
+    return set_difference(side(a), side(b)), buckets
+
+
 def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of one side only, with the side; empty where both hold the same rows the same number of times."""
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
