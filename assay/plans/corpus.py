@@ -82,7 +82,7 @@ _QUOTED = r"list_filter(string_split_regex(text, '[ \t\n\r\f\x0B]+'), lambda x:
 
 @query(
     f"""WITH d AS (SELECT doc_id, {_QUOTED} AS w FROM documents)
-    SELECT doc_id, CASE WHEN len(w) < 16 THEN 'none' WHEN doc_id % 4 = 1 THEN 'quote_paraphrased' WHEN doc_id % 4 = 2 THEN 'quote_not_found' ELSE 'none' END AS code FROM d"""
+    SELECT doc_id, CASE WHEN len(w) < 16 THEN 'none' WHEN doc_id % 4 = 1 THEN CASE WHEN contains(array_to_string(w, ' '), array_to_string(list_concat(w[1:7], w[9:16]), ' ')) THEN 'none' ELSE 'quote_paraphrased' END WHEN doc_id % 4 = 2 THEN 'quote_not_found' ELSE 'none' END AS code FROM d"""
 )
 def rewritten_quotes(spark, sf_dir):
     """Quotes of each text's first words: as they stand, with a word left out, or with words that it doesn't have; rewritten and invented ones are told apart."""
@@ -156,7 +156,7 @@ def recommendations_in_use(spark, sf_dir):
 
 @query(
     f"""WITH {star_sql("claims", "concepts")}, m AS (SELECT 'e' || (speaker_id % 50) AS entity, CASE speaker_id % 5 WHEN 0 THEN 'product' WHEN 1 THEN 'person' WHEN 2 THEN 'chemical' WHEN 3 THEN 'myth' ELSE 'brand' END AS entity_type, CASE WHEN line = 1 THEN source_id ELSE source_id % 2 END AS source_id FROM claims)
-    SELECT entity, entity_type, count(*) AS mentions, count(DISTINCT source_id) AS sources, CASE WHEN count(DISTINCT source_id) < 40 THEN 'hold' WHEN entity_type IN ('product', 'brand', 'condition', 'chemical') THEN 'promote' ELSE 'review' END AS action FROM m GROUP BY ALL"""
+    SELECT entity, entity_type, count(*) AS mentions, count(DISTINCT source_id) AS sources, CASE WHEN count(DISTINCT source_id) < 40 THEN 'hold' WHEN entity_type IN ('product', 'brand', 'condition', 'chemical') THEN 'promote' ELSE 'review' END AS action FROM m GROUP BY entity, entity_type"""
 )
 def entity_promotions(spark, sf_dir):
     m = star(spark, sf_dir, "claims").selectExpr("concat('e', speaker_id % 50) AS entity", "CASE speaker_id % 5 WHEN 0 THEN 'product' WHEN 1 THEN 'person' WHEN 2 THEN 'chemical' WHEN 3 THEN 'myth' ELSE 'brand' END AS entity_type", "CASE WHEN line = 1 THEN source_id ELSE source_id % 2 END AS source_id")
@@ -167,8 +167,8 @@ _LOST = "CASE WHEN concept_id % 3 = 0 THEN stance = 'contradicts' ELSE stance =
 
 
 @query(
-    f"""WITH {star_sql("claims", "sources")}, f AS (SELECT c.*, s.creator_id FROM claims c JOIN sources s USING (source_id)), h AS (SELECT DISTINCT concept_id FROM claims WHERE evidence_tier = 'peer_reviewed'),
-    r AS (SELECT *, concept_id % 7 = 0 AND stance IN ('supports', 'contradicts') AND {_LOST} AS lost, concept_id IN (FROM h) AS carried FROM f)
+    f"""WITH {star_sql("claims", "sources")}, f AS (SELECT c.*, s.creator_id, c.source_id || '-' || c.line AS claim_id FROM claims c JOIN sources s USING (source_id)), h AS (SELECT DISTINCT concept_id FROM claims WHERE evidence_tier = 'peer_reviewed'),
+    l AS (SELECT claim_id FROM f WHERE concept_id % 7 = 0 AND stance IN ('supports', 'contradicts') AND {_LOST}), r AS (SELECT *, claim_id IN (FROM l) AS lost, concept_id IN (FROM h) AS carried FROM f)
     SELECT creator_id, count(*) AS claims, count(*) FILTER (carried) AS corroborated, count(*) FILTER (lost) AS lost, round(0.5e0 + 0.5e0 * count(*) FILTER (carried) / count(*) - 0.5e0 * count(*) FILTER (lost) / count(*) + 1e-9, 6) AS track_record FROM r GROUP BY creator_id"""
 )
 def resolved_track_record(spark, sf_dir):
