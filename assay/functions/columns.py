@@ -46,6 +46,19 @@ def diameter_mm(text: Column) -> Column:
     return F.when(t != "", F.concat(F.lit("0."), F.regexp_extract(t, r"(\d{2})$", 1)).cast("double"))
 
 
+def curl_shape(text: Column) -> Column:
+    """The letters of a curl, with or without the word curl, "l plus" as L+; null for anything else."""
+    name = F.regexp_replace(F.regexp_replace(F.upper(F.trim(text)), r"\s+CURL$", ""), r"^L\s+PLUS$", "L+")
+    return F.when(name.isin(*vocab.CURLS), name)
+
+
+def fan_systems(text: Column) -> Column:
+    """The systems that a fan of so many extensions (3D) belongs to, in the order of the vocabulary; none for anything else."""
+    fan = F.regexp_extract(F.upper(F.trim(text)), r"^(\d{1,2}D)$", 1)
+    systems = F.array(*[F.when(fan.isin(*fans), F.lit(system)) for system, fans in vocab.FAN_SYSTEMS.items()])
+    return F.array_compact(systems)
+
+
 def celsius(value: Column, unit: Column) -> Column:
     return F.when(unit == "°F", (value - 32) * 5 / 9).otherwise(value)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assay.scratch import Scratch
@@ -360,8 +362,23 @@ def first_paths(pairs: DataFrame, edges: DataFrame, depth: int = 4, scratch: Scr
     return d.select(F.col("start").alias("a"), F.col("node").alias("b"), "hops", "path")
 
 
-def betweenness(edges: DataFrame, pivots: DataFrame, scratch: Scratch, most: int = 20) -> DataFrame:
-    """Rows ``(id, score)``: how many shortest paths from the pivots ``(pivot)`` run through a node, each path's share counted; up to ``most`` hops.
+def sampled_betweenness(edges: DataFrame, scratch: Scratch, *, error: float = 0.1, doubt: float = 0.1) -> DataFrame:
+    """Rows ``(id, score, bound)``: betweenness of every node that lies on a shortest path between others, from as many pivots as the bound asks for.
+
+    With probability 1 - ``doubt`` no score is off by more than ``bound``, which is ``error`` times n (n - 2) for n nodes: ln(2 n / doubt) / (2 error ** 2) pivots
+    suffice, since what a pivot adds lies between 0 and n - 2. Pivots are those of smallest hash; their scores are scaled to all nodes. Where that many
+    are all nodes, scores are exact and the bound is 0. Paths of any length count.
+    """
+    ends = scratch.save(edges.where("subject_id <> object_id").select(F.explode(F.array("subject_id", "object_id")).alias("id")).distinct(), "nodes")
+    n = ends.count()
+    k = min(n, math.ceil(math.log(2 * max(n, 1) / doubt) / (2 * error**2)))
+    pivots = ends.orderBy(F.xxhash64("id"), "id").limit(k).select(F.col("id").alias("pivot"))
+    found = betweenness(edges, scratch.save(pivots, "pivots"), scratch, None)
+    return found.select("id", (F.col("score") * (n / max(1, k))).alias("score"), F.lit(0.0 if k == n else error * n * (n - 2)).alias("bound"))
+
+
+def betweenness(edges: DataFrame, pivots: DataFrame, scratch: Scratch, most: int | None = 20) -> DataFrame:
+    """Rows ``(id, score)``: how many shortest paths from the pivots ``(pivot)`` run through a node, each path's share counted; up to ``most`` hops (None: any number).
 
     With all nodes as pivots it is exact; with a sample it is an estimate, to be scaled by the share of pivots.
     Paths are counted level by level outwards and their shares gathered level by level back.
@@ -369,7 +386,7 @@ def betweenness(edges: DataFrame, pivots: DataFrame, scratch: Scratch, most: int
     e = scratch.save(edges.select(F.col("subject_id").alias("v"), F.col("object_id").alias("w")).where("v != w").distinct(), "edges")
     level = scratch.save(pivots.select("pivot", F.col("pivot").alias("id"), F.lit(1.0).alias("paths")), "level0")
     levels, seen = [level], level.select("pivot", "id")
-    while len(levels) <= most:
+    while most is None or len(levels) <= most:
         step = level.join(e, level["id"] == e["v"]).groupBy("pivot", F.col("w").alias("id")).agg(F.sum("paths").alias("paths"))
         level = scratch.save(step.join(seen, ["pivot", "id"], "left_anti"), f"level{len(levels)}")
         if level.isEmpty():

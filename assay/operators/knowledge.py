@@ -35,6 +35,27 @@ def parse_outputs(lines: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     return d.where("reason is null").select("chunk_id", "o.*").drop("_corrupt_record"), d.where("reason is not null").select("chunk_id", "reason")
 
 
+def claim_lines(claims: DataFrame) -> DataFrame:
+    """Validated claims as the flat rows that JSON lines keep: ids and times, the codes of findings, repairs, and the payload's own fields beside them.
+
+    ``claims(id, source_id, chunk_id, chunk_sequence, speaker, t_start, t_end, prompt_version, findings, repairs, payload)``. A field of the payload named like one of the others
+    takes its place, as the later of two equal keys does.
+    """
+    own = {f.name: F.col(f"payload.{f.name}") for f in claims.schema["payload"].dataType.fields}
+    fixed = {c: F.col(c) for c in ("id", "source_id", "chunk_id", "chunk_sequence", "speaker", "t_start", "t_end", "prompt_version")}
+    fixed |= {"findings": F.transform("findings", lambda f: f["code"]), "repairs": F.col("repairs")}
+    return claims.select(*[c.alias(k) for k, c in (fixed | own).items()])
+
+
+def write_claims(claims: DataFrame, path: str) -> None:
+    """``claim_lines`` as JSON lines; ``read_claims`` gives the rows back."""
+    claim_lines(claims).write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
+def read_claims(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
 def write_evidence(df: DataFrame, path: str, key: str = "source_id", buckets: int = 64) -> None:
     """Parquet partitioned by a bucket of the source, so that one source's rows are found without reading the others."""
     df.withColumn("source_bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).repartition("source_bucket").write.partitionBy("source_bucket").mode("append").parquet(path)
@@ -316,5 +337,50 @@ def curriculum_summary(cards: DataFrame) -> DataFrame:
     return cards.groupBy("module").agg(F.count_if(~F.col("contested")).alias("cards"), F.min(F.when(~F.col("contested"), F.col("confidence"))).alias("lowest"), F.count_if("contested").alias("left_out")).withColumn("gap", F.col("cards") < 3)
 
 
+def curriculum_modules(levels: DataFrame, modules: DataFrame, cards: DataFrame, topics: DataFrame) -> DataFrame:
+    """The modules of a curriculum in the order of their mean level: rows ``(place, module, mean_level, cards, lowest, left_out, topics, covered, gaps)``.
+
+    ``levels(id, level)`` and ``modules(id, module)`` place the cards ``(id, confidence, contested, topic)``; contested ones are left out. ``topics(module, topic)`` says what a module should
+    cover; a topic without a card that counts is a gap. Cards without a level or module aren't in the curriculum.
+    """
+    d = cards.join(levels, "id").join(modules, "id")
+    used = d.where(~F.col("contested"))
+    counts = d.groupBy("module").agg(F.avg("level").alias("mean_level"), F.count_if(~F.col("contested")).alias("cards"), F.min(F.when(~F.col("contested"), F.col("confidence"))).alias("lowest"), F.count_if("contested").alias("left_out"))
+    missing = topics.join(used.select("module", "topic").distinct(), ["module", "topic"], "left_anti").groupBy("module").agg(F.count("*").alias("missing"), F.array_sort(F.collect_set("topic")).alias("gaps"))
+    wanted = topics.groupBy("module").agg(F.count("*").alias("topics"))
+    d = counts.join(wanted, "module", "left").join(missing, "module", "left").withColumn("topics", F.coalesce("topics", F.lit(0)))
+    place = F.row_number().over(Window.orderBy("mean_level", "module"))  # one row a module
+    return d.select(place.alias("place"), "module", "mean_level", "cards", "lowest", "left_out", "topics", (F.col("topics") - F.coalesce("missing", F.lit(0))).alias("covered"), F.coalesce("gaps", F.array().cast("array<string>")).alias("gaps"))
+
+
+def citation_quality(sentences: DataFrame, citations: DataFrame, support: DataFrame) -> DataFrame:
+    """One row: sentences, those that cite nothing and their share, citations, and the share of them whose claim supports the sentence.
+
+    ``sentences(answer, sentence)``, ``citations(answer, sentence, claim_id)``, ``support(answer, sentence, claim_id)``; a citation that repeats counts once.
+    """
+    keys = ["answer", "sentence"]
+    cited = citations.select(*keys, "claim_id").distinct().join(support.select(*keys, "claim_id", F.lit(1).alias("holds")).distinct(), [*keys, "claim_id"], "left")
+    per = cited.groupBy(*keys).agg(F.count("*").alias("cited"), F.count("holds").alias("holding"))
+    d = sentences.select(*keys).distinct().join(per, keys, "left").agg(F.count("*").alias("sentences"), F.count_if(F.col("cited").isNull()).alias("uncited"), F.coalesce(F.sum("cited"), F.lit(0)).alias("citations"), F.sum("holding").alias("holding"))
+    return d.select("sentences", "uncited", (F.col("uncited") / F.col("sentences")).alias("uncited_rate"), "citations", (F.col("holding") / F.col("citations")).alias("precision"))
+
+
+def export_rows(cards: DataFrame, root: str = "kb") -> DataFrame:
+    """Cards as flat rows of their note's front matter, with the tags that mirror it.
+
+    Required: id, title, version, schema_version, domain, domain_name, subcategory, knowledge_type, epistemic_status, risk_tier, confidence, confidence_band, status, created, updated.
+    Optional columns are kept where there are any: missing ones aren't made up. A tag whose field is null is left out.
+    """
+    required = ["id", "title", "version", "schema_version", "domain", "domain_name", "subcategory", "knowledge_type", "epistemic_status", "risk_tier", "confidence", "confidence_band", "status", "created", "updated"]
+    optional = [
+        "aliases", "secondary_domains", "skill_level", "audience", "service_lifecycle", "context_sensitivity", "actionability", "claim_count", "supporting_claims", "contradicting_claims", "independent_groups", "distinct_creators",
+        "highest_evidence_tier", "has_parameters", "has_contradictions", "usable", "ai_features", "last_evidence", "source_ids",
+    ]
+    folder = F.regexp_replace(F.lower(F.trim("domain_name")), "[^a-z0-9]+", "-")
+    mirrors = {"domain": folder, "type": F.col("knowledge_type"), "conf": F.col("confidence_band"), "risk": F.col("risk_tier"), "status": F.col("status")}
+    tags = F.array_compact(F.array(F.lit(f"{root}/card"), *[F.when(c.isNotNull(), F.concat(F.lit(f"{k}/"), c.cast("string"))) for k, c in mirrors.items()]))
+    return cards.select(*required, F.lit("knowledge-card").alias("type"), tags.alias("tags"), *[c for c in optional if c in cards.columns])
+
+
 def feature_floor(feature: Column) -> Column:
     return lookup(feature, vocab.FEATURE_FLOOR, 1.0)

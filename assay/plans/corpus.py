@@ -239,3 +239,33 @@ def group_estimates(spark, sf_dir):
     c = star(spark, sf_dir, "claims").join(star(spark, sf_dir, "concepts").select("concept_id", "domain"), "concept_id").withColumn("month", F.trunc("claimed_at", "month"))
     stored = Scratch(spark, "sketches").save(ops.distinct_sketches(c, ["domain", "month"], "source_id"), "sketches")
     return ops.distinct_estimates(stored, ["domain"])
+
+
+@query(
+    """WITH s AS (SELECT l_orderkey AS answer, l_linenumber AS sentence, l_suppkey AS claim_id, l_returnflag AS f, l_partkey AS k FROM lineitem), c AS (SELECT DISTINCT answer, sentence, claim_id FROM s WHERE k % 3 <> 0), p AS (SELECT DISTINCT answer, sentence, claim_id FROM s WHERE f <> 'A'),
+    per AS (SELECT answer, sentence, count(*) AS cited, count(p.claim_id) AS holding FROM c LEFT JOIN p USING (answer, sentence, claim_id) GROUP BY ALL), d AS (SELECT DISTINCT answer, sentence FROM s)
+    SELECT count(*) AS sentences, count(*) FILTER (cited IS NULL) AS uncited, round(count(*) FILTER (cited IS NULL) / count(*), 6) AS uncited_rate, CAST(sum(cited) AS BIGINT) AS citations, round(sum(holding) / sum(cited), 6) AS precision FROM d LEFT JOIN per USING (answer, sentence)"""
+)
+def citation_quality(spark, sf_dir):
+    s = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS answer", "l_linenumber AS sentence", "l_suppkey AS claim_id", "l_returnflag AS f", "l_partkey AS k")
+    d = kn.citation_quality(s, s.where("k % 3 <> 0"), s.where("f <> 'A'"))
+    return d.withColumns({c: F.round(c, 6) for c in ("uncited_rate", "precision")})
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT p_partkey // 3 AS a, p_partkey AS b FROM part WHERE p_partkey > 0), r AS (SELECT 0::BIGINT AS id, 0 AS level UNION ALL SELECT e.b, r.level + 1 FROM r JOIN e ON e.a = r.id),
+    c AS (SELECT p_partkey AS id, p_partkey % 8 AS module, p_size / 50e0 AS confidence, p_size % 5 = 0 AS contested, 't' || (p_partkey % 17) AS topic, level FROM part JOIN r ON r.id = p_partkey), t AS (SELECT m AS module, 't' || k AS topic FROM range(9) x(m), range(20) y(k) WHERE (m + k) % 3 = 0),
+    g AS (SELECT module, count(*) AS topics, count(*) FILTER (NOT EXISTS (SELECT 1 FROM c WHERE c.module = t.module AND c.topic = t.topic AND NOT contested)) AS missing FROM t GROUP BY module)
+    SELECT row_number() OVER (ORDER BY avg(level), module) AS place, module, round(avg(level), 6) AS mean_level, count(*) FILTER (NOT contested) AS cards, min(confidence) FILTER (NOT contested) AS lowest, count(*) FILTER (contested) AS left_out, any_value(coalesce(topics, 0)) AS topics, any_value(coalesce(topics - missing, 0)) AS covered FROM c LEFT JOIN g USING (module) GROUP BY module"""
+)
+def curriculum_modules(spark, sf_dir):
+    """Modules in the order of their mean level, with what they cover and leave open."""
+    from assay.operators import graph as g
+
+    part = table(spark, sf_dir, "part")
+    e = part.where("p_partkey > 0").selectExpr("p_partkey div 3 AS subject_id", "p_partkey AS object_id")
+    levels, _ = g.topological_levels(e, Scratch(spark, "modules"))
+    cards = part.selectExpr("p_partkey AS id", "p_size / 50e0 AS confidence", "p_size % 5 = 0 AS contested", "concat('t', p_partkey % 17) AS topic")
+    topics = spark.range(9).selectExpr("id AS module").join(spark.range(20).selectExpr("id AS k"), F.expr("(module + k) % 3 = 0")).selectExpr("module", "concat('t', k) AS topic")  # a fixed list
+    d = kn.curriculum_modules(levels, part.selectExpr("p_partkey AS id", "p_partkey % 8 AS module"), cards, topics)
+    return d.drop("gaps").withColumn("mean_level", F.round("mean_level", 6))

@@ -208,13 +208,13 @@ def relation_merge(spark, sf_dir):
 
 
 @query(
-    """WITH k AS (SELECT DISTINCT l_partkey AS id, l_orderkey AS key FROM lineitem), n AS (SELECT key FROM k GROUP BY key HAVING count(*) BETWEEN 2 AND 50)
+    """WITH k AS (SELECT DISTINCT l_partkey AS id, l_orderkey AS key FROM lineitem), n AS (SELECT key FROM k GROUP BY key HAVING count(*) > 1)
     SELECT a.id AS a_id, b.id AS b_id, 'source' AS generator FROM k a JOIN k b ON a.key = b.key AND a.id < b.id JOIN n ON n.key = a.key GROUP BY a.id, b.id HAVING count(*) >= 2"""
 )
 def shared_source_pairs(spark, sf_dir):
-    """Concepts that two sources and more have in common, by sources that aren't too common themselves."""
+    """Concepts that two sources and more have in common."""
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("id")).agg(F.collect_set(F.col("l_orderkey").cast("string")).alias("keys"))
-    return dd.block_pairs(rows, F.col("keys"), "source", 50, shared=2)
+    return dd.block_pairs(rows, F.col("keys"), "source", shared=2)
 
 
 @query(

@@ -194,14 +194,13 @@ def evidence_ledger(spark, sf_dir):
     f"""WITH {star_sql("claims", "sources", "creators", "concepts")}
     SELECT k.concept_id, k.title, c.evidence_tier, s.source_id, s.published_at, r.creator_id, r.segment, row_number() OVER (PARTITION BY k.concept_id
       ORDER BY {case("c.evidence_tier", {t: i for i, t in enumerate(_TIERS)}, 99)}, s.published_at DESC, s.source_id, c.line, c.weight, c.speaker_id) AS place
-    FROM concepts k JOIN claims c ON c.concept_id = k.concept_id JOIN sources s ON c.source_id = s.source_id LEFT JOIN creators r ON s.creator_id = r.creator_id
-    WHERE k.domain = 'HLT'"""
+    FROM concepts k JOIN claims c ON c.concept_id = k.concept_id JOIN sources s ON c.source_id = s.source_id LEFT JOIN creators r ON s.creator_id = r.creator_id"""
 )
 def provenance_chain(spark, sf_dir):
     """Concept to claims to sources to creators, strongest tier first, then the newest."""
     from pyspark.sql import Window
 
-    k = star(spark, sf_dir, "concepts").where("domain = 'HLT'").select("concept_id", "title")
+    k = star(spark, sf_dir, "concepts").select("concept_id", "title")
     d = k.join(star(spark, sf_dir, "claims"), "concept_id").join(star(spark, sf_dir, "sources").select("source_id", "published_at", "creator_id"), "source_id")
     d = d.join(star(spark, sf_dir, "creators").select("creator_id", "segment"), "creator_id", "left")
     order = ev.lookup(F.col("evidence_tier"), {t: i for i, t in enumerate(_TIERS)}, 99)

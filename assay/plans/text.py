@@ -75,14 +75,14 @@ def timed_segments(spark, sf_dir):
 
 
 @query(
-    r"""WITH p AS (SELECT d.doc_id, b.item_id, d.text AS source, b.text AS quote, trim(regexp_replace(d.text, '[ \t\n\r\f\x0B]+', ' ', 'g')) AS cs, trim(regexp_replace(b.text, '[ \t\n\r\f\x0B]+', ' ', 'g')) AS cq FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40)
+    r"""WITH p AS (SELECT d.doc_id, b.item_id, d.text AS source, b.text AS quote, trim(regexp_replace(d.text, '[ \t\n\r\f\x0B]+', ' ', 'g')) AS cs, trim(regexp_replace(b.text, '[ \t\n\r\f\x0B]+', ' ', 'g')) AS cq FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark))
     SELECT doc_id, item_id, CASE WHEN strpos(source, quote) > 0 THEN 'exact' WHEN strpos(cs, cq) > 0 THEN 'whitespace_normalized' ELSE 'not_found' END AS match_kind, CAST(CASE WHEN strpos(source, quote) > 0 THEN strpos(source, quote) - 1 WHEN strpos(cs, cq) > 0 THEN strpos(cs, cq) - 1 END AS INT) AS quote_offset FROM p"""
 )
 def quote_matches(spark, sf_dir):
     """A benchmark passage looked for in each document."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("raw_text"))
     b = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("verbatim_quote"))
-    claims = d.select("chunk_id").join(b, F.col("chunk_id") % 40 == F.col("item_id"))
+    claims = d.select("chunk_id").join(b, F.col("chunk_id") % b.count() == F.col("item_id"))
     return va.match_quotes(claims, d).select(F.col("chunk_id").alias("doc_id"), "item_id", "match_kind", "quote_offset")
 
 
@@ -102,12 +102,12 @@ def turn_labelled_text(spark, sf_dir):
 
 # ---- parsers: conversations written out as files and read back
 
-_CLEAN = r"trim(regexp_replace(regexp_replace(text, '[^A-Za-z .,]+', ' ', 'g'), ' +', ' ', 'g'))"
+_CLEAN = r"""'7x ' || trim(regexp_replace(regexp_replace(text, '[^\p{L}\p{N} .,:;!?''()-]+', ' ', 'g'), ' +', ' ', 'g'))"""
 
 
 def _turns(spark, sf_dir):
-    """Turns with a time each and words of plain letters."""
-    text = F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z .,]+", " "), " +", " "))
+    """Turns with a time each, on one line, without the signs of markup; letters of any alphabet, digits, colons and brackets stay. A first word keeps texts from looking like labels."""
+    text = F.concat(F.lit("7x "), F.trim(F.regexp_replace(F.regexp_replace("text", r"[^\p{L}\p{N} .,:;!?'()-]+", " "), " +", " ")))
     return table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("source_id"), "turn", "role", text.alias("said")).where("said <> ''")
 
 
@@ -173,10 +173,16 @@ def plain_cues(spark, sf_dir):
     return cues.select("source_id", "cue_no", "speaker", F.regexp_replace("text", r"^\*\*(\w+):\*\* ", "$1: ").alias("text"))
 
 
-@query(rf"SELECT conv_id, turn, upper(left(c, 1)) || substr(c, 2) AS text FROM (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(text, 'hth|nen', '', 'g'), '\s+', ' ', 'g')) AS c FROM (SELECT conv_id, turn, regexp_replace(text, '[^a-zA-Z]+', ' x' || turn || ' ', 'g') AS text FROM conversations))")
+@query(
+    """WITH d AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(text, '[^a-zA-Z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM conversations),
+    s AS (SELECT conv_id, turn, flatten(list_transform(w, lambda x, i: CASE WHEN (i + turn) % 4 = 0 THEN [x, upper(x), x] ELSE [x] END)) AS v FROM d), f AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(array_to_string(v, ' '), 'hth|nen', '', 'g'), ' '), lambda x: x <> '') AS u FROM s),
+    c AS (SELECT conv_id, turn, array_to_string(list_filter(u, lambda x, i: i = 1 OR lower(x) <> lower(u[i - 1])), ' ') AS c FROM f) SELECT conv_id, turn, upper(left(c, 1)) || substr(c, 2) AS text FROM c"""
+)
 def cleaned_turns(spark, sf_dir):
-    """Turns without fillers (two syllables of these tables stand for them), spaces collapsed, first letter a capital; no word follows itself here."""
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.regexp_replace("text", "[^a-zA-Z]+", F.concat(F.lit(" x"), F.col("turn").cast("string"), F.lit(" "))).alias("text"))
+    """Turns without fillers (two syllables of these tables stand for them) and stutters (every fourth word is said three times), spaces collapsed, first letter a capital."""
+    w = F.filter(F.split(F.regexp_replace("text", "[^a-zA-Z]+", " "), " "), lambda x: x != "")
+    said = F.flatten(F.transform(w, lambda x, i: F.when((i + 1 + F.col("turn")) % 4 == 0, F.array(x, F.upper(x), x)).otherwise(F.array(x))))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(said, " ").alias("text"))
     return c.select("conv_id", "turn", ch.clean_text(F.col("text"), ch.Lexicon(fillers="hth|nen")).alias("text"))
 
 

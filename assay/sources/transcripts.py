@@ -110,7 +110,15 @@ def quarantine(sources: DataFrame, *, min_confidence: float = 0.55, min_words: i
     return sources.withColumn("quarantine_reason", reason)
 
 
-def assess(cues: DataFrame) -> DataFrame:
-    """Per source: whether it has times and speakers, and its words."""
+def quality_label(asr_confidence: Column) -> Column:
+    """How good a transcript is by its recognition's confidence; text without one was typed and counts as verbatim."""
+    c = asr_confidence
+    return F.when(c.isNull() | (c >= 0.95), "verbatim").when(c >= 0.85, "good").when(c >= 0.7, "fair").otherwise("poor")
+
+
+def assess(cues: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """Per source: whether it has times and speakers, and its words; with ``sources(source_id, asr_confidence)`` also how good its transcript is."""
+    if sources is not None:
+        return assess(cues).join(sources.select("source_id", quality_label(F.col("asr_confidence")).alias("transcript_quality")), "source_id", "left").withColumn("transcript_quality", F.coalesce("transcript_quality", F.lit("verbatim")))
     words = F.size(F.filter(F.split("text", r"\s+"), lambda w: w != ""))
     return cues.groupBy("source_id").agg(F.bool_or(F.col("t_start").isNotNull()).alias("has_timestamps"), F.bool_or(F.col("speaker").isNotNull()).alias("has_speaker_labels"), F.sum(words).alias("n_words"))
