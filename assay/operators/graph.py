@@ -231,14 +231,13 @@ def strong_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         colour = _spread(open_.select("a", "b"), open_.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("c")), scratch)
         inside = open_.join(colour.select(F.col("id").alias("a"), "c"), "a").join(colour.select(F.col("id").alias("b"), F.col("c").alias("c2")), "b").where("c = c2").select("a", "b", "c")
         inside = scratch.save(inside, f"inside{k}")
-        reached = colour.where("id = c").select("id", "c")
-        front = reached
+        reached = front = colour.where("id = c").select("id", "c")
         while True:
             step = inside.join(front.select(F.col("id").alias("b"), "c"), ["b", "c"]).select(F.col("a").alias("id"), "c").distinct()
             front = scratch.save(step.join(reached, ["id", "c"], "left_anti"), "front")
             if front.isEmpty():
                 break
-            reached = scratch.save(reached.unionByName(front), "reached")
+            reached = reached.unionByName(front)
         done = scratch.save(reached.select("id", F.col("c").alias("component")), f"done{k}")
         sizes = done.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
         found = found.unionByName(done.join(sizes, "component", "left_semi"))
