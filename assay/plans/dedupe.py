@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from assay import vocab
 from assay.operators import dedupe as dd, evidence as ev
+from assay.operators.retrieve import pair_cosines, similar_vectors
 from assay.plans.evidence import _EVIDENCE, AS_OF, case, steps
 from assay.scratch import Scratch
 from assay.sources.star import star, star_sql, table
@@ -31,7 +32,6 @@ _FEATURES = [
     "CASE WHEN p_size % 10 = 0 THEN 'negative' ELSE 'positive' END AS polarity", "CASE WHEN p_size % 8 = 0 THEN 'conditional' ELSE 'general' END AS scope",
     "CASE WHEN p_size % 5 = 0 THEN array() ELSE array(concat('c', p_size % 3)) END AS contexts",
 ]
-_SIM = "((a_id * 31 + b_id * 17) % 100) / 100e0"
 
 
 def _features(spark, sf_dir):
@@ -68,21 +68,26 @@ def _jac(c: str) -> str:
     return f"coalesce(len(list_intersect(a.{c}, b.{c})) / nullif(len(list_distinct(list_concat(a.{c}, b.{c}))), 0), 0)"
 
 
-_SCORE_SQL = f"""WITH {_CAND_SQL}, s AS (
-  SELECT a_id, b_id, {_SIM} AS sim, len(list_intersect(string_split(lower(a.title), ' '), string_split(lower(b.title), ' '))) / len(list_distinct(list_concat(string_split(lower(a.title), ' '), string_split(lower(b.title), ' ')))) AS title,
+_SCORE_SQL = f"""WITH {_CAND_SQL}, v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), s AS (
+  SELECT a_id, b_id, greatest(0, list_cosine_similarity(va.v, vb.v)) AS sim, len(list_intersect(string_split(lower(a.title), ' '), string_split(lower(b.title), ' '))) / len(list_distinct(list_concat(string_split(lower(a.title), ' '), string_split(lower(b.title), ' ')))) AS title,
     {_jac("entities")} AS entities, {_jac("predicates")} AS predicate, {_jac("parameters")} AS parameters,
     CASE WHEN len(a.entities) + len(b.entities) > 0 THEN 1e0 ELSE 0e0 END AS ne, CASE WHEN len(a.predicates) + len(b.predicates) > 0 THEN 1e0 ELSE 0e0 END AS np,
     CASE WHEN a.domain <> b.domain THEN 0e0 WHEN a.brand = b.brand THEN 1e0 ELSE 0.4e0 END AS taxonomy,
     CASE WHEN a.polarity <> b.polarity THEN 0.20e0 ELSE 0e0 END + CASE WHEN a.scope <> b.scope THEN 0.15e0 ELSE 0e0 END
       + CASE WHEN len(a.contexts) > 0 AND len(b.contexts) > 0 AND len(list_intersect(a.contexts, b.contexts)) = 0 THEN 0.25e0 ELSE 0e0 END AS cost
-  FROM cand JOIN f a ON a.id = a_id JOIN f b ON b.id = b_id
+  FROM cand JOIN f a ON a.id = a_id JOIN f b ON b.id = b_id JOIN v va ON va.vec_id = a_id % (SELECT count(*) FROM embeddings) JOIN v vb ON vb.vec_id = b_id % (SELECT count(*) FROM embeddings)
 ), t AS (SELECT a_id, b_id, greatest(0, (0.4e0 * sim + 0.15e0 * title + 0.15e0 * entities * ne + 0.1e0 * predicate * np + 0.1e0 * taxonomy + 0.1e0 * parameters) / (0.4e0 + 0.15e0 + 0.15e0 * ne + 0.1e0 * np + 0.1e0 + 0.1e0) - cost) AS score FROM s)
 SELECT a_id, b_id, round(score + 1e-9, 6) AS score, {steps("score", vocab.ROUTES, vocab.LOWEST_ROUTE)} AS verdict FROM t"""
 
 
 @query(_SCORE_SQL)
 def pair_scores(spark, sf_dir):
-    pairs = _candidates(spark, sf_dir).withColumn("embedding_similarity", F.expr(_SIM))
+    """Candidate pairs scored with the cosine of their vectors; a concept has the vector of its number, counted round."""
+    v = table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "embedding AS vector")
+    n = v.count()
+    pairs = Scratch(spark, "scores").save(_candidates(spark, sf_dir).select("a_id", "b_id", (F.col("a_id") % n).alias("query"), (F.col("b_id") % n).alias("id")), "pairs")
+    near = pair_cosines(pairs.select("query", "id").distinct(), v.withColumnRenamed("id", "query"), v)
+    pairs = pairs.join(near, ["query", "id"]).select("a_id", "b_id", F.col("score").alias("embedding_similarity"))
     d = dd.score_pairs(pairs, _features(spark, sf_dir))
     return d.select("a_id", "b_id", F.round(F.col("score") + 1e-9, 6).alias("score"), "verdict")
 
@@ -286,8 +291,6 @@ def blocking_cascade(spark, sf_dir):
 )
 def indexed_vector_pairs(spark, sf_dir):
     """Blends of neighbouring vectors against all vectors, by the index: what shares no key is never compared."""
-    from assay.operators.retrieve import similar_vectors
-
     v = table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "CAST(embedding AS ARRAY<DOUBLE>) AS vector")
     q = v.join(v.selectExpr("id - 1 AS id", "vector AS other"), "id").selectExpr("id AS query", "zip_with(vector, other, (x, y) -> 0.8e0 * x + 0.6e0 * y) AS vector")
     return similar_vectors(q, v, 0.75, Scratch(spark, "index"), recall=0.9999).select("query", "id", F.round("score", 6).alias("score"))
