@@ -102,7 +102,7 @@ def _ranges(spark, sf_dir):
 
 @query(f"WITH c AS ({_CTX}), p AS ({_PAR}), d AS (SELECT context_id, name, entity_id, row_number() OVER (PARTITION BY context_id, name ORDER BY confidence DESC, entity_id) AS place FROM c JOIN p USING (name) WHERE value BETWEEN lo AND hi AND confidence >= 0.6) SELECT * FROM d WHERE place <= 5")
 def matching_parameters(spark, sf_dir):
-    return rt.matching_parameters(*_ranges(spark, sf_dir)).where("place <= 5").select("context_id", "name", "entity_id", "place")
+    return rt.matching_parameters(*_ranges(spark, sf_dir), most=5).select("context_id", "name", "entity_id", "place")
 
 
 @query(

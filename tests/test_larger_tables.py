@@ -1,5 +1,8 @@
 """Odd texts and tables in which keys repeat often."""
 
+import random
+
+from assay.operators import retrieve as rt
 from assay.plans import registry
 
 
@@ -9,3 +12,14 @@ def test_invented_quotes_of_words_with_many_tokens(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.code for r in registry.QUERIES["rewritten_quotes"](spark, str(tmp_path)).collect()}
     assert got == {1: "quote_paraphrased", 2: "quote_not_found", 3: "none", 4: "none", 6: "none", 10: "quote_not_found"}
+
+
+def test_surest_parameters_of_repeated_ranges(spark):
+    rng = random.Random(5)
+    contexts = [(k, rng.choice("ab"), float(rng.randrange(12))) for k in range(60)] + [(7, "a", 3.0), (7, "a", 3.0), (8, None, 1.0), (9, "b", None)]
+    lows = [(rng.choice("ab"), float(rng.randrange(6))) for _ in range(400)]
+    parameters = [(n, lo, lo + 4, rng.choice([0.5, 0.7, 0.9]), e) for e, (n, lo) in enumerate(lows)]
+    c, p = spark.createDataFrame(contexts, "context_id long, name string, value double"), spark.createDataFrame(parameters, "name string, lo double, hi double, confidence double, entity_id long")
+    columns = ["context_id", "name", "value", "entity_id", "confidence", "place"]
+    rows = lambda d: sorted(tuple(r) for r in d.select(*columns).collect())
+    assert rows(rt.matching_parameters(c, p, most=3)) == rows(rt.matching_parameters(c, p).where("place <= 3"))
