@@ -2,7 +2,7 @@
 
 import random
 
-from assay.operators import retrieve as rt
+from assay.operators import evidence as ev, retrieve as rt
 from assay.plans import registry
 
 
@@ -23,3 +23,22 @@ def test_surest_parameters_of_repeated_ranges(spark):
     columns = ["context_id", "name", "value", "entity_id", "confidence", "place"]
     rows = lambda d: sorted(tuple(r) for r in d.select(*columns).collect())
     assert rows(rt.matching_parameters(c, p, most=3)) == rows(rt.matching_parameters(c, p).where("place <= 3"))
+
+
+def _evidence_input(spark):
+    rng = random.Random(6)
+    tiers = ["peer_reviewed", "anecdote", "folklore", "odd"]
+    claims = [(rng.randrange(40), rng.choice([1, 1, 1, 2, 3]), rng.choice(tiers), rng.choice(["supports", "contradicts", "qualifies"]), rng.random(), rng.random() < 0.5, rng.random()) for _ in range(400)]
+    c = spark.createDataFrame(claims, "source_id long, concept_id long, evidence_tier string, stance string, hedge_level double, is_reported_from_other boolean, extraction_certainty double")
+    s = spark.createDataFrame([(k, k % 9 if k % 8 else None, None, rng.choice(["organic", "sponsored", None]), rng.choice([0.5, None])) for k in range(35)], "source_id long, creator_id long, published_at date, commercial_context string, asr_confidence double")
+    return c, s, spark.createDataFrame([(k, rng.choice(["a", "b", "", None]), 0.1 * k) for k in range(7)], "creator_id long, independence_group string, reliability double")
+
+
+def test_evidence_moves_claims_twice_and_then_only_sums(spark, monkeypatch):
+    c, s, k = _evidence_input(spark)
+    rows = lambda: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in ev.evidence(c, s, k).collect())
+    plan = ev.evidence(c, s, k)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(concept_id") == 1 and "gkey" not in " ".join(x for x in plan.splitlines() if "hashpartitioning" in x)
+    whole = rows()
+    monkeypatch.setattr(ev, "_MANY", 100)  # concept 1 is summed in several places
+    assert rows() == whole and {r[0]: r[1] for r in whole} == {r.concept_id: r["count"] for r in c.groupBy("concept_id").count().collect()}
