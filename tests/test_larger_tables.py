@@ -2,8 +2,12 @@
 
 import random
 
-from assay.operators import evidence as ev, retrieve as rt
+import numpy as np
+from pyspark.sql import functions as F
+
+from assay.operators import dedupe as dd, evidence as ev, retrieve as rt
 from assay.plans import registry
+from assay.scratch import Scratch
 
 
 def test_invented_quotes_of_words_with_many_tokens(spark, tmp_path):
@@ -42,3 +46,33 @@ def test_evidence_moves_claims_twice_and_then_only_sums(spark, monkeypatch):
     whole = rows()
     monkeypatch.setattr(ev, "_MANY", 100)  # concept 1 is summed in several places
     assert rows() == whole and {r[0]: r[1] for r in whole} == {r.concept_id: r["count"] for r in c.groupBy("concept_id").count().collect()}
+
+
+def test_low_thresholds_are_compared_in_memory(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((300, 6))
+    d = spark.createDataFrame([(k, [float(y) for y in v]) for k, v in enumerate(x)] + [(998, [0.0] * 6), (999, None)], "id long, vector array<double>")
+    monkeypatch.setattr(rt, "pair_cosines", None)  # no pair is shuffled
+    got = {(r.query, r.id): r.score for r in rt.similar_vectors(d.withColumnRenamed("id", "query"), d, 0.5, Scratch(spark, "t"), recall=0.9).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    want = {(int(i), int(j)) for i, j in zip(*np.nonzero(u @ u.T >= 0.5))}
+    assert set(got) == want and all(abs(s - u[i] @ u[j]) < 1e-12 for (i, j), s in got.items())
+
+
+def test_best_of_repeated_sets(spark):
+    rng = random.Random(8)
+    kinds = [sorted(rng.sample("abcdefg", rng.randrange(1, 5))) for _ in range(9)]
+    rows = spark.createDataFrame([(k, rng.choice(kinds)) for k in range(80)] + [(90, ["z"]), (91, [])], "id long, items array<string>")
+    close = dd.similar_sets(rows, Scratch(spark, "t"), 0.4)
+    want = {tuple(r) for r in dd.best_pairs(close.withColumn("generator", F.lit("g")).withColumnRenamed("overlap", "score"), 3).collect()}
+    assert {tuple(r) for r in dd.similar_best(rows, Scratch(spark, "t"), 0.4, 3, "g").collect()} == want and len(want) < 80 * 3 + 1 < close.count()
+
+
+def test_pairs_of_one_key_each_are_not_shuffled(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = spark.createDataFrame([(k, rng.choice(["a", "b", "", None]), rng.choice("xyz")) for k in range(90)], "id long, p string, q string")
+    want = sorted(map(tuple, dd.union_pairs(dd.block_pairs(rows, F.array("p"), "p"), dd.block_pairs(rows, F.array("q"), "q")).collect()))
+    monkeypatch.setattr(dd, "_BLOCK_TILE", 7)
+    d = dd.keyed_pairs(rows, {"p": F.col("p"), "q": F.col("q")})
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(a_id" not in plan and sorted(map(tuple, d.collect())) == want
