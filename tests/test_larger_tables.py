@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from assay.operators import dedupe as dd, evidence as ev, retrieve as rt
+from assay.operators import dedupe as dd, evidence as ev, knowledge as kn, retrieve as rt
 from assay.plans import registry
 from assay.scratch import Scratch
 
@@ -76,3 +76,14 @@ def test_pairs_of_one_key_each_are_not_shuffled(spark, monkeypatch):
     d = dd.keyed_pairs(rows, {"p": F.col("p"), "q": F.col("q")})
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(a_id" not in plan and sorted(map(tuple, d.collect())) == want
+
+
+def test_totals_of_recommendations_meet_by_classes(spark):
+    rng = random.Random(10)
+    c = spark.createDataFrame([(k, float(rng.randrange(8)), rng.randrange(3), rng.choice([None, 0, 1])) for k in range(50)] + [(60, None, 1, 1)], "context_id long, value double, condition long, use long")
+    r = spark.createDataFrame([(k, float(k % 4), float(k % 4 + 3)) for k in range(120)], "entity_id long, lo double, hi double")
+    kinds = ["suitable_for", "contraindicated_with", "incompatible_with", "compatible_with"]
+    e = spark.createDataFrame([(k, p, rng.randrange(2), 0.5, 1.0) for k in range(120) for p in rng.sample(kinds, rng.randrange(1, 4))], "entity_id long, predicate string, target long, strength double, confidence double")
+    want = kn.recommend(c, r, e).groupBy("context_id").agg(F.count("*").alias("entities"), F.sum("score").alias("score"))
+    rows = lambda d: sorted((x.context_id, x.entities, round(x.score, 9)) for x in d.collect())
+    assert rows(kn.recommendation_totals(c, r, e)) == rows(want) and want.count() > 20
