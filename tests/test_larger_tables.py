@@ -87,3 +87,19 @@ def test_totals_of_recommendations_meet_by_classes(spark):
     want = kn.recommend(c, r, e).groupBy("context_id").agg(F.count("*").alias("entities"), F.sum("score").alias("score"))
     rows = lambda d: sorted((x.context_id, x.entities, round(x.score, 9)) for x in d.collect())
     assert rows(kn.recommendation_totals(c, r, e)) == rows(want) and want.count() > 20
+
+
+def test_equal_contexts_share_one_ranking(spark):
+    rng = random.Random(11)
+    c = spark.createDataFrame([(k, float(k % 3), k % 2) for k in range(60)] + [(70, 1.0, 0), (70, 2.0, 1), (71, None, 1)], "context_id long, value double, condition long")
+    r = spark.createDataFrame([(k, float(k % 2), float(k % 2 + 1)) for k in range(50)] + [(3, 0.0, 2.0)], "entity_id long, lo double, hi double")
+    e = spark.createDataFrame([(k, p, rng.randrange(2), rng.choice([0.5, 0.25]), 1.0) for k in range(50) for p in ("suitable_for", "suitable_for", "contraindicated_with")[rng.randrange(2) :]], "entity_id long, predicate string, target long, strength double, confidence double")
+    d = kn.recommend(c, r, e)
+    plain = sorted((x.context_id, x.entity_id, x.score, tuple(x.because)) for x in kn._scored(c, r, e).collect())
+    got = d.collect()
+    assert sorted((x.context_id, x.entity_id, x.score, tuple(x.because)) for x in got) == plain and len(plain) > 500
+    for k in {x.context_id for x in got}:
+        mine = sorted((x for x in got if x.context_id == k), key=lambda x: x.place)
+        assert [x.place for x in mine] == list(range(1, len(mine) + 1)) and mine == sorted(mine, key=lambda x: (-x.score, x.entity_id))
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" in plan and "windowspecdefinition(rep" in plan  # sorted by classes, not by contexts
