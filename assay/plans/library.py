@@ -8,6 +8,7 @@ from assay import vocab
 from assay.functions import columns as fc
 from assay.operators import evidence as ev, ops, retrieve as rt
 from assay.plans.evidence import _EVIDENCE, AS_OF, case, cards
+from assay.scratch import tasks_for
 from assay.sources.star import star, star_sql, table
 
 QUERIES: dict = {}
@@ -403,7 +404,9 @@ def typed_ids(spark, sf_dir):
     """Ids of every shape, and links into a source at a time."""
     from assay.functions import columns as fc
 
-    d = table(spark, sf_dir, "part").withColumns({"title": F.concat("p_name", F.lit(" of the "), "p_brand"), "domain": F.substring("p_type", 1, 3)})
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    # a file of many short rows is one task's, and each row's ids take long
+    d = part.repartition(tasks_for(part, 50_000), "p_partkey").withColumns({"title": F.concat("p_name", F.lit(" of the "), "p_brand"), "domain": F.substring("p_type", 1, 3)})
     d = d.withColumn("source_id", fc.source_id(F.lit("You Tube"), F.lit("202401"), fc.content_hash(F.col("title"))))
     url = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("https://v.example/w?v="), F.col("p_partkey").cast("string"))).otherwise(F.lit("https://v.example/w"))
     return d.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assay.operators import dedupe as dd, evidence as ev, knowledge as kn, retrieve as rt
 from assay.plans import registry
-from assay.scratch import Scratch
+from assay.scratch import Scratch, tasks_for
 
 
 def test_invented_quotes_of_words_with_many_tokens(spark, tmp_path):
@@ -103,3 +103,22 @@ def test_equal_contexts_share_one_ranking(spark):
         assert [x.place for x in mine] == list(range(1, len(mine) + 1)) and mine == sorted(mine, key=lambda x: (-x.score, x.entity_id))
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "row_number" in plan and "windowspecdefinition(rep" in plan  # sorted by classes, not by contexts
+
+
+def _plan(d):
+    return d._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_are_dealt_by_number_not_bytes(spark):
+    assert tasks_for(spark.range(30_001)) == min(4, 4 * spark.sparkContext.defaultParallelism) and tasks_for(spark.range(1_000_000), 10_000) >= 100 and tasks_for(spark.range(0)) == 1
+    assert "RepartitionByExpression" in _plan(registry.QUERIES["typed_ids"](spark, "/root/testdata/sf0.001"))
+
+
+def test_relations_and_their_steps_are_dealt_by_number(spark):
+    for name in ("claim_relations", "transitive_edges"):
+        assert "RepartitionByExpression" in _plan(registry.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_an_id_in_several_rows_shares_a_key_once(spark):
+    rows = spark.createDataFrame([(1, ["k"]), (1, ["k"]), (2, ["k"]), (2, ["m"]), (3, ["m"]), (3, ["k"])], "id long, keys array<string>")
+    assert {tuple(r) for r in dd.block_pairs(rows, F.col("keys"), "g", shared=2).collect()} == {(2, 3, "g")}
