@@ -34,10 +34,14 @@ def stage_metrics(stream: DataFrame, time: str, window: str, late: str, slide: s
 EVIDENCE = "concept_id long, shard int, claims long, groups long, version long, settled boolean"
 
 
+#: Groups of a shard that are kept beside its counts; every call to the state store is a message of its own.
+_FEW = 256
+
+
 class RunningEvidence(StatefulProcessor):
     """Per shard of a concept: how many claims and which groups have come so far.
 
-    Groups are a map in the state store, a key each, so what a batch writes is its new groups. Each batch
+    Up to ``_FEW`` groups lie beside the counts, read and written with them at once; more are a map in the state store, a key each, so what a batch then writes is its new groups. Each batch
     that brings claims gives a row with the counts so far; once the watermark has passed the newest claim by ``rest`` seconds, a last
     row says that the shard has settled, until new claims come.
     """
@@ -47,33 +51,40 @@ class RunningEvidence(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.counts = handle.getValueState("counts", "claims long, groups long, version long, newest long")
+        self.counts = handle.getValueState("counts", "claims long, groups long, version long, newest long, few array<string>")
         self.groups = handle.getMapState("groups", "gkey string", "since long")
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        claims, groups, version, newest = self.counts.get() if self.counts.exists() else (0, 0, 0, -1)
+        claims, groups, version, newest, few = self.counts.get() or (0, 0, 0, -1, [])
         seen, latest = Counter(), newest
         for row in rows:
             seen[row["gkey"]] += 1
             latest = max(latest, int(row["ts"].timestamp() * 1000))
-        if groups <= 4 * len(seen):  # few: read at once
-            known = {g for (g,) in self.groups.keys()} if groups else set()
+        if few is not None:
+            known = set(few)
+        elif groups <= 4 * len(seen):  # read at once
+            known = {g for (g,) in self.groups.keys()}
         else:
             known = {g for g in seen if self.groups.containsKey((g,))}
-        for gkey in seen.keys() - known:
-            self.groups.updateValue((gkey,), (version,))
-        groups += len(seen.keys() - known)
+        new = seen.keys() - known
+        groups += len(new)
+        if few is not None and groups <= _FEW:
+            few = sorted(known | new)
+        else:
+            for gkey in new if few is None else known | new:
+                self.groups.updateValue((gkey,), (version,))
+            few = None
         if latest > newest:
             if newest >= 0:
                 self.handle.deleteTimer(newest + self.rest * 1000)
             self.handle.registerTimer(latest + self.rest * 1000)
         claims, version = claims + sum(seen.values()), version + 1
-        self.counts.update((claims, groups, version, latest))
+        self.counts.update((claims, groups, version, latest, few))
         yield Row(concept_id=key[0], shard=key[1], claims=claims, groups=groups, version=version, settled=False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        claims, groups, version, newest = self.counts.get()
-        self.counts.update((claims, groups, version + 1, newest))
+        claims, groups, version, newest, few = self.counts.get()
+        self.counts.update((claims, groups, version + 1, newest, few))
         yield Row(concept_id=key[0], shard=key[1], claims=claims, groups=groups, version=version + 1, settled=True)
 
     def close(self) -> None:

@@ -63,3 +63,26 @@ def test_running_evidence_survives_a_restart(spark, tmp_path):
     assert got == {c: (sum(x == c for x, _, _ in every), len({g for x, g, _ in every if x == c})) for c in {r[0] for r in every}}
     assert found.groupBy("concept_id", "shard", "version").count().where("count > 1").isEmpty()
     assert found.where("concept_id = 5 and settled").select("shard").distinct().count() == found.where("concept_id = 5").select("shard").distinct().count() > 0
+
+
+def test_few_groups_take_one_read_and_one_write(monkeypatch):
+    """Groups lie beside the counts until there are too many, then in the map; counts stay right across the change."""
+    import datetime
+    from types import SimpleNamespace
+
+    calls, held, stored = [], {}, {}
+    value = SimpleNamespace(get=lambda: calls.append("get") or held.get("v"), update=lambda v: calls.append("update") or held.update(v=v))
+    groups = SimpleNamespace(keys=lambda: calls.append("keys") or iter(stored), containsKey=lambda k: calls.append("has") or k in stored, updateValue=lambda k, v: calls.append("put") or stored.update({k: v}))
+    timers = {"registerTimer": lambda t: None, "deleteTimer": lambda t: None}
+    p = flows.RunningEvidence(60)
+    p.init(SimpleNamespace(getValueState=lambda *_: value, getMapState=lambda *_: groups, **timers))
+    monkeypatch.setattr(flows, "_FEW", 5)
+    at, every = datetime.datetime(2024, 1, 1), []
+    for batch in (["a", "b", "a"], ["b", "c", "d"], ["e", "f"], ["a"], ["g", "f", "h"]):
+        every += batch
+        row = next(iter(p.handleInputRows((1, 0), [{"gkey": g, "ts": at} for g in batch], None)))
+        assert (row.claims, row.asDict()["groups"]) == (len(every), len(set(every)))
+        if len(set(every)) <= 5:
+            assert calls == ["get", "update"] and not stored
+        calls.clear()
+    assert {g for (g,) in stored} == set(every)
