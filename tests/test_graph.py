@@ -81,3 +81,14 @@ def test_curriculum_of_a_domain(spark):
     e = spark.createDataFrame([(1, "prerequisite_of", 2), (3, "prerequisite_of", 2), (2, "requires", 5), (4, "prerequisite_of", 5), (1, "causes", 5)], "subject_id long, predicate string, object_id long")
     assert sorted(map(tuple, g.curriculum(cards, e, "A", 2, Scratch(spark, "t")).collect())) == [(1, 0), (2, 1), (5, 0)]
     assert g.curriculum(cards.limit(0), e, "A", 2, Scratch(spark, "t")).count() == 0
+
+
+def test_betweenness_writes_a_row_per_node_and_block_of_pivots(spark, monkeypatch):
+    rng = random.Random(11)
+    n = 90
+    e = spark.createDataFrame([(k, rng.randrange(n)) for k in range(n) for _ in range(4)] + [(k, 7) for k in range(n)], EDGE)
+    scratch, most, save = Scratch(spark, "t"), [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name, *a, **o: (most.append((name, (out := save(self, df, name, *a, **o)).count())), out)[1])
+    got = g.betweenness(e, spark.range(n).withColumnRenamed("id", "pivot"), scratch, None)
+    assert max(rows for name, rows in most if name.startswith(("level", "share"))) <= n * 2  # not a row per node and pivot
+    assert {r.id for r in got.collect()} <= set(range(n)) and got.count() > 0
