@@ -60,15 +60,22 @@ def evidence(claims: DataFrame, sources: DataFrame, creators: DataFrame) -> Data
     hot = [r[0] for r in claims.groupBy("concept_id").count().where(F.col("count") > _MANY).select("concept_id").collect()]
     s = sources.select("source_id", "creator_id", "published_at", "commercial_context", "asr_confidence")
     s = s.join(creators.select("creator_id", "independence_group", "reliability"), "creator_id", "left")
-    used = ["source_id", "concept_id", "evidence_tier", "stance", "hedge_level", "extraction_certainty", "is_reported_from_other"]
-    c = claims.select(*used).join(s, "source_id", "left")
-    w = tier_weight(F.col("evidence_tier"))
-    r = F.coalesce("reliability", F.lit(0.5))
-    ordinal = F.array_position(F.array(*[F.lit(t) for t in vocab.TIER_WEIGHT]), F.col("evidence_tier"))
-    c = c.withColumns({"w": w, "r": r, "gkey": F.coalesce(group_key(F.col("independence_group"), F.col("creator_id")), F.concat(F.lit("s:"), F.col("source_id").cast("string"))), "ordinal": F.when(ordinal > 0, ordinal)})
-    c = c.withColumn("commercial", F.col("commercial_context") != "organic").drop("commercial_context", "independence_group", "reliability", "source_id", "evidence_tier")
+    tiers, stances = list(vocab.TIER_WEIGHT), ["supports", "contradicts"]
+    place_of = lambda values, c: F.coalesce(F.array_position(F.array(*[F.lit(v) for v in values]), F.col(c)), F.lit(0)).cast("int")
+    reported = F.when(F.col("is_reported_from_other").isNull(), 2).otherwise(F.col("is_reported_from_other").cast("int"))
+    # what a claim says of itself travels as one number: its tier's place, its stance's and whether it is reported
+    code = (place_of(tiers, "evidence_tier") * 3 + place_of(stances, "stance")) * 3 + reported
+    c = claims.select("source_id", "concept_id", "hedge_level", "extraction_certainty", code.alias("code")).join(s, "source_id", "left")
+    key = F.coalesce(group_key(F.col("independence_group"), F.col("creator_id")), F.concat(F.lit("s:"), F.col("source_id").cast("string")))
+    c = c.select("concept_id", "hedge_level", "extraction_certainty", "code", "creator_id", "published_at", "asr_confidence", "reliability", (F.col("commercial_context") != "organic").alias("commercial"), key.alias("gkey"))
     place = ["concept_id", "part"] if hot else ["concept_id"]
     c = (c.withColumn("part", F.when(F.col("concept_id").isin(hot), F.xxhash64("gkey")).otherwise(0)) if hot else c).repartition(*place)
+    ordinal, stance, told = F.floor(F.col("code") / 9).cast("int"), F.floor(F.col("code") / 3) % 3, F.col("code") % 3
+    weights = F.array(*[F.lit(float(w)) for w in [vocab.UNKNOWN_TIER_WEIGHT, *vocab.TIER_WEIGHT.values()]])
+    c = c.withColumns({
+        "w": F.get(weights, ordinal), "r": F.coalesce("reliability", F.lit(0.5)), "ordinal": F.when(ordinal > 0, ordinal.cast("long")),
+        "stance": F.when(stance == 1, stances[0]).when(stance == 2, stances[1]), "is_reported_from_other": F.when(told < 2, told == 1),
+    })
     when = lambda stance: F.sum(F.when(F.col("stance") == stance, F.col("w") * F.col("r")))
     count = lambda stance: F.count_if(F.col("stance") == stance)
     first = c.groupBy(*place, "gkey", "creator_id").agg(

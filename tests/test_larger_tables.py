@@ -122,3 +122,14 @@ def test_relations_and_their_steps_are_dealt_by_number(spark):
 def test_an_id_in_several_rows_shares_a_key_once(spark):
     rows = spark.createDataFrame([(1, ["k"]), (1, ["k"]), (2, ["k"]), (2, ["m"]), (3, ["m"]), (3, ["k"])], "id long, keys array<string>")
     assert {tuple(r) for r in dd.block_pairs(rows, F.col("keys"), "g", shared=2).collect()} == {(2, 3, "g")}
+
+
+def test_claims_move_without_their_words(spark):
+    """What a claim says of itself travels to its concept as one number."""
+    c, s, k = _evidence_input(spark)
+    lines = ev.evidence(c, s, k)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    moved = lines[next(i for i, x in enumerate(lines) if "RepartitionByExpression" in x) + 1]
+    assert "code" in moved and "stance" not in moved.split("AS code")[-1] and " AS w#" not in moved
+    odd = spark.createDataFrame([(1, 1, None, None, None, None, None), (1, 1, "odd", "qualifies", 0.5, True, 0.5), (2, 2, "marketing", "contradicts", 0.5, True, 0.5)], c.schema)
+    got = {r.concept_id: (r.claims, r.highest_tier, r.supporting, r.contradicting, r.secondhand) for r in ev.evidence(odd, s, k).collect()}
+    assert got == {1: (2, None, 0, 0, True), 2: (1, "marketing", 0, 1, True)}
