@@ -133,3 +133,27 @@ def test_claims_move_without_their_words(spark):
     odd = spark.createDataFrame([(1, 1, None, None, None, None, None), (1, 1, "odd", "qualifies", 0.5, True, 0.5), (2, 2, "marketing", "contradicts", 0.5, True, 0.5)], c.schema)
     got = {r.concept_id: (r.claims, r.highest_tier, r.supporting, r.contradicting, r.secondhand) for r in ev.evidence(odd, s, k).collect()}
     assert got == {1: (2, None, 0, 0, True), 2: (1, "marketing", 0, 1, True)}
+
+
+def test_pairs_of_a_common_name_are_no_rows(spark, monkeypatch):
+    rng = random.Random(12)
+    some = lambda xs, n: rng.choice([None, [], rng.sample(xs, rng.randrange(1, n))])
+    vector = lambda: rng.choice([None, [0.0, 0.0, 0.0], [float(rng.randrange(-2, 3)) for _ in range(3)]])
+    name = lambda: rng.choice(["Big", "big ", "big", "big", f"small {rng.randrange(9)}", "none", None])
+    claims = [(k, name(), rng.choice(["big words", "small 3", None]), rng.choice([*"xyz", None]), rng.choice(["p", "q", None]), some(["e", "f", "g", None], 4), vector()) for k in range(90)]
+    concepts = [(k, rng.choice(["big", "small 3", "big words of old", "", "other"]), some(["big", "Small 4 ", "small 5"], 3), rng.choice([*"xy", None]), some(["p", "q", "r"], 3), some(["e", "f", "h", None], 4), vector()) for k in range(1000, 1160)]
+    q = spark.createDataFrame(claims, "claim_id long, subject string, statement string, domain string, predicate string, entities array<string>, vector array<double>")
+    c = spark.createDataFrame(concepts, "concept_id long, title string, aliases array<string>, domain string, predicates array<string>, entities array<string>, vector array<double>")
+    every = kn.resolution_candidates(q, c, near=3, siblings=2).cache()
+    by = lambda how: F.count_if(F.array_contains("by", how)).alias(how)
+    want = kn.resolve_claims(every).join(every.groupBy("claim_id").agg(F.count("*").alias("candidates"), by("vector"), by("alias"), by("sibling")), "claim_id")
+    for limit, tile in (("_NAMED_PAIRS", 50), ("_CLAIM_TILE", 7), ("_CONCEPT_TILE", 20)):
+        monkeypatch.setattr(kn, limit, tile)
+    scratch = Scratch(spark, "t")
+    got = kn.resolve_among(q, c, scratch, near=3, siblings=2)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr) and want.count() > 50
+    kept = spark.read.parquet(f"{scratch.root}/*candidates").count()
+    assert kept < 0.4 * every.count()
+    # the query doesn't form them either
+    monkeypatch.setattr(kn, "resolution_candidates", None)
+    assert registry.QUERIES["claim_candidates"](spark, "/root/testdata/sf0.001").count() == 50
