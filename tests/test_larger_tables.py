@@ -157,3 +157,39 @@ def test_pairs_of_a_common_name_are_no_rows(spark, monkeypatch):
     # the query doesn't form them either
     monkeypatch.setattr(kn, "resolution_candidates", None)
     assert registry.QUERIES["claim_candidates"](spark, "/root/testdata/sf0.001").count() == 50
+
+
+def test_shingles_move_once_and_then_only_those_of_pairs(spark, monkeypatch):
+    rng = random.Random(13)
+    base = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(30)) for _ in range(12)]
+    texts = [(k, rng.choice(["s", "t", None]), base[k % 12] + rng.choice([" end of it", " other end", "", ""]) * (k % 3)) for k in range(80)] + [(90, "s", "lone words that nobody else has said"), (91, "s", None), (92, "t", "two words")]
+    d = spark.createDataFrame(texts, "id long, creator string, text string")
+    saved = {}
+
+    class Kept(Scratch):
+        def save(self, df, name, **options):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            saved[name] = plan, super().save(df, name, **options)
+            return saved[name][1]
+
+    def run():
+        saved.clear()
+        members, classes = dd.echo_classes(d, scratch := Kept(spark, "t"))
+        found = dd.echo_pairs(classes, scratch)
+        return tuple(sorted(map(tuple, x.collect()), key=repr) for x in (members, classes.select("id", "n", "lo", "hi"), found))
+
+    monkeypatch.setattr(dd, "_LOOKED_UP", 0)
+    want = run()
+    monkeypatch.undo()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = run()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    creators = {k: c for k, c, _ in texts}
+    for class_id in {m[2] for m in got[0]}:
+        own = sorted(creators[m[0]] for m in got[0] if m[2] == class_id and creators[m[0]])
+        assert [c[2:] for c in got[1] if c[0] == class_id] == [(own[0], own[-1]) if own else (None, None)]
+    assert got == want and got[2] and "sets" not in saved and "ReusedExchange" in saved["prefix"][0]
+    met = {x for r in saved["pairs"][1].collect() for x in r}
+    assert {r.id for r in saved["compared"][1].collect()} == met and 90 not in met
