@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from assay.operators import dedupe as dd, evidence as ev, knowledge as kn, retrieve as rt
+from assay.operators import dedupe as dd, evidence as ev, graph as g, knowledge as kn, retrieve as rt
 from assay.plans import registry
 from assay.scratch import Scratch, tasks_for
 
@@ -193,3 +193,18 @@ def test_shingles_move_once_and_then_only_those_of_pairs(spark, monkeypatch):
     assert got == want and got[2] and "sets" not in saved and "ReusedExchange" in saved["prefix"][0]
     met = {x for r in saved["pairs"][1].collect() for x in r}
     assert {r.id for r in saved["compared"][1].collect()} == met and 90 not in met
+
+
+def test_rounds_send_no_large_table_to_the_driver(spark):
+    name = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before, seen = spark.conf.get(name, None), []
+
+    class Kept(Scratch):
+        def save(self, df, label, **options):
+            seen.append((spark.conf.get(name, None), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")))
+            return super().save(df, label, **options)
+
+    e = spark.createDataFrame([(1, "causes", 2), (2, "causes", 1), (2, "causes", 3)], "subject_id long, predicate string, object_id long")
+    got = g.cycle_review(e, e.where("subject_id = 1"), Kept(spark, "t"))
+    assert set(seen) == {("64k", "64k")} and spark.conf.get(name, None) == before and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") not in ("64k", 65536)
+    assert list(map(tuple, got.collect())) == [(1, 2, 2, 1, True)]
