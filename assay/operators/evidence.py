@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assay import vocab
+from assay.scratch import tasks_for
 
 
 def lookup(key: Column, values: Mapping[str, float], default: float) -> Column:
@@ -56,7 +57,9 @@ def evidence(claims: DataFrame, sources: DataFrame, creators: DataFrame) -> Data
     Sources join their creators first, then claims their source (missing ones count as unknown), so claims move once for it. They move
     once more, as they are, to where their concept is summed: by group and creator, by group, and as a whole, which gives the counts of distinct
     creators and groups without a row expanded, and only sums move after that. A concept with very many claims lies in as many places as it has groups.
+    Claims are dealt into tasks by their number both times, so what a task sorts and sums doesn't grow with the table, and isn't spilled.
     """
+    tasks = max(claims.sparkSession.sparkContext.defaultParallelism, tasks_for(claims))
     hot = [r[0] for r in claims.groupBy("concept_id").count().where(F.col("count") > _MANY).select("concept_id").collect()]
     s = sources.select("source_id", "creator_id", "published_at", "commercial_context", "asr_confidence")
     s = s.join(creators.select("creator_id", "independence_group", "reliability"), "creator_id", "left")
@@ -65,11 +68,11 @@ def evidence(claims: DataFrame, sources: DataFrame, creators: DataFrame) -> Data
     reported = F.when(F.col("is_reported_from_other").isNull(), 2).otherwise(F.col("is_reported_from_other").cast("int"))
     # what a claim says of itself travels as one number: its tier's place, its stance's and whether it is reported
     code = (place_of(tiers, "evidence_tier") * 3 + place_of(stances, "stance")) * 3 + reported
-    c = claims.select("source_id", "concept_id", "hedge_level", "extraction_certainty", code.alias("code")).join(s, "source_id", "left")
+    c = claims.select("source_id", "concept_id", "hedge_level", "extraction_certainty", code.alias("code")).repartition(tasks, "source_id").join(s.repartition(tasks, "source_id"), "source_id", "left")
     key = F.coalesce(group_key(F.col("independence_group"), F.col("creator_id")), F.concat(F.lit("s:"), F.col("source_id").cast("string")))
     c = c.select("concept_id", "hedge_level", "extraction_certainty", "code", "creator_id", "published_at", "asr_confidence", "reliability", (F.col("commercial_context") != "organic").alias("commercial"), key.alias("gkey"))
     place = ["concept_id", "part"] if hot else ["concept_id"]
-    c = (c.withColumn("part", F.when(F.col("concept_id").isin(hot), F.xxhash64("gkey")).otherwise(0)) if hot else c).repartition(*place)
+    c = (c.withColumn("part", F.when(F.col("concept_id").isin(hot), F.xxhash64("gkey")).otherwise(0)) if hot else c).repartition(tasks, *place)
     ordinal, stance, told = F.floor(F.col("code") / 9).cast("int"), F.floor(F.col("code") / 3) % 3, F.col("code") % 3
     weights = F.array(*[F.lit(float(w)) for w in [vocab.UNKNOWN_TIER_WEIGHT, *vocab.TIER_WEIGHT.values()]])
     c = c.withColumns({

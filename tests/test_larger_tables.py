@@ -208,3 +208,10 @@ def test_rounds_send_no_large_table_to_the_driver(spark):
     got = g.cycle_review(e, e.where("subject_id = 1"), Kept(spark, "t"))
     assert set(seen) == {("64k", "64k")} and spark.conf.get(name, None) == before and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") not in ("64k", 65536)
     assert list(map(tuple, got.collect())) == [(1, 2, 2, 1, True)]
+
+
+def test_claims_are_dealt_by_their_number(spark, monkeypatch):
+    c, s, k = _evidence_input(spark)
+    monkeypatch.setattr(ev, "tasks_for", lambda claims: 77 if claims is c else None)
+    dealt = [x for x in ev.evidence(c, s, k)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RepartitionByExpression" in x]
+    assert sorted(x.split("[")[1].split("#")[0] for x in dealt) == ["concept_id", "source_id", "source_id"] and all(x.rstrip().endswith(", 77") for x in dealt)
