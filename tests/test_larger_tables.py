@@ -108,6 +108,16 @@ def test_totals_of_recommendations_meet_by_classes(spark):
     assert rows(kn.recommendation_totals(c, r, e)) == rows(want) and want.count() > 20
 
 
+def test_every_customer_is_a_context_of_recommendations(spark, tmp_path):
+    spark.createDataFrame([(k, 1000.0 + k, k % 3) for k in range(1, 25)], "c_custkey long, c_acctbal double, c_nationkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(k, 1 + k % 9) for k in range(40)], "p_partkey long, p_size long").write.parquet(str(tmp_path / "part.parquet"))
+    got = registry.QUERIES["recommendations"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    for t in ("customer", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    assert sorted(map(tuple, got)) == sorted(con.sql(registry.ORACLE_SQL["recommendations"]).fetchall()) and {r.context_id for r in got} == set(range(1, 25))
+
+
 def test_equal_contexts_share_one_ranking(spark):
     rng = random.Random(11)
     c = spark.createDataFrame([(k, float(k % 3), k % 2) for k in range(60)] + [(70, 1.0, 0), (70, 2.0, 1), (71, None, 1)], "context_id long, value double, condition long")
