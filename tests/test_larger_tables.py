@@ -118,6 +118,24 @@ def test_every_customer_is_a_context_of_recommendations(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(con.sql(registry.ORACLE_SQL["recommendations"]).fetchall()) and {r.context_id for r in got} == set(range(1, 25))
 
 
+def test_entities_are_ranked_once_for_all_contexts_with_the_same_set(spark, monkeypatch):
+    rng = random.Random(12)
+    c = spark.createDataFrame([(k, k / 40, k % 3) for k in range(90)] + [(900 + k, 1.0, 0) for k in range(200)], "context_id long, value double, condition long")
+    r = spark.createDataFrame([(k, float(k % 2), float(k % 2 + 1)) for k in range(150)], "entity_id long, lo double, hi double")
+    e = spark.createDataFrame([(k, p, rng.randrange(2), rng.choice([0.5, 0.25]), 1.0) for k in range(150) for p in ("suitable_for", "contraindicated_with")], "entity_id long, predicate string, target long, strength double, confidence double")
+    for name, n in (("_BLOCKS", 3), ("_BLOCK_IDS", 40), ("_EQUALS", 64), ("_RANKED_ROWS", 50)):
+        monkeypatch.setattr(kn, name, n)
+    d = kn.recommend(c, r, e)
+    rows, places = {}, {}
+    for x in kn._scored(c, r, e).collect():
+        rows.setdefault(x.context_id, []).append((-x.score, x.entity_id, tuple(x.because)))
+    for x in d.collect():
+        places.setdefault(x.context_id, []).append((x.place, (-x.score, x.entity_id, tuple(x.because))))
+    assert {k: [(n, x) for n, x in enumerate(sorted(v), 1)] for k, v in rows.items()} == {k: sorted(v) for k, v in places.items()} and len(rows) > 200
+    windows = [x for x in d._jdf.queryExecution().executedPlan().toString().split("windowspecdefinition(")[1:] if "entity_id" in x.split("specifiedwindowframe")[0]]
+    assert windows and all(x.startswith("no#") for x in windows)
+
+
 def test_equal_contexts_share_one_ranking(spark):
     rng = random.Random(11)
     c = spark.createDataFrame([(k, float(k % 3), k % 2) for k in range(60)] + [(70, 1.0, 0), (70, 2.0, 1), (71, None, 1)], "context_id long, value double, condition long")
