@@ -87,6 +87,36 @@ def test_best_of_repeated_sets(spark):
     assert {tuple(r) for r in dd.similar_best(rows, Scratch(spark, "t"), 0.4, 3, "g").collect()} == want and len(want) < 80 * 3 + 1 < close.count()
 
 
+def _copies(spark, tmp_path, sf="/root/testdata/sf0.001"):
+    """Parts in five copies with shifted keys, and their vectors; the SQL's view of them."""
+    part = spark.read.parquet(f"{sf}/part.parquet").where("p_partkey < 60")
+    rows = part.crossJoin(spark.range(5).withColumnRenamed("id", "copy")).withColumn("p_partkey", F.expr("p_partkey + 60 * copy")).drop("copy")
+    rows.write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(k, [0.1 * (k % 7) + 0.3, 0.7, -0.2 * k, 1 / (k + 3)]) for k in range(30)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    for t in ("part", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    return con
+
+
+def test_pairs_are_scored_once_a_class_and_never_moved(spark, tmp_path, monkeypatch):
+    con = _copies(spark, tmp_path)
+    monkeypatch.setattr(dd, "_BLOCK_TILE", 8)
+    d = registry.QUERIES["pair_scores"](spark, str(tmp_path))
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(query" not in plan and "hashpartitioning(a_id" not in plan
+    assert sorted(map(tuple, d.collect())) == sorted(con.sql(registry.ORACLE_SQL["pair_scores"]).fetchall())
+
+
+def test_blocks_are_paired_by_classes(spark, tmp_path, monkeypatch):
+    con = _copies(spark, tmp_path)
+    monkeypatch.setattr(dd, "_BLOCK_TILE", 8)
+    d = registry.QUERIES["blocking_pairs"](spark, str(tmp_path))
+    assert d._jdf.queryExecution().executedPlan().toString().count("explode(") >= 4  # the ids of both sides, in each generator
+    got = sorted(map(tuple, d.collect()))
+    assert got == sorted(con.sql(registry.ORACLE_SQL["blocking_pairs"]).fetchall()) and len(got) == 600
+
+
 def test_pairs_of_one_key_each_are_not_shuffled(spark, monkeypatch):
     rng = random.Random(9)
     rows = spark.createDataFrame([(k, rng.choice(["a", "b", "", None]), rng.choice("xyz")) for k in range(90)], "id long, p string, q string")
