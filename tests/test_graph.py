@@ -92,3 +92,15 @@ def test_betweenness_writes_a_row_per_node_and_block_of_pivots(spark, monkeypatc
     got = g.betweenness(e, spark.range(n).withColumnRenamed("id", "pivot"), scratch, None)
     assert max(rows for name, rows in most if name.startswith(("level", "share"))) <= n * 2  # not a row per node and pivot
     assert {r.id for r in got.collect()} <= set(range(n)) and got.count() > 0
+
+
+def test_small_graphs_are_walked_where_their_pivots_lie(spark, monkeypatch):
+    rng = random.Random(12)
+    n = 70
+    e = spark.createDataFrame([(f"n{rng.randrange(n)}", f"n{rng.randrange(n)}") for _ in range(5 * n)] + [(f"n{k}", f"n{k + 1}") for k in range(n, n + 4)], "subject_id string, object_id string")
+    pivots = spark.createDataFrame([(f"n{k}",) for k in [*range(0, n + 4, 3), 999]], "pivot string")
+    rows = lambda d: {r.id: round(r.score, 9) for r in d.collect()}
+    want = rows(g.betweenness(e, pivots, Scratch(spark, "t"), None))
+    assert rows(g.betweenness_where_sent(e.where("subject_id <> object_id").distinct(), pivots)) == want and len(want) > 60
+    monkeypatch.setattr(g, "betweenness", None)  # no rounds
+    assert g.sampled_betweenness(e, Scratch(spark, "t"), error=0.01).count() > 60
