@@ -117,6 +117,16 @@ def test_blocks_are_paired_by_classes(spark, tmp_path, monkeypatch):
     assert got == sorted(con.sql(registry.ORACLE_SQL["blocking_pairs"]).fetchall()) and len(got) == 600
 
 
+def test_pairs_of_many_generators_move_once_and_as_numbers(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = spark.createDataFrame([(k, rng.choice("ab"), [rng.choice("xyz"), rng.choice("xyzw")]) for k in range(60)], "id long, p string, q array<string>")
+    monkeypatch.setattr(dd, "_BLOCK_TILE", 9)
+    want = sorted(map(tuple, dd.union_pairs(dd.block_pairs(rows, F.array("p"), "p"), dd.block_pairs(rows, F.col("q"), "q")).collect()))
+    d = dd.named_pairs({"q": dd.block_pairs(rows, F.col("q"), "q", repeats=True), "p": dd.block_pairs(rows, F.array("p"), "p", repeats=True, tasks=5)}, 5)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(a_id") == 1 and "collect_set" not in plan and sorted(map(tuple, d.collect())) == want
+
+
 def test_pairs_of_one_key_each_are_not_shuffled(spark, monkeypatch):
     rng = random.Random(9)
     rows = spark.createDataFrame([(k, rng.choice(["a", "b", "", None]), rng.choice("xyz")) for k in range(90)], "id long, p string, q string")
